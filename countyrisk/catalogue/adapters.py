@@ -9,7 +9,7 @@ One disaster and one ZIP hold a third of all claims, as a large storm would.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from ..functions.names import snake_case
 
@@ -249,9 +249,9 @@ def columns(name: str) -> list[str]:
     return [snake_case(c) for c in RAW[name][1]]
 
 
-def raw_frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    table, exprs, predicate = RAW[name]
-    rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+def raw_frame(rows: DataFrame, name: str) -> DataFrame:
+    """The raw frame made from the rows of its table."""
+    _, exprs, predicate = RAW[name]
     if predicate:
         rows = rows.filter(predicate)
     if name == "crosswalk":

@@ -59,8 +59,13 @@ def year_complete(column: str = "year") -> Column:
     return F.when(bad, 1).otherwise(0).cast("bigint")
 
 
+def pct(condition: Column) -> Column:
+    """Percentage of rows that meet the condition; NULL on an empty group."""
+    return 100.0 * F.count_if(condition) / F.nullif(F.count("*"), F.lit(0))
+
+
 def null_pct(column: str) -> Column:
-    return 100.0 * F.avg(F.when(F.col(column).isNull(), 1.0).otherwise(0.0))
+    return pct(F.col(column).isNull())
 
 
 def null_pct_above(columns: Iterable[str], limit: float = 5.0) -> Column:

@@ -74,22 +74,31 @@ CENSUS_CELLS = {
 }
 
 
-def typed_events(raw: DataFrame) -> DataFrame:
-    """Typed storm reports with a usable year and all grain keys present."""
+def keyed_events(raw: DataFrame) -> DataFrame:
+    """Storm reports with a usable year and all grain keys present, other columns as read."""
     events = casts.with_year(names.make_unique_columns(names.normalize_columns(raw)))
     events = casts.blanks_to_null(events, ("state", "state_fips", "cz_fips", "event_type"))
+    return casts.require_not_null(events, EVENT_KEYS)
+
+
+def typed_events(events: DataFrame) -> DataFrame:
+    """Times, counts and measures of keyed reports; damage stays text."""
     times = {
         c: casts.parse_timestamp(c, "year") for c in ("begin_date_time", "end_date_time") if c in events.columns
     }
-    events = casts.try_casts(
+    return casts.try_casts(
         events.withColumns(times),
         {"int": EVENT_INTS, "double": EVENT_DOUBLES, "string": ("damage_property", "damage_crops")},
     )
-    return casts.require_not_null(events, EVENT_KEYS)
 
 
 def unique_events(raw: DataFrame) -> DataFrame:
-    return dedupe.dedupe(typed_events(raw), ("event_id", "episode_id"))
+    """One typed row per event.
+
+    Only the keys are worked out ahead of the shuffle; the other columns are parsed
+    once, on the rows that stay.
+    """
+    return typed_events(dedupe.dedupe(keyed_events(raw), ("event_id", "episode_id")))
 
 
 def clean_events(raw: DataFrame, nri_raw: DataFrame) -> DataFrame:

@@ -30,10 +30,20 @@ def read_csv_text(spark: SparkSession, path: str, repeated: Iterable[str] = ())
     return normalize_header(raw, repeated)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of an input with fewer splits than half the cores, over all cores.
+
+    Meant for files that cannot be split. A large input has more splits than that and
+    is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def read_csv_gz(spark: SparkSession, path: str, partitions: int | None = None, repeated: Iterable[str] = ()) -> DataFrame:
-    """Compressed CSV. A gzip file is one task, so the rows are spread afterwards."""
+    """Compressed CSV. A gzip file is one task, so few files are spread afterwards."""
     rows = read_csv_text(spark, path, repeated)
-    return rows.repartition(partitions) if partitions else rows.repartition()
+    return rows.repartition(partitions) if partitions else spread(rows)
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType, keep_corrupt: bool = False) -> DataFrame:
@@ -80,18 +90,24 @@ def with_file_path(df: DataFrame, out: str = "source_path") -> DataFrame:
     return df.withColumn(out, F.col("_metadata.file_path"))
 
 
-def read_feature_pages(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Landed pages ``{"features": [{"attributes": {…}}, …]}`` as one row per feature.
+def decode_feature_pages(pages: DataFrame, attributes: str, value: str = "value") -> DataFrame:
+    """Pages ``{"features": [{"attributes": {…}}, …]}`` as one row per feature.
 
-    Without a schema the attributes of all pages are merged; give one to keep the
-    columns fixed.
+    Each page is decoded within its row. ``attributes`` is the DDL of the wanted
+    columns; other attributes are skipped by the parser.
     """
-    reader = spark.read.option("multiLine", True)
-    if schema is not None:
-        attributes = T.StructType([T.StructField("attributes", schema)])
-        reader = reader.schema(T.StructType([T.StructField("features", T.ArrayType(attributes))]))
-    pages = reader.json(path)
-    return normalize_columns(pages.select(F.explode("features").alias("f")).select("f.attributes.*"))
+    document = F.from_json(F.col(value), f"features array<struct<attributes: struct<{_fields(attributes)}>>>")
+    features = pages.select(F.explode(document["features"]).alias("f"))
+    return normalize_columns(features.select("f.attributes.*"))
+
+
+def _fields(ddl: str) -> str:
+    return ", ".join(f"{name}: {kind}" for name, kind in (c.split() for c in ddl.split(",")))
+
+
+def read_feature_pages(spark: SparkSession, path: str, attributes: str) -> DataFrame:
+    """Landed feature pages, one document per file."""
+    return decode_feature_pages(spark.read.text(path, wholetext=True), attributes)
 
 
 def decode_header_arrays(documents: DataFrame, columns: Iterable[str], value: str = "value") -> DataFrame:
