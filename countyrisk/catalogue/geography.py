@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions import casts, fips, geonames, names
-from ..operators import allocate, checks, dedupe, keys, ranking, resolve, rollups
-from ..plans import gold, quality, serving, silver
+from ..functions import fips, geonames, names
+from ..operators import allocate, checks, keys, resolve, rollups
+from ..plans import gold, serving, silver
 from .oracle import blank, codes, compact, nname, sane, std, zip5
 from .registry import query
 from .workspace import WINDOW, Workspace
@@ -95,11 +95,11 @@ def _(w: Workspace) -> DataFrame:
 
 @query("geo11_canonical_counties", "SELECT county_fips, state_fips_norm, county_name_norm, county_name_compact FROM counties")
 def _(w: Workspace) -> DataFrame:
-    return resolve.canonical_counties(_raw(w, "nri"))
+    return silver.county_reference(w.raw("nri"))
 
 
 def _lookup(w: Workspace, name: str) -> DataFrame:
-    return resolve.unique_name_lookup(resolve.canonical_counties(_raw(w, "nri")), name, "county_fips")
+    return resolve.unique_name_lookup(w.counties(), name, "county_fips")
 
 
 @query("geo12_unique_names", "SELECT state_fips_norm, county_name_norm, county_fips FROM name_lookup")
@@ -117,7 +117,7 @@ def _(w: Workspace) -> DataFrame:
     "SELECT event_id, county_fips, county_fips_raw_candidate, county_fips_mapping_method FROM classified",
 )
 def _(w: Workspace) -> DataFrame:
-    return silver.clean_events(w.landed("events"), w.raw("nri")).select(
+    return silver.clean_events(w.landed("events"), w.counties()).select(
         "event_id", "county_fips", "county_fips_raw_candidate", resolve.METHOD
     )
 
@@ -128,7 +128,7 @@ def _(w: Workspace) -> DataFrame:
     "count(*) AS n, count(county_fips) AS keyed FROM classified GROUP BY 1",
 )
 def _(w: Workspace) -> DataFrame:
-    parts = resolve.split_outcomes(silver.clean_events(w.landed("events"), w.raw("nri")))
+    parts = resolve.split_outcomes(silver.clean_events(w.landed("events"), w.counties()))
     out = None
     for outcome, rows in parts.items():
         counted = rows.groupBy(F.lit(outcome).alias("outcome")).agg(
@@ -292,7 +292,7 @@ def _(w: Workspace) -> DataFrame:
     "SELECT county_fips_mapping_method, count(*) AS n, count(DISTINCT county_fips) AS counties FROM classified GROUP BY 1",
 )
 def _(w: Workspace) -> DataFrame:
-    rows = silver.clean_events(w.landed("events"), w.raw("nri"))
+    rows = silver.clean_events(w.landed("events"), w.counties())
     return rows.groupBy(resolve.METHOD).agg(
         F.count("*").alias("n"), F.count_distinct("county_fips").alias("counties")
     )

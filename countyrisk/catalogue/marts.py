@@ -6,13 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions import casts, display, fips, names
-from ..operators import allocate, checks, dedupe, keys, ranking, resolve, rollups
+from ..functions import display, fips, names
+from ..operators import allocate, checks, dedupe, ranking, rollups
 from ..plans import gold, quality, serving, silver
 from . import adapters
-from .oracle import sane, std, strict, zip5, zsum
 from .registry import query
-from .workspace import WINDOW, Workspace, census_by_year
+from .workspace import WINDOW, Workspace
 
 YEAR = 1998
 COUNTY = "04004"

@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions import names
-from ..operators import checks, ranking
+from ..functions import casts, names
+from ..operators import allocate, checks, ranking
 from ..operators.checks import WARNING, Check, Suite
-from ..plans import audits, contracts, gold, publish, quality, serving, silver
+from ..plans import audits, contracts, gold, publish, quality, serving
 from ..session import scratch_dir
 from ..sources import landing
 from .columns import _LISTING, _event_csv, _listing
-from .oracle import blank, nname, sane, std
+from .oracle import sane
 from .registry import query
 from .workspace import WINDOW, Workspace
 
@@ -73,8 +73,6 @@ def _(w: Workspace) -> DataFrame:
     r"SELECT cast(CASE WHEN count(*) = 0 OR count(*) > count(year) THEN 1 ELSE 0 END AS BIGINT) AS failures FROM (SELECT try_cast(regexp_extract(year, '(\d{4})', 1) AS INT) AS year FROM raw_events)",
 )
 def _(w: Workspace) -> DataFrame:
-    from ..functions import casts
-
     return _row(casts.with_year(names.normalize_columns(w.landed("events"))), checks.year_complete())
 
 
@@ -193,8 +191,6 @@ def _(w: Workspace) -> DataFrame:
 
 @query("qa22_claim_negative_sample", f"SELECT county_fips, year FROM equal_shares WHERE " + " OR ".join(f"{c} < 0" for c in quality.CLAIM_METRICS) + " LIMIT 50")
 def _(w: Workspace) -> DataFrame:
-    from ..operators import allocate
-
     shares = allocate.allocate_equally(w.claims(), w.declarations())
     return checks.violations(shares, quality.CLAIM_METRICS).select("county_fips", "year")
 
@@ -497,7 +493,7 @@ def _(w: Workspace) -> DataFrame:
 
 @query(
     "ld3_missing_pairs",
-    "SELECT y.year, t.filetype FROM (SELECT unnest(generate_series(1994, 2003)) AS year) y, (VALUES ('details'), ('fatalities'), ('locations')) t(filetype) "
+    "SELECT cast(y.year AS INT) AS year, t.filetype FROM (SELECT unnest(generate_series(1994, 2003)) AS year) y, (VALUES ('details'), ('fatalities'), ('locations')) t(filetype) "
     f"WHERE NOT EXISTS (SELECT 1 FROM (SELECT {_LISTING} AS name FROM orders) o WHERE contains(o.name, t.filetype) AND contains(o.name, '_d' || y.year || '_'))",
 )
 def _(w: Workspace) -> DataFrame:

@@ -10,8 +10,10 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import YearWindow
+from ..functions import fips, names
 from ..operators import rollups
 from ..plans import gold, pipeline, silver
 from ..session import scratch_dir
@@ -66,10 +68,13 @@ class Workspace:
     def events(self, outcome: str = "valid") -> DataFrame:
         path = self.written(
             "events",
-            lambda p: pipeline.write_events(silver.clean_events(self.landed("events"), self.raw("nri")), p),
+            lambda p: pipeline.write_events(silver.clean_events(self.landed("events"), self.counties()), p),
         )
         return self.spark.read.parquet(pipeline.events_path(path, outcome))
 
+    def counties(self) -> DataFrame:
+        return self._read("counties", lambda: silver.county_reference(self.raw("nri")))
+
     def declarations(self) -> DataFrame:
         return self._read("declarations", lambda: silver.clean_declarations(self.landed("declarations")))
 
@@ -131,10 +136,6 @@ class Workspace:
 
 
 def census_by_year(raw: DataFrame) -> DataFrame:
-    from pyspark.sql import functions as F
-
-    from ..functions import fips, names
-
     rows = names.normalize_columns(raw)
     return rows.select(
         fips.standard_fips(fips.fips_from_codes("state", "county")).alias("county_fips"),

@@ -37,17 +37,19 @@ def crosswalk_window(crosswalk: DataFrame, window: YearWindow = YearWindow()) ->
 
 
 def claims_by_zip(claims: DataFrame, amount_type: str = "double") -> DataFrame:
-    """Claim measures summed per (disaster, state, ZIP) ahead of the joins.
+    """Claim measures summed per (disaster, state, ZIP text) ahead of the joins.
 
     The sums are built map-side, so a ZIP or a disaster with a large share of all
-    claims leaves each task as one row, and the joins that follow see no hot key.
+    claims leaves each task as one row, and the joins that follow see no hot key. The
+    ZIP is taken out of its text afterwards, once per group and not once per claim.
     """
     return (
-        claims.filter(F.col("disasternumber").isNotNull() & _not_blank("state"))
+        claims.filter(F.col("disasternumber").isNotNull() & _not_blank("state") & F.col("zipcode").isNotNull())
+        .groupBy("disasternumber", F.trim("state").alias("state"), "zipcode")
+        .agg(*[F.sum(casts.zero_if_null(F.col(m).cast(amount_type))).alias(m) for m in CLAIM_MEASURES])
         .withColumn("zip5", fips.zip_from_text("zipcode"))
         .filter(F.col("zip5").isNotNull())
-        .groupBy("disasternumber", F.trim("state").alias("state"), "zip5")
-        .agg(*[F.sum(casts.zero_if_null(F.col(m).cast(amount_type))).alias(m) for m in CLAIM_MEASURES])
+        .drop("zipcode")
     )
 
 
@@ -61,7 +63,8 @@ def allocate_by_zip(
     """County-year claim features: each measure times the ZIP's share in the county.
 
     A missing share counts as 1. A disaster with two fiscal years adds its claims to
-    both, as in the reference results (see :func:`disaster_fan_out`).
+    both, as in the reference results (see :func:`disaster_fan_out`). Doubles follow
+    the contract; give a decimal ``amount_type`` for sums that do not depend on order.
     """
     dated = claims_by_zip(claims, amount_type).join(disaster_years(declarations, window), ["disasternumber", "state"])
     per_zip = dated.groupBy("zip5", "year", "disasternumber").agg(*[F.sum(m).alias(m) for m in CLAIM_MEASURES])

@@ -67,8 +67,9 @@ def events_path(path: str, outcome: str = "valid") -> str:
 def build_silver(spark: SparkSession, raw: Raw, paths: Paths, acs_year: int = 2022) -> dict[str, dict]:
     """Clean and write every table; metrics per job come from the writes themselves."""
     metrics: dict[str, dict] = {}
-    metrics["events"] = write_events(silver.clean_events(raw.events, raw.nri), paths.silver("noaa_events")).get
-
+    tables.write_plain(silver.county_reference(raw.nri), paths.silver("county_reference"))
+    counties = spark.read.parquet(paths.silver("county_reference"))
+    metrics["events"] = write_events(silver.clean_events(raw.events, counties), paths.silver("noaa_events")).get
     def write(name: str, df: DataFrame, columns: tuple[str, ...], partition: str | None = None) -> None:
         seen = Observation(name)
         observed = df.observe(seen, *silver.null_rate_metrics(columns))

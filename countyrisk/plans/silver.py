@@ -101,13 +101,18 @@ def unique_events(raw: DataFrame) -> DataFrame:
     return typed_events(dedupe.dedupe(keyed_events(raw), ("event_id", "episode_id")))
 
 
-def clean_events(raw: DataFrame, nri_raw: DataFrame) -> DataFrame:
+def county_reference(nri_raw: DataFrame) -> DataFrame:
+    """Counties with their matching names, from the raw risk-index file."""
+    return resolve.canonical_counties(names.normalize_columns(nri_raw))
+
+
+def clean_events(raw: DataFrame, counties: DataFrame) -> DataFrame:
     """Classified storm reports; :func:`resolve.split_outcomes` gives the outputs.
 
     Duplicates go first, while the rows are narrow; the three lookups are broadcast,
-    so the one shuffle of the events is the one by event id.
+    so the one shuffle of the events is the one by event id. ``counties`` is read once
+    per lookup: give the written county reference rather than its plan.
     """
-    counties = resolve.canonical_counties(names.normalize_columns(nri_raw))
     return resolve.resolve_counties(resolve.with_candidate_key(unique_events(raw)), counties)
 
 
