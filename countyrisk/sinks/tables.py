@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -136,7 +135,3 @@ def export_csv(ranked: DataFrame, path: str, order: Sequence | None = None) -> N
     """
     rows = ranked.orderBy(*order) if order else ranked
     rows.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
-
-
-def empty_risk_scores(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema).filter(F.lit(True))

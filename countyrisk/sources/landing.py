@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -44,54 +45,61 @@ def latest_files(listing: DataFrame, name: str = "name") -> DataFrame:
     )
 
 
-def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Path, name and size of the files below a folder; their bytes are not read."""
-    files = (
+def _binary(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
         .load(path)
     )
-    return files.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes"))
+
+
+def _plain(column: str):
+    """Readers differ in how they write the scheme of a local path."""
+    return F.regexp_replace(column, "^file:/+", "/")
+
+
+def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """Path, name and size of the files below a folder; their bytes are not read.
+
+    A scan leaves empty files out, so the sizes are joined to the listing that Spark
+    itself made for the scan.
+    """
+    found = _binary(spark, path, glob)
+    listed = spark.createDataFrame([(unquote(f),) for f in found.inputFiles()], "path string")
+    sizes = found.select(_plain("path").alias("path"), "length")
+    return (
+        listed.select(_plain("path").alias("path"))
+        .join(sizes, "path", "left")
+        .select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.coalesce("length", F.lit(0)).alias("bytes"))
+    )
 
 
 def file_hashes(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """SHA-256 of each landed file (raw files are a few MB; one task reads one file)."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-        .load(path)
-    )
-    return files.select("path", F.sha2("content", 256).alias("sha256"))
+    return _binary(spark, path, glob).select(_plain("path").alias("path"), F.sha2("content", 256).alias("sha256"))
 
 
 def file_rows(spark: SparkSession, path: str, glob: str = "{*.csv,*.csv.gz}") -> DataFrame:
     """Data rows per CSV file, the header not counted."""
     lines = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path)
     return (
-        lines.groupBy(F.col("_metadata.file_path").alias("path"))
+        lines.groupBy(_plain("_metadata.file_path").alias("path"))
         .agg(F.count("*").alias("lines"))
         .select("path", F.greatest(F.col("lines") - 1, F.lit(0)).alias("row_count"))
     )
 
 
-def _plain(column: str):
-    """Paths of the two readers differ in how they write the scheme."""
-    return F.regexp_replace(column, "^file:/+", "/")
-
-
 def landing_manifest(spark: SparkSession, path: str, run_dt: str, glob: str = "{*.csv,*.csv.gz}") -> DataFrame:
     """One row per landed file: path, bytes, hash, rows, run date, status."""
-    files = list_files(spark, path, glob).withColumn("path", _plain("path"))
-    hashes = file_hashes(spark, path, glob).withColumn("path", _plain("path"))
-    rows = file_rows(spark, path, glob).withColumn("path", _plain("path"))
     return (
-        files.join(hashes, "path", "left")
-        .join(rows, "path", "left")
+        list_files(spark, path, glob)
+        .join(file_hashes(spark, path, glob), "path", "left")
+        .join(file_rows(spark, path, glob), "path", "left")
         .withColumns(
             {
                 "row_count": F.coalesce("row_count", F.lit(0)),
+                "sha256": F.coalesce("sha256", F.sha2(F.lit(""), 256)),
                 "run_dt": F.lit(run_dt).cast("date"),
                 "status": F.when(F.col("bytes") == 0, EMPTY).otherwise(OK),
             }

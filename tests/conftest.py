@@ -42,3 +42,8 @@ def frame(spark):
 
 def values(df, column):
     return [r[column] for r in df.select(column).collect()]
+
+
+def plan_of(df):
+    """Physical plan as text, before adaptive changes."""
+    return df._jdf.queryExecution().executedPlan().toString()
