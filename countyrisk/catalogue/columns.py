@@ -157,7 +157,8 @@ def _(w: Workspace) -> DataFrame:
 @query("src09_header_arrays", "SELECT name, b01001_001e, state, county FROM raw_b01001")
 def _(w: Workspace) -> DataFrame:
     wanted = ["NAME", "B01001_001E", "state", "county"]
-    rows = w.raw("b01001").withColumn("page", F.pmod(F.xxhash64("NAME"), F.lit(16)) * 1000 + F.col("county").cast("int"))
+    exprs = adapters.RAW["b01001"][1]
+    rows = w.table("customer").selectExpr("floor(c_custkey / 100) AS page", *[f"{exprs[c]} AS `{c}`" for c in wanted])
     document = F.concat(
         F.array(F.array(*[F.lit(c) for c in wanted])), F.collect_list(F.array(*[F.col(c) for c in wanted]))
     )

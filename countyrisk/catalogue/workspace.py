@@ -29,13 +29,20 @@ class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
         self._written: dict[str, str] = {}
+        self._frames: dict[str, DataFrame] = {}
 
     @cached_property
     def root(self) -> str:
         return scratch_dir(self.spark, "workspace")
 
+    def _frame(self, path: str) -> DataFrame:
+        """Frame over a folder, listed and its schema read once per session."""
+        if path not in self._frames:
+            self._frames[path] = self.spark.read.parquet(path)
+        return self._frames[path]
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._frame(f"{self.sf_dir}/{name}.parquet")
 
     def raw(self, name: str) -> DataFrame:
         return adapters.raw_frame(self.table(adapters.RAW[name][0]), name)
@@ -48,14 +55,13 @@ class Workspace:
         return {t: self.raw(t) for t in silver.CENSUS_CELLS}
 
     def _read(self, name: str, build: Callable[[], DataFrame], partition: str | None = None) -> DataFrame:
-        if name not in self._written:
-            path = f"{self.root}/{name}"
+        def write(path: str) -> None:
             if partition:
                 tables.write_partitioned(build(), path, (partition,))
             else:
                 tables.write_plain(build(), path)
-            self._written[name] = path
-        return self.spark.read.parquet(self._written[name])
+
+        return self._frame(self.written(name, write))
 
     def written(self, name: str, build: Callable[[str], None]) -> str:
         """Folder that ``build`` fills once."""
@@ -70,7 +76,7 @@ class Workspace:
             "events",
             lambda p: pipeline.write_events(silver.clean_events(self.landed("events"), self.counties()), p),
         )
-        return self.spark.read.parquet(pipeline.events_path(path, outcome))
+        return self._frame(pipeline.events_path(path, outcome))
 
     def counties(self) -> DataFrame:
         return self._read("counties", lambda: silver.county_reference(self.raw("nri")))
