@@ -80,11 +80,14 @@ def padded_zip(c: Column | str) -> Column:
 def zip_from_text(c: Column | str) -> Column:
     """First five digits in a row, else the first shorter run padded to five.
 
-    NULL when the text holds no digit.
+    NULL when the text holds no digit. Plain digits, the usual case, are told without
+    a regular expression.
     """
-    five = F.nullif(F.regexp_extract(_text(c), r"([0-9]{5})", 1), F.lit(""))
-    short = F.nullif(F.regexp_extract(_text(c), r"([0-9]+)", 1), F.lit(""))
-    return F.coalesce(five, F.lpad(short, 5, "0"))
+    text = F.trim(_text(c))
+    plain = F.length(text).between(1, 5) & (F.translate(text, "0123456789", "") == "")
+    five = F.nullif(F.regexp_extract(text, r"([0-9]{5})", 1), F.lit(""))
+    short = F.nullif(F.regexp_extract(text, r"([0-9]+)", 1), F.lit(""))
+    return F.when(plain, F.lpad(text, 5, "0")).otherwise(F.coalesce(five, F.lpad(short, 5, "0")))
 
 
 def user_fips(c: Column | str) -> Column:

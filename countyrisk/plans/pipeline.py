@@ -14,7 +14,20 @@ from ..sinks import tables
 from ..sources import files
 from . import gold, publish, quality, silver
 
-EVENT_TABLES = {"valid": "events", "unresolved": "events_unresolved", "non_county": "events_non_county"}
+# Outcome -> table name of the cleaned storm reports.
+EVENT_TABLES = {
+    "valid": "noaa_events_clean",
+    "unresolved": "noaa_events_clean_unresolved_county_fips",
+    "non_county": "noaa_events_clean_non_county_zones",
+}
+SILVER_TABLES = (
+    "fema_disaster_declarations_clean",
+    "fema_claims_clean",
+    "nri_scores_clean",
+    "nri_scores_clean_unresolved_county_fips",
+    "census_clean",
+    "zip2county_xwalk_clean",
+)
 
 
 @dataclass(frozen=True)
@@ -97,6 +110,18 @@ def build_silver(spark: SparkSession, raw: Raw, paths: Paths, acs_year: int = 20
     return metrics
 
 
+def register_silver(spark: SparkSession, paths: Paths, database: str = "default") -> list[str]:
+    """Views over the cleaned tables by name. An outcome without rows has no folder."""
+    root = paths.silver("noaa_events")
+    present = {r[0] for r in spark.read.parquet(root).select(resolve.OUTCOME).distinct().collect()}
+    names = [
+        tables.folder_view(spark, name, events_path(root, outcome), database)
+        for outcome, name in EVENT_TABLES.items()
+        if outcome in present
+    ]
+    return names + [tables.folder_view(spark, name, paths.silver(name), database) for name in SILVER_TABLES]
+
+
 def build_gold(
     spark: SparkSession,
     paths: Paths,
@@ -159,6 +184,7 @@ def run_pipeline(
     gate("bronze", quality.bronze_events_suite(raw.events))
 
     metrics = build_silver(spark, raw, paths)
+    register_silver(spark, paths, database)
     log("silver", "metadata", "row_counts", metrics)
     gate("silver", quality.silver_events_suite(spark.read.parquet(events_path(paths.silver("noaa_events")))))
 

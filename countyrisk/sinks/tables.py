@@ -89,6 +89,13 @@ def pass_through_view(spark: SparkSession, source: str, target: str) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW {target} AS SELECT * FROM {source}")
 
 
+def folder_view(spark: SparkSession, name: str, path: str, database: str = "default") -> str:
+    """A view over a Parquet folder, so that a cleaned table can be queried by name."""
+    view = f"{database}.{name}"
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
+    return view
+
+
 def drop_tables(spark: SparkSession, names: Sequence[str], database: str = "default") -> None:
     for name in names:
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")

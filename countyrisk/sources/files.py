@@ -31,13 +31,13 @@ def read_csv_text(spark: SparkSession, path: str, repeated: Iterable[str] = ())
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows of an input with fewer splits than half the cores, over all cores.
+    """Rows of an input with fewer files than half the cores, over all cores.
 
-    Meant for files that cannot be split. A large input has more splits than that and
+    Meant for files that cannot be split. A large input has more files than that and
     is left alone.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+    return df.repartition(cores) if len(df.inputFiles()) * 2 <= cores else df
 
 
 def read_csv_gz(spark: SparkSession, path: str, partitions: int | None = None, repeated: Iterable[str] = ()) -> DataFrame:

@@ -221,6 +221,8 @@ def test_run_from_files_to_current_views(spark, tmp_path):
     }
     for outcome, event in (("unresolved", "4"), ("non_county", "3")):
         assert values(spark.read.parquet(pipeline.events_path(paths.silver("noaa_events"), outcome)), "event_id") == [event]
+    assert spark.table("default.noaa_events_clean_unresolved_county_fips").count() == 1
+    assert spark.table("default.fema_claims_clean").columns == list(schemas.CLAIMS)
     mart = {r.county_fips: r for r in spark.table("default.risk_feature_mart_current").collect()}
     assert set(mart) == {"01001", "01003"}
     row = mart["01001"]
