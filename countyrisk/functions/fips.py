@@ -29,15 +29,23 @@ def fips_was_cut(c: Column | str) -> Column:
     return F.coalesce(F.length(digits(c)) > 5, F.lit(False))
 
 
-def is_sane_fips(c: Column | str) -> Column:
-    """Five characters, no placeholder state, county part not 000. Never NULL."""
+def sane_condition(c: Column | str) -> Column:
+    """Five characters, no placeholder state, county part not 000. For filters.
+
+    NULL for a NULL key, which a filter drops; left bare so that the planner can push
+    the NULL test to the scan.
+    """
     key = F.trim(_text(c))
-    sane = (
+    return (
         (F.length(key) == 5)
         & ~F.substring(key, 1, 2).isin(*BAD_STATES)
         & (F.substring(key, 3, 3) != BAD_COUNTY)
     )
-    return F.coalesce(sane, F.lit(False))
+
+
+def is_sane_fips(c: Column | str) -> Column:
+    """:func:`sane_condition` as a flag that is never NULL."""
+    return F.coalesce(sane_condition(c), F.lit(False))
 
 
 def fips_from_codes(state: Column | str, county: Column | str) -> Column:

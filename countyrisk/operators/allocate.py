@@ -28,7 +28,7 @@ def disaster_years(declarations: DataFrame, window: YearWindow = YearWindow()) -
 
 def crosswalk_window(crosswalk: DataFrame, window: YearWindow = YearWindow()) -> DataFrame:
     year = F.col("year").cast("int")
-    return crosswalk.filter(year.between(window.first, window.last) & fips.is_sane_fips("county_fips")).select(
+    return crosswalk.filter(year.between(window.first, window.last) & fips.sane_condition("county_fips")).select(
         F.trim("zip5").alias("zip5"),
         F.trim("county_fips").alias("county_fips"),
         year.alias("year"),

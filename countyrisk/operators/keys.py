@@ -20,7 +20,7 @@ def standardize(df: DataFrame, column: str = "county_fips") -> DataFrame:
 
 
 def keep_sane(df: DataFrame, column: str = "county_fips") -> DataFrame:
-    return df.filter(fips.is_sane_fips(column)) if column in df.columns else df
+    return df.filter(fips.sane_condition(column)) if column in df.columns else df
 
 
 def split_by_sanity(df: DataFrame, column: str = "county_fips") -> tuple[DataFrame, DataFrame]:

@@ -23,7 +23,7 @@ def _event_measures(parser: str) -> dict:
 
 def events_by_hazard(events: DataFrame, window: YearWindow | None, parser: str = "strict") -> DataFrame:
     """Count, fatalities, injuries and mean damage per county, hazard, category, year."""
-    kept = events.filter(fips.is_sane_fips("county_fips")).withColumn("year", F.col("year").cast("int"))
+    kept = events.filter(fips.sane_condition("county_fips")).withColumn("year", F.col("year").cast("int"))
     if window is not None:
         kept = in_window(kept, window)
     shaped = kept.filter("year IS NOT NULL").select(
@@ -74,7 +74,7 @@ def events_by_hazard_lenient(events: DataFrame) -> DataFrame:
 
 def events_by_county_year(events: DataFrame, window: YearWindow | None = None) -> DataFrame:
     """Event features per county and year, straight from the events."""
-    kept = events.filter(fips.is_sane_fips("county_fips")).withColumn("year", F.col("year").cast("int"))
+    kept = events.filter(fips.sane_condition("county_fips")).withColumn("year", F.col("year").cast("int"))
     if window is not None:
         kept = in_window(kept, window)
     return (

@@ -42,6 +42,7 @@ def test_mart_reads_only_what_it_needs(w):
     events = next(p for p in re.findall(r"FileScan parquet \[([^\]]*)\]", plan) if "damage_property" in p)
     assert "cz_name" not in events and "begin_date_time" not in events
     assert "PartitionFilters: [isnotnull(year" in plan
+    assert re.search(r"PushedFilters: \[[^\]]*IsNotNull\(county_fips\)", plan)
 
 
 def test_mart_joins_features_on_their_aggregation(w):
