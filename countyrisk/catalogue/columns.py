@@ -195,7 +195,7 @@ def _(w: Workspace) -> DataFrame:
 @query("src12_year_scope", "SELECT year, count(*) AS n FROM events_clean WHERE year BETWEEN 1996 AND 1998 GROUP BY year")
 def _(w: Workspace) -> DataFrame:
     scope = landing.year_scope(w.spark, "backfill", "2024-01-31", 1996, 1998)
-    return w.events().join(F.broadcast(scope), "year", "left_semi").groupBy("year").agg(F.count("*").alias("n"))
+    return w.events().join(scope, "year", "left_semi").groupBy("year").agg(F.count("*").alias("n"))
 
 
 # --- sinks -------------------------------------------------------------------------
