@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import secrets, topk, url_filter
+from . import mixing, packing, secrets, topk, url_filter
 from .url_filter import Rule
 
 # The rules that op4 judges by.
@@ -23,6 +23,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", 5)
 
@@ -31,13 +35,19 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_plan(_table(spark, sf_dir, "documents"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(secrets.scan_secrets(_table(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op3_topk": op3_topk,
     "op4_url_filter": op4_url_filter,
+    "op8_mixing": op8_mixing,
     "op10_secrets": op10_secrets,
 }
 

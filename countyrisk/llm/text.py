@@ -122,3 +122,20 @@ def gram_hashes(words: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndar
         out ^= out >> np.uint64(28)
     inside = rows[:count] == rows[size - 1 : size - 1 + count]
     return mixed(out[inside]), rows[:count][inside]
+
+
+def row_sums(values: np.ndarray, rows: np.ndarray, count: int) -> np.ndarray:
+    """Sum of 64-bit values per row (modulo 2^64); ``rows`` is in order."""
+    running = np.zeros(len(values) + 1, values.dtype)
+    np.cumsum(values, out=running[1:])
+    edges = np.searchsorted(rows, np.arange(count + 1))
+    return running[edges[1:]] - running[edges[:-1]]
+
+
+def sequence_hashes(words: np.ndarray, rows: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each row's sequence of words."""
+    first = np.searchsorted(rows, np.arange(count))
+    place = (np.arange(len(words)) - first[rows]).astype(np.uint64)
+    one = row_sums(mixed(words + place * np.uint64(0xA0761D6478BD642F)), rows, count)
+    two = row_sums(mixed(words * np.uint64(0xE7037ED1A0B428DB) ^ (place + np.uint64(1)) * np.uint64(0x8EBC6AF09C88C6E3)), rows, count)
+    return one, two
