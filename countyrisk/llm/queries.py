@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, secrets, topk, url_filter
+from . import mixing, packing, quality_rules, secrets, topk, url_filter
 from .url_filter import Rule
 
 # The rules that op4 judges by.
@@ -35,6 +35,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_report(_table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_plan(_table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_topk": op3_topk,
     "op4_url_filter": op4_url_filter,
+    "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
     "op10_secrets": op10_secrets,
 }
