@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, quality_rules, secrets, topk, url_filter
+from . import mixing, packing, quality_classifier, quality_rules, secrets, topk, toxicity, url_filter
 from .url_filter import Rule
 
 # The rules that op4 judges by.
@@ -35,6 +35,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(_table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_plan(_table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(secrets.scan_secrets(_table(spark, sf_dir, "documents")))
 
@@ -51,8 +59,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_topk": op3_topk,
     "op4_url_filter": op4_url_filter,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
+    "op9_toxicity": op9_toxicity,
     "op10_secrets": op10_secrets,
 }
 
