@@ -1,7 +1,7 @@
 """Toxicity: a linear-chain conditional random field tags toxic spans.
 
 Tokens are words with A-Z lower-cased and marks at both ends left off. The labels are of whole
-texts, so the labelled tokens are made from them first: a word, or the first four or five bytes
+texts, so the labelled tokens are made from them first: a word, or the first four to eight bytes
 of one, that stands in toxic texts far more often than in others marks its tokens as toxic. The
 field learns emission weights of hashed features (the word, its beginnings and end, its
 neighbours) and the four transitions from windows of these tokens, by gradient of the
@@ -30,9 +30,11 @@ from .text import Powers, byte_blocks, byte_table, mixed, prefix_hashes, span_ha
 
 PER_CLASS = 1_500
 BUCKETS = 1 << 18
+BEGINNINGS = (4, 5, 6, 7, 8)
 WINDOW = 32
-MAX_WINDOWS = 20_000
-EPOCHS = 6
+MAX_WINDOWS = 12_000
+EPOCHS = 8
+UNSURE = 0.05
 BATCH = 256
 RATE = 0.1
 CHUNK = 64
@@ -44,7 +46,7 @@ MARKS = b".,;:!?\"'()[]*-"
 class Field(NamedTuple):
     weights: np.ndarray  # difference of the two states' emissions, per feature
     trans: np.ndarray  # log transitions, from and to
-    scale: np.ndarray  # of the logistic fit: constant, log of the sum, maximum
+    scale: np.ndarray  # of the logistic fit: constant, log of the sum, maximum, log of the share
     empty: bool
 
 
@@ -66,18 +68,19 @@ def tokenise(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, tables: P
     prefix = prefix_hashes(data, table, tables)
     part = lambda a, b: span_hashes(prefix, a, b, tables)
     word = part(starts, ends)
-    four, five = part(starts, np.minimum(ends, starts + 4)), part(starts, np.minimum(ends, starts + 5))
-    three, tail = part(starts, np.minimum(ends, starts + 3)), part(np.maximum(starts, ends - 3), ends)
+    beginnings = [part(starts, np.minimum(ends, starts + size)) for size in BEGINNINGS]
+    tail = part(np.maximum(starts, ends - 3), ends)
     before, after = np.zeros(len(word), np.uint64), np.zeros(len(word), np.uint64)
     if len(word) > 1:
         joined = rows[1:] == rows[:-1]
         before[1:] = np.where(joined, word[:-1], 0)
         after[:-1] = np.where(joined, word[1:], 0)
-    kinds = [word, four, five, three, tail, before, after]
+    kinds = [word, *beginnings, tail, before, after]
     features = np.stack([(mixed(h + np.uint64(k * 0x51ED27)) >> np.uint64(64 - 18)).astype(np.int32) for k, h in enumerate(kinds)], 1)
     # a beginning counts only where the word goes on after it
     longer = ends - starts
-    heads = np.stack([word, np.where(longer > 4, mixed(four + np.uint64(4)), word), np.where(longer > 5, mixed(five + np.uint64(5)), word)], 1)
+    heads = [np.where(longer > size, mixed(head + np.uint64(size)), word) for size, head in zip(BEGINNINGS, beginnings, strict=True)]
+    heads = np.stack([word, *heads], 1)
     return Tokens(starts, ends, rows, features, heads)
 
 
@@ -178,7 +181,7 @@ def marked_heads(parts: list[tuple[Tokens, np.ndarray]]) -> np.ndarray:
 def fit_field(examples: list[tuple[str, int]], seed: int = 3) -> Field:
     """The field of (text, 0 or 1) pairs; without both classes every score is 0."""
     labels = np.array([y for _, y in examples], np.int64)
-    none = Field(np.zeros(BUCKETS + 1, np.float32), np.zeros((2, 2)), np.zeros(3), True)
+    none = Field(np.zeros(BUCKETS + 1, np.float32), np.zeros((2, 2)), np.zeros(4), True)
     if not len(labels) or labels.min() == labels.max():
         return none
     table, tables = byte_table(lower=True), Powers()
@@ -202,7 +205,13 @@ def fit_field(examples: list[tuple[str, int]], seed: int = 3) -> Field:
         chosen += [kind[i] for i in pick]
     weights, trans = np.zeros(BUCKETS + 1), np.zeros((2, 2))
     squares, trans_squares = np.full(BUCKETS + 1, 1e-2), np.full((2, 2), 1e-2)
-    for _ in range(EPOCHS):
+    for epoch in range(EPOCHS):
+        if epoch == EPOCHS // 2:
+            # the second half also sees the clean windows that the field is still unsure of
+            odds = np.concatenate([weights[f].sum(1) + weights[-1] for f, _ in windows[0]])
+            rows = np.repeat(np.arange(len(windows[0])), [len(y) for _, y in windows[0]])
+            unsure = np.unique(rows[runs(odds, rows, trans, len(windows[0])) >= UNSURE])
+            chosen += [windows[0][i] for i in unsure[: MAX_WINDOWS // 2]]
         for pick in np.array_split(random.permutation(len(chosen)), max(1, len(chosen) // BATCH)):
             rows = np.concatenate([np.full(len(chosen[i][1]), k) for k, i in enumerate(pick)])
             features = np.concatenate([chosen[i][0] for i in pick])
@@ -222,24 +231,26 @@ def fit_field(examples: list[tuple[str, int]], seed: int = 3) -> Field:
             trans_squares += turn**2
             weights -= RATE * pull / np.sqrt(squares)
             trans -= RATE * turn / np.sqrt(trans_squares)
-    field = Field(weights.astype(np.float32), np.clip(trans, -8, 8), np.zeros(3), False)
+    field = Field(weights.astype(np.float32), np.clip(trans, -8, 8), np.zeros(4), False)
     gathered = np.concatenate([text_summary(field, tokens, len(own)) for tokens, own in parts])
-    scale = np.zeros(3)
+    scale = np.zeros(4)
     for _ in range(400):
         wrong = 1 / (1 + np.exp(-np.clip(gathered @ scale, -35, 35))) - labels
-        curve = gathered.T @ (gathered * 0.25) / len(labels) + 1e-3 * np.eye(3)
+        curve = gathered.T @ (gathered * 0.25) / len(labels) + 1e-3 * np.eye(4)
         scale -= np.linalg.solve(curve, gathered.T @ wrong / len(labels) + 1e-3 * scale)
     return field._replace(scale=scale)
 
 
 def text_summary(field: Field, tokens: Tokens, count: int, marginals: np.ndarray | None = None) -> np.ndarray:
-    """Constant, log of the summed marginals, and their maximum, of every row."""
+    """Constant, and of the squared marginals of every row the log of the sum, the maximum, the log of the mean."""
     if marginals is None:
         marginals = runs(emissions(field.weights, tokens), tokens.rows, field.trans, count)
+    marginals = marginals**2  # many unsure tokens of a long text shouldn't add up to a sure one
     most = np.zeros(count)
     np.maximum.at(most, tokens.rows, marginals)
     total = np.bincount(tokens.rows, marginals, count) if len(marginals) else np.zeros(count)
-    return np.stack([np.ones(count), np.log(total + 0.01), most], 1)
+    n = np.maximum(np.bincount(tokens.rows, minlength=count), 1)
+    return np.stack([np.ones(count), np.log(total + 0.01), most, np.log((total + 0.01) / n)], 1)
 
 
 def tag_texts(field: Field, column: pa.Array, table: np.ndarray, tables: Powers) -> tuple[np.ndarray, list[list[tuple[int, int]]]]:
