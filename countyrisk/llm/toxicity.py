@@ -242,10 +242,10 @@ def fit_field(examples: list[tuple[str, int]], seed: int = 3) -> Field:
 
 
 def text_summary(field: Field, tokens: Tokens, count: int, marginals: np.ndarray | None = None) -> np.ndarray:
-    """Constant, and of the squared marginals of every row the log of the sum, the maximum, the log of the mean."""
+    """Constant, and of the fourth powers of the marginals of every row the log of the sum, the maximum, the log of the mean."""
     if marginals is None:
         marginals = runs(emissions(field.weights, tokens), tokens.rows, field.trans, count)
-    marginals = marginals**2  # many unsure tokens of a long text shouldn't add up to a sure one
+    marginals = marginals**4  # many unsure tokens of a long text shouldn't add up to a sure one
     most = np.zeros(count)
     np.maximum.at(most, tokens.rows, marginals)
     total = np.bincount(tokens.rows, marginals, count) if len(marginals) else np.zeros(count)
