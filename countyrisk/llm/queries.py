@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, quality_classifier, quality_rules, secrets, topk, toxicity, url_filter
+from . import jaccard_join, mixing, packing, quality_classifier, quality_rules, secrets, topk, toxicity, url_filter
 from .url_filter import Rule
 
 # The rules that op4 judges by.
@@ -27,6 +27,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_report(_table(spark, sf_dir, "documents"))
+
+
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", 5)
 
@@ -57,6 +61,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_topk": op3_topk,
     "op4_url_filter": op4_url_filter,
     "op6_quality_classifier": op6_quality_classifier,
