@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, mixing, packing, quality_classifier, quality_rules, secrets, topk, toxicity, url_filter
+from . import jaccard_join, mixing, packing, quality_classifier, quality_rules, secrets, suffix_dedup, topk, toxicity, url_filter
 from .url_filter import Rule
 
 # The rules that op4 judges by.
@@ -39,6 +39,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_report(_table(spark, sf_dir, "documents"))
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_topk": op3_topk,
     "op4_url_filter": op4_url_filter,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
