@@ -51,7 +51,10 @@ class Bins:
             node //= 2
 
     def tightest(self, length: int, need: int) -> int | None:
-        """The compatible bin with the least room of at least ``length``; ties to the oldest."""
+        """The compatible bin with the least room of at least ``length``; ties to the oldest.
+
+        Bit 0 stands for having no bins at all: bins never have it, so empty rooms are passed over."""
+        need |= 1
         stack = [(1, 0, self.size - 1)]
         while stack:
             node, low, high = stack.pop()
@@ -68,6 +71,7 @@ class Bins:
 
     def put(self, length: int, need: int) -> tuple[int, int]:
         """Bin and the place in it."""
+        need <<= 1
         found = self.tightest(length, need)
         if found is None:
             found = len(self.room)
@@ -86,7 +90,7 @@ class Bins:
     def full(self, need: int) -> int:
         """A new bin that one piece fills."""
         self.room.append(0)
-        self.bits.append(need)
+        self.bits.append(need << 1)
         self.at[0].append(len(self.room) - 1)
         return len(self.room) - 1
 
