@@ -114,7 +114,9 @@ def smoothed(grams: DataFrame, lower: DataFrame | None, mask: int) -> tuple[Data
 
 def slotted(frame: DataFrame, code: str, value: str, count: str) -> Table:
     """The table of a frame; its rows are at most the slots."""
-    hashed = (F.col(code) * F.lit(MULTIPLIER)).bitwiseAND(F.lit(0xFFFFFFFF))
+    # code * MULTIPLIER modulo 2^32, in halves that stay below 2^63
+    low, high = F.col(code).bitwiseAND(F.lit(0xFFFF)) * F.lit(MULTIPLIER), F.shiftright(code, 16) * F.lit(MULTIPLIER)
+    hashed = (low + F.shiftleft(high.bitwiseAND(F.lit(0xFFFF)), 16)).bitwiseAND(F.lit(0xFFFFFFFF))
     rows = (
         frame.select(
             F.shiftright(hashed, 32 - SLOT_BITS).cast("int").alias("slot"),
