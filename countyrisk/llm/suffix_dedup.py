@@ -151,14 +151,16 @@ def covered_ranges(docs: DataFrame, length: int = LENGTH, reach: int = REACH, ho
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("text").cast("string").alias("text")
     )
     anchors = written(find_anchors(texts, length, reach), "anchors")
-    cores = anchors.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+    # counted cores are written, so that both sides of the joins are plain shuffles, which can be
+    # split where one core is hot
+    cores = written(anchors.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), "cores")
     met = written(anchors.join(cores, "core", "left_semi"), "anchors-met")
     kinds = met.groupBy("core", "around", "again").agg(F.count("*").alias("n"), F.min(F.struct("id", "text_hash", "place", "before", "after")).alias("one"))
     kinds = written(kinds, "kinds")
     settled = met.join(kinds.where("n > 1").select("core", "around", "again"), ["core", "around", "again"], "left_semi")
     ranges = settled.select("id", "text_hash", (F.col("place") - F.col("before")).alias("start"), (F.col("place") + F.col("after")).alias("end"))
 
-    several = kinds.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    several = written(kinds.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1"), "cores")
     wanted = kinds.join(several, "core").select("core", "n", "kinds", "one.*")
     by_row = wanted.groupBy("id", "text_hash").agg(F.collect_list(F.struct("core", "n", "kinds", "place", "before", "after")).alias("wanted"))
     around = written(cut_out(texts.join(by_row, ["id", "text_hash"])), "around")
@@ -247,7 +249,7 @@ def counted_strings(around: DataFrame, length: int, reach: int) -> DataFrame:
 
     # anchors of one text may list a string twice; a place counts once
     strings = around.mapInArrow(listed, "id long, text_hash long, start long, one long, two long").distinct()
-    repeats = strings.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two")
+    repeats = written(strings.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two"), "strings")
     return strings.join(repeats, ["one", "two"], "left_semi").select("id", "text_hash", "start", (F.col("start") + length).alias("end"))
 
 
