@@ -116,9 +116,9 @@ _DECLARATIONS = {
     "state": f"concat(' S', {_text(_disaster('o_orderkey') + ' % 50')}, ' ')",
     "declarationType": "CASE WHEN o_orderkey % 4 = 0 THEN 'EM' ELSE 'DR' END",
     "declarationDate": _iso_date("o_orderdate"),
-    "fyDeclared": _text(
+    "fyDeclared": "CASE WHEN o_orderkey % 83 = 0 THEN '20240101123' ELSE " + _text(
         f"(1995 + {_disaster('o_orderkey')} % 7 + CASE WHEN {_disaster('o_orderkey')} % 9 = 0 AND o_orderkey % 2 = 0 THEN 1 ELSE 0 END)"
-    ),
+    ) + " END",
     "incidentType": "o_orderpriority",
     "ihProgramDeclared": f"CASE WHEN o_orderkey % 12 = 0 THEN 'yes' ELSE {_text('o_orderkey % 2')} END",
     "incidentBeginDate": "CASE WHEN o_orderkey % 6 = 0 THEN 'unknown' ELSE substr(cast(o_orderdate as string), 1, 10) END",
@@ -155,7 +155,9 @@ _NRI = {
     "STATE": _state_name(_CUSTOMER_STATE),
     "STATEFIPS": _text(_CUSTOMER_STATE),
     "COUNTY": (
-        f"CASE WHEN {_CUSTOMER_STATE} = 9 AND c_custkey % 2 = 0 THEN concat({_place(_CUSTOMER_COUNTY)}, ', Connecticut') "
+        f"CASE WHEN {_CUSTOMER_STATE} = 9 AND c_custkey % 5 = 0 THEN concat({_place(_CUSTOMER_COUNTY)}, ', Connecticut, USA') "
+        f"WHEN {_CUSTOMER_STATE} = 9 AND c_custkey % 5 = 1 THEN concat({_place(_CUSTOMER_COUNTY)}, ', Conneccticut, USA') "
+        f"WHEN {_CUSTOMER_STATE} = 9 AND c_custkey % 2 = 0 THEN concat({_place(_CUSTOMER_COUNTY)}, ', Connecticut') "
         f"WHEN {_CUSTOMER_STATE} = 9 THEN concat({_place(_CUSTOMER_COUNTY)}, ' Connecticut') "
         f"WHEN c_custkey % 61 = 0 THEN '' ELSE {_place(_CUSTOMER_COUNTY)} END"
     ),

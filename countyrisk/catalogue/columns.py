@@ -29,7 +29,7 @@ def _csv(df: DataFrame, path: str, **options: str) -> None:
 def _event_csv(w: Workspace, compression: str) -> str:
     return w.written(
         f"csv_events_{compression}",
-        lambda p: _csv(w.landed("events"), p, compression=compression),
+        lambda p: _csv(w.raw("events"), p, compression=compression),
     )
 
 
@@ -48,7 +48,10 @@ def _(w: Workspace) -> DataFrame:
 
 @query("src03_crosswalk_fixed_schema", "SELECT zip, county, year, nullif(tot_ratio, '') AS tot_ratio, top_match FROM raw_crosswalk")
 def _(w: Workspace) -> DataFrame:
-    path = w.written("csv_crosswalk", lambda p: _csv(w.raw("crosswalk"), p))
+    raw = w.raw("crosswalk")
+    # another header order, and columns that aren't asked for
+    shuffled = raw.select("county", "zip", F.lit("PRATTVILLE").alias("USPS City"), "tot_ratio", "year", F.lit("0.1").alias("res_ratio"), "top_match")
+    path = w.written("csv_crosswalk", lambda p: _csv(shuffled, p))
     return files.read_crosswalk(w.spark, path)
 
 
@@ -72,74 +75,42 @@ def _(w: Workspace) -> DataFrame:
 
 
 def _bronze(w: Workspace, raw: DataFrame, dataset: str) -> DataFrame:
-    """A raw frame written in the declared column order and read by the typed reader."""
-    ordered = names.project_to(names.normalize_columns(raw), {f.name: "string" for f in schemas.BRONZE[dataset]})
-    path = w.written(f"csv_{dataset}", lambda p: _csv(ordered, p))
+    """A raw frame written under its own messy headers, in reverse order, with columns that
+    aren't declared and those that are declared but not in the frame; read by the typed reader."""
+    present = set(names.normalize_columns(raw).columns)
+    absent = [F.lit(None).cast("string").alias(f.name.upper()) for f in schemas.BRONZE[dataset] if f.name not in present]
+    path = w.written(f"csv_{dataset}", lambda p: _csv(raw.select(F.lit("?").alias("Not Declared"), *reversed(raw.columns), *absent), p))
     return files.read_bronze(w.spark, path, dataset)
 
 
-@query(
-    "src06_typed_declarations",
-    "SELECT id, try_cast(disasternumber AS BIGINT) AS disasternumber, state, try_cast(fydeclared AS BIGINT) AS fydeclared, "
-    "try_cast(fipsstatecode AS BIGINT) AS fipsstatecode, try_cast(ihprogramdeclared AS BIGINT) AS ihprogramdeclared FROM raw_declarations",
-)
-def _(w: Workspace) -> DataFrame:
-    return _bronze(w, w.landed("declarations"), "disaster_declarations").select(
-        "id", "disasternumber", "state", "fydeclared", "fipsstatecode", "ihprogramdeclared"
-    )
-
-
-@query(
-    "src06_typed_owners",
-    "SELECT state, cast(sum(try_cast(validregistrations AS BIGINT)) AS BIGINT) AS registrations, "
-    "sum(try_cast(totaldamage AS DOUBLE)) AS damage, count(zipcode) AS zips FROM raw_owners GROUP BY state",
-)
-def _(w: Workspace) -> DataFrame:
-    rows = _bronze(w, w.landed("owners"), "housing_assistance_owners")
-    return rows.groupBy("state").agg(
-        F.sum("validregistrations").alias("registrations"),
-        F.sum("totaldamage").alias("damage"),
-        F.count("zipcode").alias("zips"),
-    )
-
-
-@query(
-    "src06_typed_renters",
-    "SELECT state, cast(sum(try_cast(totalinspected AS BIGINT)) AS BIGINT) AS inspected, "
-    "sum(try_cast(rentalamount AS DOUBLE)) AS rental FROM raw_renters GROUP BY state",
-)
-def _(w: Workspace) -> DataFrame:
-    rows = _bronze(w, w.landed("renters"), "housing_assistance_renters")
-    return rows.groupBy("state").agg(F.sum("totalinspected").alias("inspected"), F.sum("rentalamount").alias("rental"))
-
-
-@query(
-    "src06_typed_scores",
-    "SELECT nri_id, statefips, try_cast(risk_score AS DOUBLE) AS risk_score, try_cast(sovi_score AS DOUBLE) AS sovi_score FROM raw_nri",
-)
-def _(w: Workspace) -> DataFrame:
-    return _bronze(w, w.raw("nri"), "nri_counties").select("nri_id", "statefips", "risk_score", "sovi_score")
-
-
-_ACS_READ = "cast(state AS BIGINT) AS state, cast(county AS BIGINT) AS county"
+_SQL_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE"}
 
 
-def _acs_query(table: str) -> None:
-    cells = list(silver.CENSUS_CELLS[table])
-    typed = ", ".join(f"try_cast({c} AS BIGINT) AS {c}" for c in cells)
+def _bronze_query(name: str, raw: str, dataset: str) -> None:
+    """All declared columns of a data set."""
+    present = set(adapters.columns(raw))
+    typed = []
+    for field in schemas.BRONZE[dataset]:
+        kind = _SQL_TYPES[field.dataType.simpleString()]
+        value = f"nullif({field.name}, '')" if field.name in present else "NULL"
+        typed.append(f"try_cast({value} AS {kind}) AS {field.name}")
 
-    @query(f"src06_typed_{table}", f"SELECT name, {typed}, {_ACS_READ} FROM raw_{table}")
+    @query(f"src06_typed_{name}", f"SELECT {', '.join(typed)} FROM raw_{raw}")
     def _(w: Workspace) -> DataFrame:
-        return _bronze(w, w.raw(table), f"acs5_2022_{table}").select("name", *cells, "state", "county")
+        return _bronze(w, w.raw(raw), dataset)
 
 
+_bronze_query("declarations", "declarations", "disaster_declarations")
+_bronze_query("owners", "owners", "housing_assistance_owners")
+_bronze_query("renters", "renters", "housing_assistance_renters")
+_bronze_query("scores", "nri", "nri_counties")
 for _table in silver.CENSUS_CELLS:
-    _acs_query(_table)
+    _bronze_query(_table, _table, f"acs5_2022_{_table}")
 
 
 @query("src07_repeated_headers", "SELECT year, event_id AS year__dup1, cz_name AS name, state AS name__dup1 FROM raw_events")
 def _(w: Workspace) -> DataFrame:
-    read = w.landed("events").select("YEAR", "EVENT_ID", "CZ_NAME", "STATE").toDF("YEAR0", "Year1", "NAME2", "NAME3")
+    read = w.raw("events").select("YEAR", "EVENT_ID", "CZ_NAME", "STATE").toDF("YEAR0", "Year1", "NAME2", "NAME3")
     return names.normalize_header(read, ("year", "name"))
 
 
@@ -290,7 +261,7 @@ def _(w: Workspace) -> DataFrame:
 def _(w: Workspace) -> DataFrame:
     path = scratch_dir(w.spark, "snk11")
     ranked = ranking.rank_counties(w.mart(), "structural", 1998, 100).select("county_fips", "year", "nri_risk_score")
-    tables.export_csv(ranked, path)
+    tables.export_csv(ranked, path, [F.desc_nulls_last("nri_risk_score"), F.asc("county_fips")], 100)
     return w.spark.read.schema("county_fips string, year int, nri_risk_score double").option("header", True).csv(path)
 
 
@@ -304,19 +275,19 @@ def _(w: Workspace) -> DataFrame:
 
 @query("cn01_snake_case", "SELECT event_id, state_fips, begin_date_time FROM raw_events")
 def _(w: Workspace) -> DataFrame:
-    events = w.landed("events")
+    events = w.raw("events")
     wanted = ("event_id", "state_fips", "begin_date_time")
     return events.select(*[F.col(f"`{c}`").alias(names.snake_case(c)) for c in events.columns if names.snake_case(c) in wanted])
 
 
 @query("cn02_normalize_columns", f"SELECT {', '.join(adapters.columns('declarations'))} FROM raw_declarations")
 def _(w: Workspace) -> DataFrame:
-    return names.normalize_columns(w.landed("declarations"))
+    return names.normalize_columns(w.raw("declarations"))
 
 
 @query("cn03_unique_columns", "SELECT year, begin_day AS year__dup1, event_id AS year__dup2 FROM raw_events")
 def _(w: Workspace) -> DataFrame:
-    return names.make_unique_columns(w.landed("events").select("YEAR", "BEGIN_DAY", "EVENT_ID").toDF("year", "year", "year"))
+    return names.make_unique_columns(w.raw("events").select("YEAR", "BEGIN_DAY", "EVENT_ID").toDF("year", "year", "year"))
 
 
 @query("cn04_canonical_name", "SELECT coalesce(nullif(name, 'Lake F City, State 1'), county) AS name, state FROM raw_b01001")
@@ -329,7 +300,7 @@ def _(w: Workspace) -> DataFrame:
 
 @query("cn05_coalesce_columns", "SELECT event_id, coalesce(category, cz_name, state) AS label FROM raw_events")
 def _(w: Workspace) -> DataFrame:
-    events = names.normalize_columns(w.landed("events"))
+    events = names.normalize_columns(w.raw("events"))
     return names.coalesce_columns(events, ("category", "absent", "cz_name", "state"), "label").select("event_id", "label")
 
 
@@ -339,12 +310,12 @@ def _(w: Workspace) -> DataFrame:
 )
 def _(w: Workspace) -> DataFrame:
     wanted = {"id": "string", "disasternumber": "bigint", "zipcode": "string", "totaldamage": "double"}
-    return names.project_to(names.normalize_columns(w.landed("renters")), wanted)
+    return names.project_to(names.normalize_columns(w.raw("renters")), wanted)
 
 
 @query("cn07_blank_to_null", f"SELECT event_id, {blank('state')} AS state, {blank('cz_fips')} AS cz_fips FROM raw_events")
 def _(w: Workspace) -> DataFrame:
-    events = names.normalize_columns(w.landed("events"))
+    events = names.normalize_columns(w.raw("events"))
     return casts.blanks_to_null(events, ("state", "cz_fips", "absent")).select("event_id", "state", "cz_fips")
 
 
@@ -355,7 +326,7 @@ def _(w: Workspace) -> DataFrame:
 )
 def _(w: Workspace) -> DataFrame:
     events = casts.try_casts(
-        names.normalize_columns(w.landed("events")), {"int": silver.EVENT_INTS, "double": silver.EVENT_DOUBLES}
+        names.normalize_columns(w.raw("events")), {"int": silver.EVENT_INTS, "double": silver.EVENT_DOUBLES}
     )
     return events.select("event_id", "injuries_direct", "deaths_direct", "magnitude")
 
@@ -366,7 +337,7 @@ def _(w: Workspace) -> DataFrame:
     r"(SELECT * REPLACE (try_cast(regexp_extract(year, '(\d{4})', 1) AS INT) AS year) FROM raw_events) WHERE year IS NOT NULL",
 )
 def _(w: Workspace) -> DataFrame:
-    events = casts.with_year(names.normalize_columns(w.landed("events"))).filter("year IS NOT NULL")
+    events = casts.with_year(names.normalize_columns(w.raw("events"))).filter("year IS NOT NULL")
     return events.select(
         "event_id", *[casts.parse_timestamp(c, "year").alias(c) for c in ("begin_date_time", "end_date_time")]
     )
@@ -377,35 +348,35 @@ def _(w: Workspace) -> DataFrame:
     "SELECT id, try_cast(substr(declarationdate, 1, 10) AS DATE) AS declarationdate, try_cast(substr(incidentbegindate, 1, 10) AS DATE) AS incidentbegindate FROM raw_declarations",
 )
 def _(w: Workspace) -> DataFrame:
-    rows = names.normalize_columns(w.landed("declarations"))
+    rows = names.normalize_columns(w.raw("declarations"))
     return casts.try_dates(rows, silver.DECLARATION_DATES).select("id", "declarationdate", "incidentbegindate")
 
 
 @query("cn11_year", r"SELECT event_id, try_cast(regexp_extract(year, '(\d{4})', 1) AS INT) AS year FROM raw_events")
 def _(w: Workspace) -> DataFrame:
-    return casts.with_year(names.normalize_columns(w.landed("events"))).select("event_id", "year")
+    return casts.with_year(names.normalize_columns(w.raw("events"))).select("event_id", "year")
 
 
 @query("cn12_required_keys", "SELECT event_id, episode_id, state, cz_fips, year FROM keyed_events")
 def _(w: Workspace) -> DataFrame:
-    return silver.keyed_events(w.landed("events")).select("event_id", "episode_id", "state", "cz_fips", "year")
+    return silver.keyed_events(w.raw("events")).select("event_id", "episode_id", "state", "cz_fips", "year")
 
 
 @query("cn13_literal_tags", "SELECT id, 'owner' AS tenure, 2022 AS acs_year FROM raw_owners")
 def _(w: Workspace) -> DataFrame:
-    return w.landed("owners").select("id", F.lit("owner").alias("tenure"), F.lit(2022).alias("acs_year"))
+    return w.raw("owners").select("id", F.lit("owner").alias("tenure"), F.lit(2022).alias("acs_year"))
 
 
 @query("cn14_damage_strict", f"SELECT event_id, damage_property, {strict('damage_property')} AS usd FROM raw_events")
 def _(w: Workspace) -> DataFrame:
-    return w.landed("events").select(
+    return w.raw("events").select(
         F.col("EVENT_ID").alias("event_id"), F.col("DAMAGE_PROPERTY").alias("damage_property"), damage.damage_usd_strict("DAMAGE_PROPERTY").alias("usd")
     )
 
 
 @query("cn15_damage_lenient", f"SELECT event_id, damage_property, {lenient('damage_property')} AS usd FROM raw_events")
 def _(w: Workspace) -> DataFrame:
-    return w.landed("events").select(
+    return w.raw("events").select(
         F.col("EVENT_ID").alias("event_id"), F.col("DAMAGE_PROPERTY").alias("damage_property"), damage.damage_usd_lenient("DAMAGE_PROPERTY").alias("usd")
     )
 
@@ -428,7 +399,7 @@ def _(w: Workspace) -> DataFrame:
     "SELECT event_id, trim(cz_type) AS trimmed, upper(cz_type) AS upper_type, lower(state) AS lower_state, length(cz_name) AS name_length FROM raw_events",
 )
 def _(w: Workspace) -> DataFrame:
-    return w.landed("events").select(
+    return w.raw("events").select(
         F.col("EVENT_ID").alias("event_id"),
         F.trim("CZ_TYPE").alias("trimmed"),
         F.upper("CZ_TYPE").alias("upper_type"),
@@ -442,7 +413,7 @@ def _(w: Workspace) -> DataFrame:
     "SELECT event_id, lpad(cz_fips, 3, '0') AS padded, concat_ws('-', state, cz_name) AS joined, substr(damage_crops, -1) AS suffix FROM raw_events",
 )
 def _(w: Workspace) -> DataFrame:
-    return w.landed("events").select(
+    return w.raw("events").select(
         F.col("EVENT_ID").alias("event_id"),
         F.lpad("CZ_FIPS", 3, "0").alias("padded"),
         F.concat_ws("-", "STATE", "CZ_NAME").alias("joined"),
@@ -455,7 +426,7 @@ def _(w: Workspace) -> DataFrame:
     r"SELECT event_id, regexp_replace(cz_name, '[^A-Za-z]', '', 'g') AS letters, regexp_extract(year, '(\d{4})', 1) AS digits, regexp_matches(cz_name, '\(C\)$') AS marked FROM raw_events",
 )
 def _(w: Workspace) -> DataFrame:
-    return w.landed("events").select(
+    return w.raw("events").select(
         F.col("EVENT_ID").alias("event_id"),
         F.regexp_replace("CZ_NAME", "[^A-Za-z]", "").alias("letters"),
         F.regexp_extract("YEAR", r"(\d{4})", 1).alias("digits"),
@@ -468,7 +439,7 @@ def _(w: Workspace) -> DataFrame:
     "SELECT id, coalesce(zipcode, city) AS place, nullif(validregistrations, 'x') AS registrations, CASE WHEN rentalamount IS NULL THEN 'none' ELSE 'some' END AS rental FROM raw_owners",
 )
 def _(w: Workspace) -> DataFrame:
-    return names.normalize_columns(w.landed("owners")).select(
+    return names.normalize_columns(w.raw("owners")).select(
         "id",
         F.coalesce("zipcode", "city").alias("place"),
         F.nullif("validregistrations", F.lit("x")).alias("registrations"),
@@ -508,7 +479,7 @@ def _(w: Workspace) -> DataFrame:
 
 @query("fn08_sha2", "SELECT event_id, sha256(cz_name) AS name_hash FROM raw_events WHERE cz_name IS NOT NULL")
 def _(w: Workspace) -> DataFrame:
-    rows = w.landed("events").filter("CZ_NAME IS NOT NULL")
+    rows = w.raw("events").filter("CZ_NAME IS NOT NULL")
     return rows.select(F.col("EVENT_ID").alias("event_id"), F.sha2("CZ_NAME", 256).alias("name_hash"))
 
 

@@ -15,8 +15,7 @@ from .workspace import WINDOW, Workspace
 
 
 def _raw(w: Workspace, name: str) -> DataFrame:
-    frame = w.landed(name) if name in ("events", "declarations", "owners", "renters") else w.raw(name)
-    return names.normalize_columns(frame)
+    return names.normalize_columns(w.raw(name))
 
 
 # --- keys ---------------------------------------------------------------------------
@@ -88,7 +87,7 @@ def _(w: Workspace) -> DataFrame:
     "SELECT event_id, episode_id, state_fips_norm, county_fips_raw_candidate, cz_name_norm, cz_name_compact FROM candidates",
 )
 def _(w: Workspace) -> DataFrame:
-    return resolve.with_candidate_key(silver.unique_events(w.landed("events"))).select(
+    return resolve.with_candidate_key(silver.unique_events(w.raw("events"))).select(
         "event_id", "episode_id", "state_fips_norm", "county_fips_raw_candidate", "cz_name_norm", "cz_name_compact"
     )
 
@@ -117,7 +116,7 @@ def _(w: Workspace) -> DataFrame:
     "SELECT event_id, county_fips, county_fips_raw_candidate, county_fips_mapping_method FROM classified",
 )
 def _(w: Workspace) -> DataFrame:
-    return silver.clean_events(w.landed("events"), w.counties()).select(
+    return silver.clean_events(w.raw("events"), w.counties()).select(
         "event_id", "county_fips", "county_fips_raw_candidate", resolve.METHOD
     )
 
@@ -128,7 +127,7 @@ def _(w: Workspace) -> DataFrame:
     "count(*) AS n, count(county_fips) AS keyed FROM classified GROUP BY 1",
 )
 def _(w: Workspace) -> DataFrame:
-    parts = resolve.split_outcomes(silver.clean_events(w.landed("events"), w.counties()))
+    parts = resolve.split_outcomes(silver.clean_events(w.raw("events"), w.counties()))
     out = None
     for outcome, rows in parts.items():
         counted = rows.groupBy(F.lit(outcome).alias("outcome")).agg(
@@ -175,7 +174,7 @@ def _(w: Workspace) -> DataFrame:
 )
 def _(w: Workspace) -> DataFrame:
     base = w.scores().select(
-        "county_fips", "state", geonames.without_last_part("county").alias("nri_name")
+        "county_fips", "state", geonames.without_listed_state(geonames.without_last_part("county")).alias("nri_name")
     ).join(gold.census_latest_name(w.census()), "county_fips", "left")
     census = geonames.without_state_suffix("county_name", "state")
     return base.select("county_fips", geonames.display_name("county_fips", "nri_name", census).alias("county_name"))
@@ -183,11 +182,12 @@ def _(w: Workspace) -> DataFrame:
 
 @query(
     "geo21_connecticut_names",
-    r"SELECT nri_id, CASE WHEN state = 'Connecticut' THEN trim(regexp_replace(county, ' +Connecticut$', '')) ELSE county END AS county_name, "
-    r"lower(trim(CASE WHEN state = 'Connecticut' THEN trim(regexp_replace(county, ' +Connecticut$', '')) ELSE county END)) AS county_name_normalized FROM raw_nri",
+    r"SELECT nri_id, CASE WHEN state = 'Connecticut' THEN trim(regexp_replace(cut, ' +Connecticut$', '')) ELSE cut END AS county_name, "
+    r"lower(trim(CASE WHEN state = 'Connecticut' THEN trim(regexp_replace(cut, ' +Connecticut$', '')) ELSE cut END)) AS county_name_normalized FROM "
+    r"(SELECT nri_id, state, trim(regexp_replace(regexp_replace(trim(regexp_replace(county, ',\s*[^,]+$', '')), ',\s*Connecticut$', ''), ',\s*Conneccticut$', '')) AS cut FROM raw_nri)",
 )
 def _(w: Workspace) -> DataFrame:
-    shown = geonames.without_trailing_state("county", "state")
+    shown = geonames.without_trailing_state(geonames.without_listed_state(geonames.without_last_part("county")), "state")
     return _raw(w, "nri").select(
         "nri_id", shown.alias("county_name"), geonames.search_form(shown).alias("county_name_normalized")
     )
@@ -203,13 +203,14 @@ def _(w: Workspace) -> DataFrame:
 
 @query(
     "geo23_user_key",
-    "SELECT county_fips, CASE WHEN d = '' OR length(d) > 5 THEN d ELSE lpad(d, 5, '0') END AS user_fips, "
-    "regexp_full_match(CASE WHEN d = '' OR length(d) > 5 THEN d ELSE lpad(d, 5, '0') END, '[0-9]{5}') AS valid "
-    "FROM (SELECT county_fips, regexp_replace(county_fips, '[^0-9]', '', 'g') AS d FROM raw_centroids)",
+    "SELECT county_fips, CASE WHEN length(d) > 5 THEN d ELSE lpad(d, 5, '0') END AS user_fips, "
+    "regexp_full_match(CASE WHEN length(d) > 5 THEN d ELSE lpad(d, 5, '0') END, '[0-9]{5}') AS valid "
+    "FROM (SELECT county_fips, regexp_replace(county_fips, '[^0-9]', '', 'g') AS d FROM (SELECT CASE WHEN lat IS NULL THEN 'none' ELSE county_fips END AS county_fips FROM raw_centroids))",
 )
 def _(w: Workspace) -> DataFrame:
     key = fips.user_fips("county_fips")
-    return w.raw("centroids").select("county_fips", key.alias("user_fips"), fips.is_user_fips(key).alias("valid"))
+    typed = w.raw("centroids").select(F.when(F.col("lat").isNull(), "none").otherwise(F.col("county_fips")).alias("county_fips"))
+    return typed.select("county_fips", key.alias("user_fips"), fips.is_user_fips(key).alias("valid"))
 
 
 @query("geo24_centroids", "SELECT county_fips, county_name, state, lat, lon FROM centroids")
@@ -292,7 +293,7 @@ def _(w: Workspace) -> DataFrame:
     "SELECT county_fips_mapping_method, count(*) AS n, count(DISTINCT county_fips) AS counties FROM classified GROUP BY 1",
 )
 def _(w: Workspace) -> DataFrame:
-    rows = silver.clean_events(w.landed("events"), w.counties())
+    rows = silver.clean_events(w.raw("events"), w.counties())
     return rows.groupBy(resolve.METHOD).agg(
         F.count("*").alias("n"), F.count_distinct("county_fips").alias("counties")
     )

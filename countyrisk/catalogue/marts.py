@@ -100,7 +100,7 @@ def _(w: Workspace) -> DataFrame:
 
 @query("ag11_duplicate_groups", "SELECT event_id, episode_id, count(*) AS cnt FROM keyed_events GROUP BY 1, 2 HAVING count(*) > 1")
 def _(w: Workspace) -> DataFrame:
-    return checks.duplicate_groups(silver.keyed_events(w.landed("events")), ("event_id", "episode_id"))
+    return checks.duplicate_groups(silver.keyed_events(w.raw("events")), ("event_id", "episode_id"))
 
 
 @query(
@@ -148,7 +148,7 @@ def _(w: Workspace) -> DataFrame:
 
 @query(
     "ag17_legend_range",
-    "SELECT min(v) AS low, quantile_cont(v, 0.5) AS median, max(v) AS high FROM (SELECT cast(noaa_event_count AS DOUBLE) AS v FROM mart)",
+    "SELECT min(v) AS low, quantile_disc(v, 0.5) AS median, max(v) AS high FROM (SELECT cast(noaa_event_count AS DOUBLE) AS v FROM mart)",
 )
 def _(w: Workspace) -> DataFrame:
     return ranking.metric_range(w.mart(), "noaa_event_count")
@@ -275,7 +275,7 @@ _INTENSITY = "round(fema_valid_registrations / nullif(cast(noaa_event_count AS D
     "ORDER BY claims_per_event DESC NULLS LAST, county_fips LIMIT 25",
 )
 def _(w: Workspace) -> DataFrame:
-    return ranking.claim_intensity(w.mart(), YEAR, YEAR)
+    return ranking.claim_intensity(w.mart(), YEAR, YEAR, 25)
 
 
 @query(
@@ -283,7 +283,7 @@ def _(w: Workspace) -> DataFrame:
     f"SELECT {_RANK} FROM mart WHERE year = {YEAR} AND noaa_event_count = 0 ORDER BY nri_risk_score DESC NULLS LAST, fema_valid_registrations DESC, county_fips LIMIT 50",
 )
 def _(w: Workspace) -> DataFrame:
-    return ranking.quiet_but_risky(w.mart(), YEAR)
+    return ranking.quiet_but_risky(w.mart(), YEAR, 50)
 
 
 @query(
@@ -292,7 +292,7 @@ def _(w: Workspace) -> DataFrame:
     f"WHERE county_fips = '{COUNTY}' AND year = {YEAR} ORDER BY event_count DESC, hazard_type, hazard_category LIMIT 50",
 )
 def _(w: Workspace) -> DataFrame:
-    return ranking.hazard_breakdown(w.summary(), "4004", YEAR)
+    return ranking.hazard_breakdown(w.summary(), "4004", YEAR, 50)
 
 
 @query(
@@ -346,8 +346,8 @@ def _(w: Workspace) -> DataFrame:
     "SELECT tenure, count(*) AS n, count(totaldamage) AS damages FROM claims_union GROUP BY tenure",
 )
 def _(w: Workspace) -> DataFrame:
-    owners = names.project_to(names.normalize_columns(w.landed("owners")).withColumn("tenure", F.lit("owner")), schemas.CLAIMS)
-    renters = names.project_to(names.normalize_columns(w.landed("renters")).withColumn("tenure", F.lit("renter")), schemas.CLAIMS)
+    owners = names.project_to(names.normalize_columns(w.raw("owners")).withColumn("tenure", F.lit("owner")), schemas.CLAIMS)
+    renters = names.project_to(names.normalize_columns(w.raw("renters")).withColumn("tenure", F.lit("renter")), schemas.CLAIMS)
     both = owners.unionByName(renters)
     return both.groupBy("tenure").agg(
         F.count("*").alias("n"), F.count(F.col("totaldamage").try_cast("double")).alias("damages")
@@ -361,7 +361,7 @@ def _(w: Workspace) -> DataFrame:
 
 @query("st4_dedupe", "SELECT event_id, episode_id, run_dt, begin_date_time, damage_property FROM uniq_raw")
 def _(w: Workspace) -> DataFrame:
-    rows = dedupe.dedupe(silver.keyed_events(w.landed("events")), ("event_id", "episode_id"))
+    rows = dedupe.dedupe(silver.keyed_events(w.raw("events")), ("event_id", "episode_id"))
     return rows.select("event_id", "episode_id", "run_dt", "begin_date_time", "damage_property")
 
 
@@ -382,7 +382,7 @@ def _(w: Workspace) -> DataFrame:
     "sha256(concat_ws('||', event_id, episode_id, coalesce(category, '~'))) AS row_key_nulls FROM raw_events",
 )
 def _(w: Workspace) -> DataFrame:
-    events = names.normalize_columns(w.landed("events"))
+    events = names.normalize_columns(w.raw("events"))
     columns = ("event_id", "episode_id", "category")
     keyed = dedupe.surrogate_key(events, columns, "row_key")
     return dedupe.surrogate_key(keyed, columns, "row_key_nulls", "~").select("event_id", "row_key", "row_key_nulls")
@@ -413,12 +413,12 @@ def _(w: Workspace) -> DataFrame:
 
 @query("sv2_declarations_clean", f"SELECT {', '.join(adapters.columns('declarations'))}, county_fips FROM declarations")
 def _(w: Workspace) -> DataFrame:
-    return silver.clean_declarations(w.landed("declarations"))
+    return silver.clean_declarations(w.raw("declarations"))
 
 
 @query("sv3_claims_clean", f"SELECT {', '.join(schemas.CLAIMS)} FROM claims")
 def _(w: Workspace) -> DataFrame:
-    return silver.clean_claims(w.landed("owners"), w.landed("renters"))
+    return silver.clean_claims(w.raw("owners"), w.raw("renters"))
 
 
 @query("sv4_scores_clean", f"SELECT {', '.join(adapters.columns('nri'))}, county_fips FROM scores")
@@ -449,7 +449,7 @@ def _(w: Workspace) -> DataFrame:
 def _(w: Workspace) -> DataFrame:
     return silver.job_metrics(
         "fema_disaster_declarations_clean",
-        w.landed("declarations"),
+        w.raw("declarations"),
         w.declarations(),
         ("disasternumber", "county_fips"),
     )

@@ -36,7 +36,7 @@ def _failing(source: str, condition: str) -> str:
 
 @query("qa01_rowcount_nonzero", "SELECT cast(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS BIGINT) AS failures FROM raw_events")
 def _(w: Workspace) -> DataFrame:
-    return quality.rowcount_nonzero(w.landed("events"))
+    return quality.rowcount_nonzero(w.raw("events"))
 
 
 @query(
@@ -45,7 +45,7 @@ def _(w: Workspace) -> DataFrame:
     "('end_date_time'), ('year')) AS t(c) WHERE c NOT IN (SELECT lower(column_name) FROM (DESCRIBE SELECT event_id, episode_id, state FROM raw_events))",
 )
 def _(w: Workspace) -> DataFrame:
-    seen = names.normalize_columns(w.landed("events")).select("event_id", "episode_id", "state")
+    seen = names.normalize_columns(w.raw("events")).select("event_id", "episode_id", "state")
     missing = checks.required_columns(seen, schemas.EVENT_REQUIRED)
     return seen.limit(1).agg(F.lit(missing).cast("bigint").alias("failures"))
 
@@ -55,7 +55,7 @@ def _(w: Workspace) -> DataFrame:
     _failing("raw_events", " OR ".join(f"{c} IS NULL" for c in quality.GRAIN_KEYS)),
 )
 def _(w: Workspace) -> DataFrame:
-    return _row(names.normalize_columns(w.landed("events")), checks.any_null(quality.GRAIN_KEYS))
+    return _row(names.normalize_columns(w.raw("events")), checks.any_null(quality.GRAIN_KEYS))
 
 
 @query(
@@ -73,7 +73,7 @@ def _(w: Workspace) -> DataFrame:
     r"SELECT cast(CASE WHEN count(*) = 0 OR count(*) > count(year) THEN 1 ELSE 0 END AS BIGINT) AS failures FROM (SELECT try_cast(regexp_extract(year, '(\d{4})', 1) AS INT) AS year FROM raw_events)",
 )
 def _(w: Workspace) -> DataFrame:
-    return _row(casts.with_year(names.normalize_columns(w.landed("events"))), checks.year_complete())
+    return _row(casts.with_year(names.normalize_columns(w.raw("events"))), checks.year_complete())
 
 
 _CANONICAL = f"(SELECT DISTINCT trim(county_fips) FROM census WHERE {sane('county_fips')})"
@@ -91,6 +91,11 @@ def _groups(source: str, grain: str) -> str:
     return f"SELECT count(*) AS failures FROM (SELECT 1 FROM {source} GROUP BY {grain} HAVING count(*) > 1)"
 
 
+@query("qa05_summary_keys_in_census", f"SELECT count(DISTINCT county_fips) AS failures FROM summary WHERE county_fips NOT IN {_CANONICAL}")
+def _(w: Workspace) -> DataFrame:
+    return checks.referential(w.summary(), w.census())
+
+
 @query("qa06_summary_grain_three_columns", _groups("summary", "county_fips, year, hazard_type"))
 def _(w: Workspace) -> DataFrame:
     return checks.unique(w.summary(), ("county_fips", "year", "hazard_type"))
@@ -127,6 +132,11 @@ def _(w: Workspace) -> DataFrame:
     return _row(w.summary_lenient(), checks.outside_window(WINDOW.first, WINDOW.last))
 
 
+@query("qa11_mart_year_window", "SELECT cast(CASE WHEN EXISTS (SELECT 1 FROM mart WHERE year NOT BETWEEN 1996 AND 2000) THEN 1 ELSE 0 END AS BIGINT) AS failures")
+def _(w: Workspace) -> DataFrame:
+    return _row(w.mart(), checks.outside_window(WINDOW.first, WINDOW.last))
+
+
 @query("qa12_unmapped_hazards", "SELECT DISTINCT event_type FROM events_clean WHERE event_type NOT IN (SELECT event_type FROM type_map)")
 def _(w: Workspace) -> DataFrame:
     return checks.unmapped(w.events(), w.type_map(), "event_type", "event_type")
@@ -137,6 +147,23 @@ def _(w: Workspace) -> DataFrame:
     return checks.duplicate_groups(w.dim().filter("county_name IS NOT NULL"), ["county_name"])
 
 
+@query("qa13_county_dim_keys_unique", "SELECT county_fips, count(*) AS cnt FROM (SELECT county_fips FROM dim UNION ALL SELECT county_fips FROM dim WHERE state = 'Connecticut') GROUP BY county_fips HAVING count(*) > 1")
+def _(w: Workspace) -> DataFrame:
+    # the keys of one state a second time, so that there is something to find
+    seeded = w.dim().unionByName(w.dim().filter("state = 'Connecticut'"))
+    return checks.duplicate_groups(seeded.select("county_fips"), ["county_fips"])
+
+
+@query(
+    "qa14_universe_rowcount_of_the_universe",
+    "SELECT c.n AS counties, y.n AS years, c.n * y.n AS expected_universe_rows, u.n AS universe_rows FROM (SELECT count(*) AS n FROM dim) c, "
+    "(SELECT count(*) AS n FROM years) y, (SELECT count(*) AS n FROM universe WHERE year <> 1998) u WHERE c.n * y.n <> u.n",
+)
+def _(w: Workspace) -> DataFrame:
+    # the whole universe agrees (tests); without a year it must not
+    return quality.universe_mismatch(w.dim(), w.years(), w.universe().filter("year <> 1998"))
+
+
 @query(
     "qa14_universe_rowcount",
     "SELECT c.n AS counties, y.n AS years, c.n * y.n AS expected_universe_rows, u.n AS universe_rows FROM (SELECT count(*) AS n FROM dim) c, "
@@ -387,6 +414,18 @@ def _(w: Workspace) -> DataFrame:
     )
 
 
+@query("gt6_rerun_of_one_date", "SELECT county_fips, year, noaa_event_count FROM mart")
+def _(w: Workspace) -> DataFrame:
+    """A bad second run of a date leaves the good version of that date in view."""
+    path = f"{scratch_dir(w.spark, 'gt6-rerun')}/run_dt=2024-03-31"
+    suite = lambda t: quality.mart_suite(t, w.mart(), w.mart(), WINDOW)
+    publish.publish_version(w.mart(), "risk_feature_mart", "2024-03-31", path, suite)
+    bad = publish.publish_version(w.mart().filter("year <> 1998"), "risk_feature_mart", "2024-03-31", path, suite)
+    if bad.promoted:
+        raise AssertionError("the gate let the wrong version through")
+    return w.spark.table("default.risk_feature_mart_current").select("county_fips", "year", "noaa_event_count")
+
+
 def _run_log(w: Workspace) -> DataFrame:
     """Quality report of each suite appended to a log, then read back."""
     path = scratch_dir(w.spark, "run_log")
@@ -568,7 +607,7 @@ _RANK = ", ".join(ranking.RANK_COLUMNS)
     f"SELECT {_RANK} FROM mart WHERE year = 1997 AND noaa_event_count = 0 ORDER BY nri_risk_score DESC NULLS LAST, fema_valid_registrations DESC, county_fips LIMIT 50",
 )
 def _(w: Workspace) -> DataFrame:
-    return serving.ranking.quiet_but_risky(w.mart(), 1997)
+    return serving.ranking.quiet_but_risky(w.mart(), 1997, 50)
 
 
 @query("sq05_county_lookup", f"SELECT county_fips, county_name, state, lat, lon FROM centroids WHERE county_fips = '{COUNTY}' LIMIT 1")
@@ -589,16 +628,16 @@ _PER_EVENT = "fema_valid_registrations / nullif(cast(noaa_event_count AS DOUBLE)
     f"SELECT county_fips, year, fema_valid_registrations, noaa_event_count, round({_PER_EVENT}, 2) AS claims_per_event FROM mart WHERE year = 1999 ORDER BY claims_per_event DESC NULLS LAST, county_fips LIMIT 25",
 )
 def _(w: Workspace) -> DataFrame:
-    return ranking.claim_intensity(w.mart(), 1999, 1999)
+    return ranking.claim_intensity(w.mart(), 1999, 1999, 25)
 
 
 @query(
     "sq08_hazard_breakdown",
-    "SELECT hazard_type, hazard_category, event_count, total_fatalities, total_injuries, avg_property_damage FROM summary WHERE county_fips = '10010' AND year = 1999 "
+    "SELECT hazard_type, hazard_category, event_count, total_fatalities, total_injuries, avg_property_damage FROM summary WHERE county_fips = '04004' AND year = 1999 "
     "ORDER BY event_count DESC, hazard_type, hazard_category LIMIT 50",
 )
 def _(w: Workspace) -> DataFrame:
-    return ranking.hazard_breakdown(w.summary(), "10010", 1999)
+    return ranking.hazard_breakdown(w.summary(), "04-004", 1999, 50)
 
 
 @query(
@@ -649,7 +688,7 @@ def _(w: Workspace) -> DataFrame:
     f"SELECT 100.0 * avg(CASE WHEN noaa_event_count = 0 THEN 1.0 ELSE 0.0 END) AS zero_event_pct FROM (SELECT * FROM mart WHERE year = {YEAR} ORDER BY fema_total_damage DESC, fema_valid_registrations DESC, county_fips LIMIT 1000)",
 )
 def _(w: Workspace) -> DataFrame:
-    return serving.quiet_share(ranking.rank_counties(w.mart(), "impact", YEAR))
+    return serving.quiet_share(ranking.rank_counties(w.mart(), "impact", YEAR, 1000))
 
 
 @query(

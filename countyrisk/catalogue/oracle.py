@@ -267,7 +267,7 @@ CTES["noaa_county_year"] = (
     f"avg({strict('damage_property')}) AS noaa_avg_property_damage FROM events_clean WHERE {sane('county_fips')} AND year BETWEEN {LO} AND {HI} GROUP BY county_fips, year"
 )
 CTES["decl_years"] = (
-    "SELECT DISTINCT disasternumber, trim(state) AS state, cast(fydeclared AS INT) AS year FROM declarations "
+    "SELECT DISTINCT disasternumber, trim(state) AS state, try_cast(fydeclared AS INT) AS year FROM declarations "
     f"WHERE disasternumber IS NOT NULL AND trim(state) <> '' AND fydeclared BETWEEN {LO} AND {HI}"
 )
 CTES["fema_county_year"] = (
@@ -312,7 +312,7 @@ _OVERRIDE = "CASE county_fips " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in
 CTES["dim_names"] = (
     r"SELECT county_fips, state, state_fips_str, coalesce(" + _OVERRIDE + r", nullif(nri_name, ''), nullif(census_name, '')) AS name FROM ("
     r"SELECT n.*, CASE WHEN regexp_matches(c.county_name, concat(',\s*', n.state, '$')) THEN trim(regexp_replace(c.county_name, concat(',\s*', n.state, '$'), '')) END AS census_name "
-    r"FROM (SELECT county_fips, max(state) AS state, max(statefips) AS state_fips_str, trim(regexp_replace(max(county), ',\s*[^,]+$', '')) AS nri_name FROM scores GROUP BY county_fips) n "
+    r"FROM (SELECT county_fips, max(state) AS state, max(statefips) AS state_fips_str, trim(regexp_replace(regexp_replace(trim(regexp_replace(max(county), ',\s*[^,]+$', '')), ',\s*Connecticut$', ''), ',\s*Conneccticut$', '')) AS nri_name FROM scores GROUP BY county_fips) n "
     r"LEFT JOIN census_name c ON n.county_fips = c.county_fips)"
 )
 CTES["dim"] = (
@@ -320,7 +320,7 @@ CTES["dim"] = (
     "lower(trim(shown)) AS county_name_normalized FROM (SELECT *, CASE WHEN state = 'Connecticut' THEN trim(regexp_replace(name, ' +Connecticut$', '')) ELSE name END AS shown FROM dim_names)"
 )
 CTES["years"] = (
-    "SELECT DISTINCT year FROM (SELECT cast(year(begin_date_time) AS INT) AS year FROM events_clean UNION SELECT cast(fydeclared AS INT) FROM declarations) WHERE year IS NOT NULL"
+    "SELECT DISTINCT year FROM (SELECT cast(year(begin_date_time) AS INT) AS year FROM events_clean UNION SELECT try_cast(fydeclared AS INT) FROM declarations) WHERE year IS NOT NULL"
 )
 CTES["universe"] = "SELECT county_fips, year FROM dim, years"
 CTES["noaa_rollup"] = (
@@ -328,8 +328,8 @@ CTES["noaa_rollup"] = (
     "cast(sum(total_injuries) AS BIGINT) AS noaa_total_injuries, avg(avg_property_damage) AS noaa_avg_property_damage FROM summary_lenient GROUP BY county_fips, year"
 )
 CTES["decls_county_year"] = (
-    "SELECT county_fips, cast(fydeclared AS INT) AS year, count(*) AS fema_declaration_count FROM declarations "
-    "WHERE county_fips IS NOT NULL AND fydeclared IS NOT NULL GROUP BY 1, 2"
+    "SELECT county_fips, try_cast(fydeclared AS INT) AS year, count(*) AS fema_declaration_count FROM declarations "
+    "WHERE county_fips IS NOT NULL AND try_cast(fydeclared AS INT) IS NOT NULL GROUP BY 1, 2"
 )
 CTES["claims_by_disaster"] = (
     "SELECT disasternumber, "
@@ -337,8 +337,8 @@ CTES["claims_by_disaster"] = (
     + " FROM claims WHERE disasternumber IS NOT NULL GROUP BY 1"
 )
 CTES["county_map"] = (
-    "SELECT DISTINCT disasternumber, county_fips, cast(fydeclared AS INT) AS year FROM declarations "
-    "WHERE disasternumber IS NOT NULL AND county_fips IS NOT NULL AND fydeclared IS NOT NULL"
+    "SELECT DISTINCT disasternumber, county_fips, try_cast(fydeclared AS INT) AS year FROM declarations "
+    "WHERE disasternumber IS NOT NULL AND county_fips IS NOT NULL AND try_cast(fydeclared AS INT) IS NOT NULL"
 )
 CTES["county_counts"] = (
     "SELECT disasternumber, year, count(DISTINCT county_fips) AS county_cnt FROM county_map GROUP BY 1, 2"

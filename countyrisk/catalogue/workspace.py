@@ -18,7 +18,6 @@ from ..operators import rollups
 from ..plans import gold, pipeline, silver
 from ..session import scratch_dir
 from ..sinks import tables
-from ..sources.files import spread
 from . import adapters
 
 WINDOW = YearWindow(adapters.FIRST_YEAR, adapters.LAST_YEAR)
@@ -47,10 +46,6 @@ class Workspace:
     def raw(self, name: str) -> DataFrame:
         return adapters.raw_frame(self.table(adapters.RAW[name][0]), name)
 
-    def landed(self, name: str) -> DataFrame:
-        """The raw frame as written files: what a cleaning job reads."""
-        return self._read(f"raw_{name}", lambda: adapters.raw_frame(spread(self.table(adapters.RAW[name][0])), name))
-
     def acs(self) -> dict[str, DataFrame]:
         return {t: self.raw(t) for t in silver.CENSUS_CELLS}
 
@@ -74,7 +69,7 @@ class Workspace:
     def events(self, outcome: str = "valid") -> DataFrame:
         path = self.written(
             "events",
-            lambda p: pipeline.write_events(silver.clean_events(self.landed("events"), self.counties()), p),
+            lambda p: pipeline.write_events(silver.clean_events(self.raw("events"), self.counties()), p),
         )
         return self._frame(pipeline.events_path(path, outcome))
 
@@ -82,10 +77,10 @@ class Workspace:
         return self._read("counties", lambda: silver.county_reference(self.raw("nri")))
 
     def declarations(self) -> DataFrame:
-        return self._read("declarations", lambda: silver.clean_declarations(self.landed("declarations")))
+        return self._read("declarations", lambda: silver.clean_declarations(self.raw("declarations")))
 
     def claims(self) -> DataFrame:
-        return self._read("claims", lambda: silver.clean_claims(self.landed("owners"), self.landed("renters")))
+        return self._read("claims", lambda: silver.clean_claims(self.raw("owners"), self.raw("renters")))
 
     def scores(self) -> DataFrame:
         return self._read("scores", lambda: silver.clean_scores(self.raw("nri"))[0])

@@ -94,6 +94,12 @@ def without_last_part(name: Column | str) -> Column:
     return F.trim(F.regexp_replace(_text(name), r",\s*[^,]+$", ""))
 
 
+def without_listed_state(name: Column | str) -> Column:
+    """Drop ``, <state>`` at the end, for the one state that has it, well spelt or not."""
+    cut = F.regexp_replace(_text(name), rf",\s*{SUFFIXED_STATE}$", "")
+    return F.trim(F.regexp_replace(cut, rf",\s*{SUFFIXED_STATE_MISSPELT}$", ""))
+
+
 def without_trailing_state(name: Column | str, state: Column | str) -> Column:
     """Drop the state written after a space, for the one state that has it."""
     cut = F.trim(F.regexp_replace(_text(name), f" +{SUFFIXED_STATE}$", ""))

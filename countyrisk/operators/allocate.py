@@ -16,12 +16,12 @@ def _not_blank(column: str):
 
 def disaster_years(declarations: DataFrame, window: YearWindow = YearWindow()) -> DataFrame:
     """Distinct (disaster, state, fiscal year) inside the window."""
-    year = F.col("fydeclared").cast("int")
+    year = F.col("fydeclared")
     return (
         declarations.filter(
             F.col("disasternumber").isNotNull() & _not_blank("state") & year.between(window.first, window.last)
         )
-        .select("disasternumber", F.trim("state").alias("state"), year.alias("year"))
+        .select("disasternumber", F.trim("state").alias("state"), year.try_cast("int").alias("year"))
         .distinct()
     )
 
@@ -94,8 +94,9 @@ def disaster_county_map(declarations: DataFrame) -> DataFrame:
         .select(
             F.col("disasternumber").cast("bigint").alias("disasternumber"),
             fips.standard_fips("county_fips").alias("county_fips"),
-            F.col("fydeclared").cast("int").alias("year"),
+            F.col("fydeclared").try_cast("int").alias("year"),
         )
+        .filter("year IS NOT NULL")
         .distinct()
     )
 

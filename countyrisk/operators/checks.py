@@ -146,7 +146,7 @@ def share_in_reference(df: DataFrame, reference: DataFrame, column: str = "count
     """
     per_key = df.groupBy(keys.trimmed_key(column).alias("__key")).agg(F.count("*").alias("__n"))
     known = keys.key_set(reference, out="__key").withColumn("__hit", F.lit(1))
-    counted = per_key.join(F.broadcast(known), "__key", "left").agg(
+    counted = per_key.join(known, "__key", "left").agg(
         F.coalesce(F.sum("__n"), F.lit(0)).alias("total_rows"),
         F.coalesce(F.sum(F.when(F.col("__hit") == 1, F.col("__n"))), F.lit(0)).alias("matched_rows"),
     )

@@ -1,7 +1,6 @@
 """Operators on the county key of a frame.
 
-A standard key has five digits, so a frame that is unique by it has at most 100,000
-rows whatever the input size. That is the bound behind every ``broadcast`` here.
+Joins with a reference are left to the adaptive planner, which broadcasts by measured size.
 """
 
 from __future__ import annotations
@@ -11,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ..functions import fips
 
-MAX_COUNTIES = 100_000
 _REF = "__reference_key"
 
 
@@ -34,22 +32,21 @@ def trimmed_key(column: str | Column) -> Column:
 
 
 def key_set(df: DataFrame, column: str = "county_fips", out: str = _REF) -> DataFrame:
-    """Distinct five-digit keys, small enough to broadcast by construction."""
-    key = trimmed_key(column)
-    return df.filter(key.rlike("^[0-9]{5}$")).select(key.alias(out)).distinct()
+    """Distinct keys, blanks around them left off; NULL is no key."""
+    return df.select(trimmed_key(column).alias(out)).filter(F.col(out).isNotNull()).distinct()
 
 
 def keep_canonical(df: DataFrame, reference: DataFrame, column: str = "county_fips") -> DataFrame:
     """Rows whose key is in the reference (semi join)."""
     if column not in df.columns or "county_fips" not in reference.columns:
         return df
-    keys = F.broadcast(key_set(reference))
+    keys = key_set(reference)
     return df.join(keys, trimmed_key(column) == F.col(_REF), "left_semi")
 
 
 def not_canonical(df: DataFrame, reference: DataFrame, column: str = "county_fips") -> DataFrame:
     """Rows whose key is not in the reference (anti join)."""
-    keys = F.broadcast(key_set(reference))
+    keys = key_set(reference)
     return df.join(keys, trimmed_key(column) == F.col(_REF), "left_anti")
 
 

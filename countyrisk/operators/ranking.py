@@ -36,7 +36,7 @@ def top(df: DataFrame, by: Sequence[str], limit: int | None, tie_break: Sequence
     return ordered if limit is None else ordered.limit(limit)
 
 
-def rank_counties(mart: DataFrame, mode: str, year: int, limit: int | None = 1000) -> DataFrame:
+def rank_counties(mart: DataFrame, mode: str, year: int, limit: int | None = None) -> DataFrame:
     if mode not in RANK_MODES:
         raise ValueError(f"unknown ranking mode {mode!r}")
     return top(mart.filter(F.col("year") == year).select(*RANK_COLUMNS), RANK_MODES[mode], limit)
@@ -52,7 +52,7 @@ def per_event(amount: str = "fema_valid_registrations", events: str = "noaa_even
 
 
 def claim_intensity(
-    mart: DataFrame, first: int, last: int, limit: int | None = 25, digits: int = 2
+    mart: DataFrame, first: int, last: int, limit: int | None = None, digits: int = 2
 ) -> DataFrame:
     """Registrations per event, greatest first, over a range of years."""
     shaped = mart.filter(F.col("year").between(first, last)).select(
@@ -65,22 +65,22 @@ def claim_intensity(
     return top(shaped, ["claims_per_event"], limit, ["county_fips", "year"])
 
 
-def quiet_but_risky(mart: DataFrame, year: int, limit: int | None = 50) -> DataFrame:
+def quiet_but_risky(mart: DataFrame, year: int, limit: int | None = None) -> DataFrame:
     """Counties without events in the year, by structural risk."""
     kept = mart.filter((F.col("year") == year) & no_events()).select(*RANK_COLUMNS)
     return top(kept, ["nri_risk_score", "fema_valid_registrations"], limit)
 
 
-def hazard_breakdown(summary: DataFrame, county: str, year: int, limit: int | None = 50) -> DataFrame:
-    """Hazards of one county and year by event count."""
-    key = F.lpad(F.col("county_fips").cast("string"), 5, "0")
-    kept = summary.filter((key == fips.user_fips(F.lit(county))) & (F.col("year") == year)).select(
+def hazard_breakdown(summary: DataFrame, county: str, year: int, limit: int | None = None) -> DataFrame:
+    """Hazards of one county and year by event count. Marts hold standard keys, so the key as
+    typed is brought to that form and the scan is filtered by it."""
+    kept = summary.filter((F.col("county_fips") == fips.user_key(county)) & (F.col("year") == year)).select(
         "hazard_type", "hazard_category", "event_count", "total_fatalities", "total_injuries", "avg_property_damage"
     )
     return top(kept, ["event_count"], limit, ["hazard_type", "hazard_category"])
 
 
-def top_by_mean(mart: DataFrame, metric: str = "nri_risk_score", out: str = "avg_risk", limit: int | None = 10) -> DataFrame:
+def top_by_mean(mart: DataFrame, metric: str = "nri_risk_score", out: str = "avg_risk", limit: int | None = None) -> DataFrame:
     return top(mart.groupBy("county_fips").agg(F.avg(metric).alias(out)), [out], limit)
 
 
@@ -124,15 +124,12 @@ def latest_snapshot(mart: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def metric_range(df: DataFrame, metric: str) -> DataFrame:
-    """Least, median and greatest value for a legend (one row).
-
-    The exact median is taken from value counts, which are combined map-side: a task
-    holds one entry per distinct value, so give it a capped or rounded column.
-    """
+def metric_range(df: DataFrame, metric: str, accuracy: int = 10000) -> DataFrame:
+    """Least, median and greatest value for a legend (one row). The median is a mergeable
+    sketch, exact below ``accuracy`` values."""
     value = F.col(metric).cast("double")
     return df.agg(
-        F.min(value).alias("low"), F.percentile(value, F.lit(0.5)).alias("median"), F.max(value).alias("high")
+        F.min(value).alias("low"), F.percentile_approx(value, 0.5, accuracy).alias("median"), F.max(value).alias("high")
     )
 
 
@@ -146,11 +143,15 @@ def map_points(
 ) -> DataFrame:
     """Rows with coordinates, capped, with radius and colour."""
     points = ranked.filter("lat IS NOT NULL AND lon IS NOT NULL").orderBy(*order).limit(cap)
-    radius = (
-        F.lit(display.FLAT_RADIUS)
-        if size_by is None
-        else display.point_radius(size_by, largest(points, size_by))
+    # the capped set is one task's rows already, so its maxima are a window over it
+    everything = Window.partitionBy()
+    most = lambda metric: F.max(F.greatest(F.col(metric).cast("double"), F.lit(0.0))).over(everything)
+    points = points.withColumn("__colour_top", most(colour_by))
+    if size_by is not None:
+        points = points.withColumn("__size_top", most(size_by))
+    radius = F.lit(display.FLAT_RADIUS) if size_by is None else display.point_radius(size_by, F.col("__size_top"))
+    return (
+        points.withColumns({"radius": radius, "colour_index": display.point_colour_index(colour_by, F.col("__colour_top"))})
+        .withColumn("colour", display.point_colour("colour_index"))
+        .drop("__colour_top", "__size_top")
     )
-    return points.withColumns(
-        {"radius": radius, "colour_index": display.point_colour_index(colour_by, largest(points, colour_by))}
-    ).withColumn("colour", display.point_colour("colour_index"))

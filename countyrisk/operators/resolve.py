@@ -91,14 +91,14 @@ def resolve_counties(events: DataFrame, counties: DataFrame) -> DataFrame:
     is_county = F.coalesce(F.col("cz_type_norm") == "C", F.lit(False))
     state = F.col("state_fips_norm")
     matched = (
-        events.join(F.broadcast(by_code), keys.trimmed_key("county_fips") == F.col("__code"), "left")
+        events.join(by_code, keys.trimmed_key("county_fips") == F.col("__code"), "left")
         .join(
-            F.broadcast(by_name),
+            by_name,
             (state == F.col("__name_state")) & (F.col("cz_name_norm") == F.col("__name")),
             "left",
         )
         .join(
-            F.broadcast(by_compact),
+            by_compact,
             (state == F.col("__compact_state")) & (F.col("cz_name_compact") == F.col("__compact")),
             "left",
         )

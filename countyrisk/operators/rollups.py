@@ -130,7 +130,9 @@ def summary_by_group(summary: DataFrame, type_map: DataFrame) -> DataFrame:
 def declarations_by_county_year(declarations: DataFrame) -> DataFrame:
     return (
         declarations.filter("county_fips IS NOT NULL AND fydeclared IS NOT NULL")
-        .groupBy(fips.standard_fips("county_fips").alias("county_fips"), F.col("fydeclared").cast("int").alias("year"))
+        .select(fips.standard_fips("county_fips").alias("county_fips"), F.col("fydeclared").try_cast("int").alias("year"))
+        .filter("year IS NOT NULL")
+        .groupBy("county_fips", "year")
         .agg(F.count("*").alias("fema_declaration_count"))
     )
 
@@ -140,7 +142,7 @@ def years_in_scope(events: DataFrame, declarations: DataFrame, window: YearWindo
     years = (
         events.select(F.year("begin_date_time").alias("year"))
         .distinct()
-        .union(declarations.select(F.col("fydeclared").cast("int").alias("year")).distinct())
+        .union(declarations.select(F.col("fydeclared").try_cast("int").alias("year")).distinct())
         .filter("year IS NOT NULL")
         .distinct()
     )

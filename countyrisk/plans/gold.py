@@ -109,7 +109,7 @@ def county_dim(scores: DataFrame, census: DataFrame) -> DataFrame:
         .agg(
             F.max("state").alias("state"),
             F.max("statefips").alias("__state_fips"),
-            geonames.without_last_part(F.max("county")).alias("__nri_name"),
+            geonames.without_listed_state(geonames.without_last_part(F.max("county"))).alias("__nri_name"),
         )
     )
     census_names = census_latest_name(census).withColumnRenamed("county_name", "__census_raw")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import Paths, YearWindow
 from ..functions import fips
-from ..operators import checks, resolve
+from ..operators import allocate, checks, resolve
 from ..sinks import tables
 from ..sources import files
 from . import gold, publish, quality, silver
@@ -136,24 +136,24 @@ def build_gold(
     claims, declarations = read("fema_claims_clean"), read("fema_disaster_declarations_clean")
     crosswalk, census, scores = read("zip2county_xwalk_clean"), read("census_clean"), read("nri_scores_clean")
 
-    summary = gold.hazard_event_summary(events, window)
+    def published(name: str, df: DataFrame, suite) -> publish.Published:
+        return publish.publish_version(df, name, run_dt, paths.gold(name, run_dt), suite, database, raise_on_block)
+
+    first = published("hazard_event_summary", gold.hazard_event_summary(events, window), lambda t: quality.summary_suite(t, census))
+    summary = spark.table(first.table)  # what was written, not its plan again
+    universe = observed_universe(summary, claims, declarations, crosswalk, window)
     mart = gold.feature_mart(events, claims, declarations, crosswalk, census, scores, window)
-    suites = {
-        "hazard_event_summary": lambda t: quality.summary_suite(t, census),
-        "risk_feature_mart": lambda t: quality.mart_suite(t, census, observed_universe(summary, t), window),
-    }
-    return [
-        publish.publish_version(
-            df, name, run_dt, paths.gold(name, run_dt), suites[name], database, raise_on_block
-        )
-        for name, df in (("hazard_event_summary", summary), ("risk_feature_mart", mart))
-    ]
+    return [first, published("risk_feature_mart", mart, lambda t: quality.mart_suite(t, census, universe, window))]
+
 
+def observed_universe(
+    summary: DataFrame, claims: DataFrame, declarations: DataFrame, crosswalk: DataFrame, window: YearWindow
+) -> DataFrame:
+    """County-years the active mart must cover: those with an event or an allocated claim.
 
-def observed_universe(summary: DataFrame, mart: DataFrame) -> DataFrame:
-    """County-years the active mart must cover: those with an event or a claim."""
-    claimed = mart.filter((F.col("fema_declaration_count") > 0) & fips.is_sane_fips("county_fips"))
-    return summary.select("county_fips", "year").distinct().union(claimed.select("county_fips", "year")).distinct()
+    Both come from the sources of the mart, not from the mart, so a lost one is missed."""
+    claimed = allocate.allocate_by_zip(claims, declarations, crosswalk, window).filter(fips.sane_condition("county_fips"))
+    return summary.select("county_fips", "year").union(claimed.select("county_fips", "year")).distinct()
 
 
 def run_pipeline(

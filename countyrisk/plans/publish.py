@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 from ..operators import checks
 from ..sinks import tables
 
+# How many blocking reports an error message names; all of them block.
+NAMED_REPORTS = 20
 MARTS = ("hazard_event_summary", "risk_feature_mart")
 LOG_SCHEMA = (
     "logged_at timestamp, run_id string, layer string, kind string, name string, "
@@ -43,11 +46,15 @@ def publish_version(
     database: str = "default",
     raise_on_block: bool = False,
 ) -> Published:
-    """Write a version, check what was written, promote it unless a check blocks."""
+    """Write a version, check what was written, promote it unless a check blocks.
+
+    Each call writes a table of its own, so the version that ``_current`` shows stays whole
+    until the new one has passed, also when one ``run_dt`` is run again; it stays after that
+    too, for a rollback."""
     if mart not in MARTS:
         raise ValueError(f"unknown mart {mart!r}")
     spark = df.sparkSession
-    table = tables.write_version(df, mart, run_dt, path, database)
+    table = tables.write_version(df, mart, run_dt, path, database, attempt=uuid.uuid4().hex[:12])
     written = spark.table(table)
     suite = suite_of(written) if suite_of else checks.Suite(mart, written)
     results = checks.run_checks(spark, suite)
@@ -112,6 +119,7 @@ def blocking_reports(log: DataFrame, layer: str, run_dt: str | None = None) -> D
 
 def require_unblocked(log: DataFrame, layer: str, run_dt: str | None = None) -> None:
     """Stop the next layer when an upstream report blocks."""
-    names = [r["name"] for r in blocking_reports(log, layer, run_dt).limit(20).collect()]
+    reports = blocking_reports(log, layer, run_dt)
+    names = [r["name"] for r in reports.orderBy("name").limit(NAMED_REPORTS).collect()]
     if names:
-        raise BlockedError(f"{layer} blocks downstream work: {names}")
+        raise BlockedError(f"{layer} blocks downstream work: {reports.count()} reports, first {names}")

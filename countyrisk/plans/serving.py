@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fips
 from ..operators import keys, ranking
 
-MAP_CAP = 1500
+MAP_RANKS, MAP_CAP = 1000, 1500
 
 
 def available_years(mart: DataFrame) -> DataFrame:
@@ -61,10 +61,9 @@ def search_directory(centroids: DataFrame, text: str = "", state: str | None = N
 
 
 def county_lookup(centroids: DataFrame, county: str) -> DataFrame:
-    key = F.lpad(F.col("county_fips").cast("string"), 5, "0")
     return (
-        centroids.filter(key == fips.user_fips(F.lit(county)))
-        .select(key.alias("county_fips"), "county_name", "state", F.col("lat").cast("double"), F.col("lon").cast("double"))
+        centroids.filter(F.col("county_fips") == fips.user_key(county))
+        .select("county_fips", "county_name", "state", F.col("lat").cast("double"), F.col("lon").cast("double"))
         .limit(1)
     )
 
@@ -72,8 +71,7 @@ def county_lookup(centroids: DataFrame, county: str) -> DataFrame:
 def county_series(mart: DataFrame, county: str | None = None, years: int = 5) -> DataFrame:
     """Series with trailing means and registrations per event; all counties without a key."""
     if county is not None:
-        key = F.lpad(F.col("county_fips").cast("string"), 5, "0")
-        mart = mart.filter(key == fips.user_fips(F.lit(county)))
+        mart = mart.filter(F.col("county_fips") == fips.user_key(county))
     return ranking.trailing_means(mart, years).withColumn("claims_per_event", ranking.per_event())
 
 
@@ -94,12 +92,14 @@ def map_payload(
     colour_by: str = "nri_risk_score",
     size_by: str | None = "fema_total_damage",
     only_quiet: bool = False,
-    head: int = 1000,
+    ranks: int = MAP_RANKS,
+    head: int = MAP_RANKS,
     cap: int = MAP_CAP,
 ) -> DataFrame:
-    """Ranked counties with coordinates, radius and colour."""
+    """Ranked counties with coordinates, radius and colour: the first ``ranks`` of the ranking,
+    of those left by the filter the first ``head``, and of those on the map at most ``cap``."""
     order = [*[F.col(c).desc_nulls_last() for c in ranking.RANK_MODES[mode]], F.col("county_fips").asc()]
-    ranked = keys.add_centroids(ranking.rank_counties(mart, mode, year), centroids)
+    ranked = keys.add_centroids(ranking.rank_counties(mart, mode, year, ranks), centroids)
     view = ranking.ranked_view(ranked, only_quiet, head, order)
     return ranking.map_points(view, colour_by, size_by, order, cap)
 

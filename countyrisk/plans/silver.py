@@ -109,7 +109,7 @@ def county_reference(nri_raw: DataFrame) -> DataFrame:
 def clean_events(raw: DataFrame, counties: DataFrame) -> DataFrame:
     """Classified storm reports; :func:`resolve.split_outcomes` gives the outputs.
 
-    Duplicates go first, while the rows are narrow; the three lookups are broadcast,
+    Duplicates go first, while the rows are narrow; the three lookups are small enough to be broadcast,
     so the one shuffle of the events is the one by event id. ``counties`` is read once
     per lookup: give the written county reference rather than its plan.
     """

@@ -65,11 +65,42 @@ RENTERS = _schema(
     id string"""
 )
 
-# The columns the library reads; the file has several hundred more, which stay strings.
-NRI_COUNTIES = _schema(
-    """nri_id string, state string, statefips string, county string, countyfips string,
-    stcofips string, risk_score double, eal_score double, sovi_score double, resl_score double"""
-)
+
+def _risk_index() -> T.StructType:
+    """County risk index: general columns, then the same measures for each hazard.
+
+    The declared table gives some measures of some hazards as text where others are
+    numbers; here a measure has one type for all hazards: ratings are text, all else numbers.
+    """
+    # General columns, hazards (with crops at risk or not), measures in file order.
+    head = """objectid bigint, nri_id string, state string, stateabbrv string, statefips string,
+        county string, countytype string, countyfips bigint, stcofips bigint, population bigint,
+        buildvalue bigint, agrivalue bigint, area double, risk_value double, risk_score double,
+        risk_ratng string, risk_spctl double, eal_score double, eal_ratng string, eal_spctl double,
+        eal_valt double, eal_valb double, eal_valp double, eal_valpe double, eal_vala double,
+        alr_valb double, alr_valp double, alr_vala double, alr_npctl double, alr_vra_npctl double,
+        sovi_score double, sovi_ratng string, sovi_spctl double, resl_score double,
+        resl_ratng string, resl_spctl double, resl_value double, crf_value double"""
+    hazards = "avln cfld cwav drgt erqk hail hwav hrcn istm lnds ltng ifld swnd trnd tsun vlcn wfir wntw".split()
+    with_crops = "cwav drgt hail hwav hrcn ifld swnd trnd wfir wntw".split()
+    crops_only = ["drgt"]
+    measures = """evnts afreq exp_area expb expp exppe expa expt hlrb hlrp hlra hlrr ealb ealp ealpe
+        eala ealt eals ealr alrb alrp alra alr_npctl riskv risks riskr""".split()
+    crops = ("expa", "hlra", "eala", "alra")
+    people = ("expb", "expp", "exppe", "hlrb", "hlrp", "ealb", "ealp", "ealpe", "alrb", "alrp")
+    ratings = ("hlrr", "ealr", "riskr")
+    columns = [head]
+    for hazard in hazards:
+        for measure in measures:
+            if (measure in crops and hazard not in with_crops) or (measure in people and hazard in crops_only):
+                continue
+            columns.append(f"{hazard}_{measure} {'string' if measure in ratings else 'double'}")
+    return _schema(", ".join([*columns, "nri_ver string, shape_area double, shape_length double"]))
+
+
+NRI_COUNTIES = _risk_index()
+# The columns without which the scores can't be cleaned.
+NRI_REQUIRED = ("nri_id", "state", "statefips", "county", "countyfips", "stcofips", "risk_score", "eal_score", "sovi_score", "resl_score")
 
 ACS_TABLES = {
     "b01001": _acs("b01001", 49),
@@ -91,6 +122,9 @@ BRONZE = {
     **{f"acs5_2022_{name}": schema for name, schema in ACS_TABLES.items()},
 }
 
+# Data sets of which not every declared column must be there.
+BRONZE_REQUIRED = {"nri_counties": NRI_REQUIRED}
+
 # Columns a raw storm-event file must have.
 EVENT_REQUIRED = (
     "event_id",

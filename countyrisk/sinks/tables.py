@@ -42,25 +42,36 @@ def write_plain(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def version_name(mart: str, run_dt: str) -> str:
-    return f"{mart}__{run_dt.replace('-', '')}"
+def version_name(mart: str, run_dt: str, attempt: str | None = None) -> str:
+    return f"{mart}__{run_dt.replace('-', '')}" + (f"_{attempt}" if attempt else "")
 
 
 def write_version(
-    df: DataFrame, mart: str, run_dt: str, path: str, database: str = "default", partition: str | None = "year"
+    df: DataFrame,
+    mart: str,
+    run_dt: str,
+    path: str,
+    database: str = "default",
+    partition: str | None = "year",
+    attempt: str | None = None,
 ) -> str:
     """Build ``<mart>__YYYYMMDD`` at its own folder; a second run replaces the first.
 
-    The table is external, so dropping it leaves the folder and the overwrite below
-    clears exactly that folder.
+    With an ``attempt`` the table and folder carry it in their names and no earlier one is
+    touched. The table is external, so dropping it leaves the folder and the overwrite below
+    clears exactly that folder. Rows lie in the order of their key, so that a look-up of one
+    key reads few row groups.
     """
     spark = df.sparkSession
-    table = f"{database}.{version_name(mart, run_dt)}"
+    table = f"{database}.{version_name(mart, run_dt, attempt)}"
+    path = f"{path}/attempt={attempt}" if attempt else path
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     if partition is None:
         rows, writer_of = df, lambda d: d.write
     else:
         rows = balanced(partition_last(df, partition), partition)
+        if "county_fips" in df.columns:
+            rows = rows.sortWithinPartitions(partition, "county_fips")
         writer_of = lambda d: d.write.partitionBy(partition)
     (
         writer_of(rows)
@@ -135,10 +146,9 @@ def _plain(location: str | None) -> str:
     return "/" + text[len("file:"):].lstrip("/") if text.startswith("file:") else text
 
 
-def export_csv(ranked: DataFrame, path: str, order: Sequence | None = None) -> None:
-    """A ranked set as one CSV file with a header.
-
-    The set ends with a limit, so it already is one task's worth of rows.
-    """
+def export_csv(ranked: DataFrame, path: str, order: Sequence | None = None, limit: int | None = None) -> None:
+    """A ranked set as CSV with a header: one file if it has a ``limit``, which is one task's
+    worth of rows, else as many as there are tasks."""
     rows = ranked.orderBy(*order) if order else ranked
-    rows.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    rows = rows if limit is None else rows.limit(limit).coalesce(1)
+    rows.write.mode("overwrite").option("header", True).csv(path)

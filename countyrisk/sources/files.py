@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions.names import normalize_columns, normalize_header
+from ..functions.names import normalize_columns, normalize_header, snake_case
 
 # Data files only: metadata files beside them end in .json.
 CSV_FILES = "{*.csv,*.csv.gz}"
@@ -30,52 +32,62 @@ def read_csv_text(spark: SparkSession, path: str, repeated: Iterable[str] = ())
     return normalize_header(raw, repeated)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of an input with fewer files than half the cores, over all cores.
-
-    Meant for files that cannot be split. A large input has more files than that and
-    is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) * 2 <= cores else df
-
-
 def read_csv_gz(spark: SparkSession, path: str, partitions: int | None = None, repeated: Iterable[str] = ()) -> DataFrame:
-    """Compressed CSV. A gzip file is one task, so few files are spread afterwards."""
+    """Compressed CSV. A gzip file is one task; name ``partitions`` to spread few large files."""
     rows = read_csv_text(spark, path, repeated)
-    return rows.repartition(partitions) if partitions else spread(rows)
-
-
-def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType, keep_corrupt: bool = False) -> DataFrame:
-    """Quoted CSV with declared types; unreadable values become NULL.
-
-    With ``keep_corrupt`` the text of an unreadable row is kept in one more column.
+    return rows.repartition(partitions) if partitions else rows
+
+
+def read_csv_typed(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    keep_corrupt: bool = False,
+    required: Iterable[str] | None = None,
+) -> DataFrame:
+    """Quoted CSV, its columns found by header name and cast to the declared types.
+
+    Header names are matched in snake case, in any order; columns that aren't declared are
+    not read. A missing column is an error if it is ``required`` (by default all are), else
+    NULL. Unreadable values become NULL. With ``keep_corrupt`` the values of a row that has
+    one are kept as JSON text in one more column.
     """
-    if keep_corrupt:
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    reader = (
-        spark.read.schema(schema)
-        .option("header", True)
+    raw = normalize_header(
+        spark.read.option("header", True)
+        .option("inferSchema", False)
         .option("quote", '"')
         .option("escape", "\\")
         .option("mode", "PERMISSIVE")
-        .option("enforceSchema", True)
         .option("pathGlobFilter", CSV_FILES)
+        .csv(path)
     )
+    wanted = {f.name: snake_case(f.name) for f in schema}
+    needed = wanted if required is None else list(required)
+    missing = sorted(c for c in needed if wanted.get(c, c) not in raw.columns)
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)}")
+    typed = {
+        f.name: F.col(wanted[f.name]).try_cast(f.dataType) if wanted[f.name] in raw.columns else F.lit(None).cast(f.dataType)
+        for f in schema
+    }
+    columns = [column.alias(name) for name, column in typed.items()]
     if keep_corrupt:
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.csv(path)
+        read = [name for name in typed if wanted[name] in raw.columns]
+        lost = [F.col(wanted[name]).isNotNull() & typed[name].isNull() for name in read]
+        row = F.to_json(F.struct(*[F.col(wanted[name]).alias(name) for name in read]))
+        columns.append(F.when(reduce(or_, lost, F.lit(False)), row).alias(CORRUPT))
+    return raw.select(*columns)
 
 
 def read_bronze(spark: SparkSession, path: str, dataset: str, keep_corrupt: bool = False) -> DataFrame:
-    """Typed reader of one of the raw data sets by its declared column order."""
+    """Typed reader of one of the raw data sets; its declared columns are found by name."""
     if dataset not in schemas.BRONZE:
         raise ValueError(f"unknown raw data set {dataset!r}")
-    return read_csv_typed(spark, path, schemas.BRONZE[dataset], keep_corrupt)
+    return read_csv_typed(spark, path, schemas.BRONZE[dataset], keep_corrupt, schemas.BRONZE_REQUIRED.get(dataset))
 
 
 def read_crosswalk(spark: SparkSession, path: str) -> DataFrame:
-    """ZIP crosswalk with a fixed schema: Parquet if the path says so, else CSV."""
+    """ZIP crosswalk with a fixed schema: Parquet if the path says so, else CSV by header name."""
     if path.rstrip("/").endswith(".parquet"):
         return normalize_columns(spark.read.parquet(path))
     return read_csv_typed(spark, path, schemas.CROSSWALK)

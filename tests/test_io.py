@@ -4,7 +4,7 @@ import gzip
 import json
 
 import pytest
-from conftest import values
+from conftest import plan_of, values
 from pyspark.sql import functions as F
 
 from countyrisk import schemas
@@ -36,19 +36,34 @@ def test_repeated_headers_and_metadata_files(spark, tmp_path):
     assert [tuple(r) for r in df.collect()] == [("2010", "x", "a", "b", "1")]
 
 
-def test_gzip_is_read_and_spread(spark, tmp_path):
+def test_gzip_is_read_and_spread_on_demand(spark, tmp_path):
     put(tmp_path / "a.csv.gz", "A,B\n" + "".join(f"{i},x\n" for i in range(100)))
-    df = files.read_csv_gz(spark, str(tmp_path))
-    assert df.count() == 100 and df.rdd.getNumPartitions() > 1
+    assert "Exchange" not in plan_of(files.read_csv_gz(spark, str(tmp_path)))
+    df = files.read_csv_gz(spark, str(tmp_path), 4)
+    assert df.count() == 100 and df.rdd.getNumPartitions() == 4
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    put(tmp_path / "x.csv", "county,zip,USPS City,tot_ratio,year,top_match\n01001,36067,PRATTVILLE,0.5,2012,True\n")
+    assert files.read_crosswalk(spark, str(tmp_path)).first().asDict() == {
+        "zip": "36067", "county": "01001", "year": "2012", "tot_ratio": "0.5", "top_match": "True"
+    }
+    put(tmp_path / "n" / "n.csv", "OBJECTID,NRI_ID,STATE,STATEFIPS,COUNTY,COUNTYFIPS,STCOFIPS,RISK_SCORE,EAL_SCORE,SOVI_SCORE,RESL_SCORE,WNTW_RISKR,Shape__Area\n"
+        "1,C01001,Alabama,1,Autauga,1,01001,58.0,60,51,49,Low,2.5\n")
+    row = files.read_bronze(spark, str(tmp_path / "n"), "nri_counties").first()
+    assert (row.nri_id, row.state, row.stcofips, row.resl_score, row.wntw_riskr, row.shape_area, row.hail_evnts) == ("C01001", "Alabama", 1001, 49.0, "Low", 2.5, None)
+    put(tmp_path / "m" / "m.csv", "zip,county,year\n1,2,3\n")
+    with pytest.raises(ValueError, match="top_match, tot_ratio"):
+        files.read_crosswalk(spark, str(tmp_path / "m"))
 
 
 def test_typed_reader_keeps_corrupt_rows_apart(spark, tmp_path):
     put(tmp_path / "m.csv", 'event_type,hazard_group,hazard_subgroup\n"Hail, large",Storm,"a \\"b\\""\n')
     row = files.read_csv_typed(spark, str(tmp_path), schemas.HAZARD_TYPE_MAP).first()
     assert tuple(row) == ("Hail, large", "Storm", 'a "b"')
-    put(tmp_path / "c" / "c.csv", "name,b19013_001e,state,county\nA,x,1,1\nB,5,1,3\n")
+    put(tmp_path / "c" / "c.csv", "state,name,b19013_001e,county\n1,A,x,1\n1,B,5,3\n")
     df = files.read_csv_typed(spark, str(tmp_path / "c"), schemas.ACS_TABLES["b19013"], keep_corrupt=True).cache()
-    assert [tuple(r) for r in df.orderBy("name").collect()] == [("A", None, 1, 1, "A,x,1,1"), ("B", 5, 1, 3, None)]
+    assert [tuple(r) for r in df.orderBy("name").collect()] == [("A", None, 1, 1, '{"name":"A","b19013_001e":"x","state":"1","county":"1"}'), ("B", 5, 1, 3, None)]
     with pytest.raises(ValueError):
         files.read_bronze(spark, str(tmp_path), "other")
 
@@ -70,6 +85,7 @@ def test_bronze_schemas_have_the_declared_widths():
     assert widths["disaster_declarations"] == 28
     assert widths["housing_assistance_owners"] == 24 and widths["housing_assistance_renters"] == 21
     assert "totaldamage" not in schemas.RENTERS.names
+    assert widths["nri_counties"] == 467
     assert widths["acs5_2022_b01001"] == 1 + 49 * 4 + 3
 
 

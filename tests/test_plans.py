@@ -21,14 +21,14 @@ def shuffles(df):
 
 
 def test_dedupe_reduces_before_its_one_shuffle(w):
-    df = dedupe.dedupe(silver.keyed_events(w.landed("events")), ("event_id", "episode_id"))
+    df = dedupe.dedupe(silver.keyed_events(w.raw("events")), ("event_id", "episode_id"))
     plan = plan_of(df)
     assert shuffles(df) == 1
     assert plan.index("row_number(), 1, Final") < plan.index("Exchange hash") < plan.index("row_number(), 1, Partial")
 
 
 def test_resolution_does_not_shuffle_events(w):
-    df = resolve.resolve_counties(resolve.with_candidate_key(w.landed("events").toDF(*[c.lower().replace(" ", "_") for c in w.landed("events").columns])), w.counties())
+    df = resolve.resolve_counties(resolve.with_candidate_key(w.raw("events").toDF(*[c.lower().replace(" ", "_") for c in w.raw("events").columns])), w.counties())
     plan = plan_of(df)
     assert plan.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in plan
     # every shuffle belongs to one of the three lookups, which hold one row per county
@@ -67,9 +67,23 @@ def test_allocation_aggregates_before_the_joins(w):
 
 
 def test_rankings_are_top_k(w):
-    plan = plan_of(ranking.rank_counties(w.mart(), "impact", 1998))
+    plan = plan_of(ranking.rank_counties(w.mart(), "impact", 1998, 100))
     assert "TakeOrderedAndProject" in plan and "PartitionFilters: [isnotnull(year" in plan
-    assert "TakeOrderedAndProject" in plan_of(ranking.quiet_but_risky(w.mart(), 1998))
+    assert "TakeOrderedAndProject" in plan_of(ranking.quiet_but_risky(w.mart(), 1998, 50))
+
+
+def test_look_ups_of_one_key_are_pushed_down(w):
+    for df in (serving.county_series(w.mart(), "4-004"), ranking.hazard_breakdown(w.summary(), "4004", 1998), serving.county_lookup(w.centroids(), "04004")):
+        assert "EqualTo(county_fips,04004)" in plan_of(df)
+
+
+def test_map_ranks_once(w):
+    plan = plan_of(serving.map_payload(w.mart(), w.centroids(), "frequency", 1998))
+    assert plan.count("TakeOrderedAndProject") <= 3
+
+
+def test_no_shuffle_before_cleaning(w):
+    assert "RoundRobin" not in plan_of(silver.clean_events(w.raw("events"), w.counties()))
 
 
 def test_no_python_in_any_plan(w):
