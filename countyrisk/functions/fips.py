@@ -99,14 +99,18 @@ def zip_from_text(c: Column | str) -> Column:
 
 
 def user_fips(c: Column | str) -> Column:
-    """Key typed by a user: digits only, zero-filled to five (text without digits is 00000)."""
+    """Key typed by a user: digits only, zero-filled to five (text without digits is 00000);
+    empty stays empty."""
     found = F.coalesce(digits(c), F.lit(""))
-    return F.when(F.length(found) > 5, found).otherwise(F.lpad(found, 5, "0"))
+    blank = F.coalesce(F.trim(_text(c)), F.lit("")) == ""
+    return F.when(blank, "").when(F.length(found) > 5, found).otherwise(F.lpad(found, 5, "0"))
 
 
 def user_key(text: str) -> str:
     """:func:`user_fips` of one text, as a literal that a scan can be filtered by."""
     found = "".join(c for c in text if c in "0123456789")
+    if not text.strip():
+        return ""
     return found if len(found) > 5 else found.rjust(5, "0")
 
 

@@ -99,7 +99,7 @@ def test_zip_from_text(frame):
 
 
 def test_user_key(frame):
-    assert column(frame, fips.user_fips, " 6037", "06-037", "", None, "1234567") == ["06037", "06037", "00000", "00000", "1234567"]
+    assert column(frame, fips.user_fips, " 6037", "06-037", "", None, "none", "1234567") == ["06037", "06037", "", "", "00000", "1234567"]
     assert column(frame, fips.is_user_fips, "06037", "1234567", "", None) == [True, False, False, False]
 
 
