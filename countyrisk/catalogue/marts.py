@@ -545,6 +545,6 @@ def _(w: Workspace) -> DataFrame:
     return allocate.disaster_fan_out(w.declarations(), WINDOW)
 
 
-@query("gd14_feature_defaults", "SELECT county_fips, year, " + ", ".join((*_EVENTS_OUT, "fema_declaration_count", "population_total")) + " FROM mart")
+@query("gd14_feature_defaults", "SELECT county_fips, year, " + ", ".join((*_EVENTS_OUT, *schemas.CLAIM_FEATURES, "population_total")) + " FROM mart")
 def _(w: Workspace) -> DataFrame:
-    return w.mart().select("county_fips", "year", *_EVENTS_OUT, "fema_declaration_count", "population_total")
+    return w.mart().select("county_fips", "year", *_EVENTS_OUT, *schemas.CLAIM_FEATURES, "population_total")

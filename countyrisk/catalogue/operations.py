@@ -47,7 +47,7 @@ def _(w: Workspace) -> DataFrame:
 def _(w: Workspace) -> DataFrame:
     seen = names.normalize_columns(w.raw("events")).select("event_id", "episode_id", "state")
     missing = checks.required_columns(seen, schemas.EVENT_REQUIRED)
-    return seen.limit(1).agg(F.lit(missing).cast("bigint").alias("failures"))
+    return seen.agg(F.lit(missing).cast("bigint").alias("failures"))
 
 
 @query(
@@ -188,6 +188,52 @@ def _(w: Workspace) -> DataFrame:
     return checks.violations(w.summary(), quality.SUMMARY_METRICS)
 
 
+# Seeded violations: a good table has nothing to find, so some rows are doubled or spoilt first.
+
+_SUMMARY_NEGATIVE = "county_fips, hazard_type, hazard_category, -1 - event_count AS event_count, total_fatalities, total_injuries, avg_property_damage, year"
+
+
+@query("qa15_universe_unique_seeded", "SELECT county_fips, year, count(*) AS cnt FROM (SELECT county_fips, year FROM universe UNION ALL SELECT county_fips, year FROM universe WHERE year = 1997) GROUP BY 1, 2 HAVING count(*) > 1")
+def _(w: Workspace) -> DataFrame:
+    return checks.duplicate_groups(w.universe().unionByName(w.universe().filter("year = 1997")), ("county_fips", "year"))
+
+
+@query(
+    "qa16_summary_unique_seeded",
+    "SELECT county_fips, year, hazard_type, hazard_category, count(*) AS cnt FROM (SELECT * FROM summary UNION ALL SELECT * FROM summary WHERE year = 1998) GROUP BY 1, 2, 3, 4 HAVING count(*) > 1",
+)
+def _(w: Workspace) -> DataFrame:
+    twice = w.summary().unionByName(w.summary().filter("year = 1998"))
+    return checks.duplicate_groups(twice, ("county_fips", "year", "hazard_type", "hazard_category"))
+
+
+@query(
+    "qa17_summary_negative_seeded",
+    f"SELECT {_SUMMARY_NEGATIVE} FROM summary WHERE year = 1999 ORDER BY county_fips, hazard_type, hazard_category LIMIT 50",
+)
+def _(w: Workspace) -> DataFrame:
+    spoilt = w.summary().withColumn("event_count", F.when(F.col("year") == 1999, -1 - F.col("event_count")).otherwise(F.col("event_count")))
+    return checks.violations(spoilt, quality.SUMMARY_METRICS, 50, ["county_fips", "hazard_type", "hazard_category"])
+
+
+@query(
+    "qa19_mart_unique_seeded",
+    "SELECT county_fips, year, count(*) AS cnt FROM (SELECT county_fips, year FROM scaffold UNION ALL SELECT county_fips, year FROM scaffold WHERE noaa_event_count > 0) GROUP BY 1, 2 HAVING count(*) > 1",
+)
+def _(w: Workspace) -> DataFrame:
+    twice = w.scaffold().unionByName(w.scaffold().filter("noaa_event_count > 0"))
+    return checks.duplicate_groups(twice, ("county_fips", "year"))
+
+
+@query(
+    "qa20_mart_negative_seeded",
+    "SELECT county_fips, year, -1.0 - fema_total_damage AS fema_total_damage FROM mart WHERE year = 1998 ORDER BY county_fips LIMIT 50",
+)
+def _(w: Workspace) -> DataFrame:
+    spoilt = w.mart().withColumn("fema_total_damage", F.when(F.col("year") == 1998, -1.0 - F.col("fema_total_damage")).otherwise(F.col("fema_total_damage")))
+    return checks.violations(spoilt, quality.MART_METRICS, 50, ["county_fips"]).select("county_fips", "year", "fema_total_damage")
+
+
 @query("qa18_rowcounts_equal", "SELECT u.n AS universe_rows, m.n AS mart_rows FROM (SELECT count(*) AS n FROM universe) u, (SELECT count(*) AS n FROM mart) m WHERE u.n <> m.n")
 def _(w: Workspace) -> DataFrame:
     return checks.row_counts_equal(w.universe(), w.mart(), ("universe_rows", "mart_rows"))
@@ -240,6 +286,11 @@ def _(w: Workspace) -> DataFrame:
     return quality.claims_match_failures(w.claims(), w.declarations())
 
 
+@query("qa23_claims_join_coverage_failures_seeded", f"SELECT * FROM ({_MATCH.replace('declarations', '(SELECT * FROM declarations WHERE disasternumber % 2 = 0)')}) WHERE claim_disaster_cnt = 0 OR match_rate < 0.90")
+def _(w: Workspace) -> DataFrame:
+    return quality.claims_match_failures(w.claims(), w.declarations().filter("disasternumber % 2 = 0"))
+
+
 _SCORES = tuple(schemas.NRI_SCORES.values())
 
 
@@ -252,6 +303,55 @@ def _(w: Workspace) -> DataFrame:
     return quality.coverage_failures(gold.county_scores(w.scores()), _SCORES)
 
 
+def _rows_of(sql: str) -> str:
+    return f"(SELECT count(*) FROM ({sql}))"
+
+
+def _grown(source: str, grain: str) -> str:
+    return _rows_of(f"SELECT 1 FROM {source} GROUP BY {grain} HAVING count(*) > 1")
+
+
+def _sampled_negative(source: str, columns: tuple[str, ...]) -> str:
+    return _rows_of(f"SELECT 1 FROM {source} WHERE " + " OR ".join(f"{c} < 0" for c in columns) + " LIMIT 50")
+
+
+def _null_share(source: str, columns: tuple[str, ...]) -> str:
+    over = " OR ".join(f"100.0 * (count(*) - count({c})) / count(*) > 5" for c in columns)
+    return f"(SELECT CASE WHEN count(*) = 0 OR {over} THEN 1 ELSE 0 END FROM {source})"
+
+
+# The metrics and covered columns of the checks, written out apart from the engine's lists.
+_SCAFFOLD_CHECKS = {
+    "unmapped_hazards": _rows_of("SELECT DISTINCT event_type FROM events_clean WHERE event_type NOT IN (SELECT event_type FROM type_map)"),
+    "county_dim_unique": _grown("dim", "county_fips"),
+    "universe_rowcount": _rows_of("SELECT 1 FROM (SELECT (SELECT count(*) FROM dim) * (SELECT count(*) FROM years) AS n, (SELECT count(*) FROM universe) AS u) WHERE n <> u"),
+    "universe_unique": _grown("universe", "county_fips, year"),
+    "summary_unique": _grown("summary_lenient", "county_fips, year, hazard_type, hazard_category"),
+    "summary_nonnegative": _sampled_negative("summary_lenient", ("event_count", "total_fatalities", "total_injuries", "avg_property_damage")),
+    "mart_rowcount": _rows_of("SELECT 1 FROM (SELECT (SELECT count(*) FROM universe) AS u, (SELECT count(*) FROM scaffold) AS m) WHERE u <> m"),
+    "mart_unique": _grown("scaffold", "county_fips, year"),
+    "mart_nonnegative": _sampled_negative(
+        "scaffold",
+        ("noaa_event_count", "noaa_total_fatalities", "noaa_total_injuries", "noaa_avg_property_damage", "fema_valid_registrations", "fema_total_damage", "fema_total_approved_ihp_amount", "fema_declaration_count"),
+    ),
+    "mart_coverage": _null_share("scaffold", ("nri_risk_score", "nri_resl_score", "population_total", "median_household_income")),
+    "claims_nonnegative": _sampled_negative(
+        "scaffold",
+        ("fema_valid_registrations", "fema_total_damage", "fema_total_approved_ihp_amount", "fema_repair_replace_amount", "fema_rental_amount", "fema_other_needs_amount", "fema_total_inspected"),
+    ),
+    "claims_match": _rows_of(f"SELECT * FROM ({_MATCH}) WHERE claim_disaster_cnt = 0 OR match_rate < 0.90"),
+    "scores_parse": _null_share("nri_county", ("nri_risk_score", "nri_eal_score", "nri_sovi_score", "nri_resl_score")),
+}
+
+
+@query("gt3_scaffold_gate", " UNION ALL ".join(f"SELECT '{name}' AS name, cast({sql} AS BIGINT) AS failures" for name, sql in _SCAFFOLD_CHECKS.items()))
+def _(w: Workspace) -> DataFrame:
+    suite = quality.legacy_suite(
+        w.events(), w.type_map(), w.dim(), w.years(), w.universe(), w.summary_lenient(), w.scaffold(), w.claims(), w.declarations(), gold.county_scores(w.scores())
+    )
+    return checks.check_frame(w.spark, suite).select("name", "failures")
+
+
 def _contract_oracle() -> str:
     contract = contracts.RISK_FEATURE_MART
     parts = [
@@ -278,6 +378,16 @@ def _(w: Workspace) -> DataFrame:
     return checks.check_frame(w.spark, suite).select("name", "failures", "passed")
 
 
+@query(
+    "qa25_contract_summary_seeded",
+    "SELECT 'event_count__non_negative' AS name, count(*) FILTER (WHERE year = 1999) AS failures FROM summary",
+)
+def _(w: Workspace) -> DataFrame:
+    spoilt = w.summary().withColumn("event_count", F.when(F.col("year") == 1999, -1 - F.col("event_count")).otherwise(F.col("event_count")))
+    suite = Suite("contract", spoilt, checks.contract_checks(spoilt, contracts.HAZARD_EVENT_SUMMARY))
+    return checks.check_frame(w.spark, suite).select("name", "failures").filter("failures > 0")
+
+
 @query("qa25_contract_summary", "SELECT 'event_count__non_negative' AS name, (SELECT count(*) FROM summary WHERE event_count < 0) AS failures UNION ALL SELECT 'grain_unique', "
        "(SELECT count(*) FROM (SELECT 1 FROM summary GROUP BY county_fips, year, hazard_type, hazard_category HAVING count(*) > 1))")
 def _(w: Workspace) -> DataFrame:
@@ -291,6 +401,12 @@ def _(w: Workspace) -> DataFrame:
     return quality.known_bad_keys(w.mart())
 
 
+@query("qa26_known_bad_keys_seeded", "SELECT '01340' AS county_fips, count(*) AS rows FROM mart WHERE county_fips = '04004'")
+def _(w: Workspace) -> DataFrame:
+    spoilt = w.mart().withColumn("county_fips", F.when(F.col("county_fips") == "04004", "01340").otherwise(F.col("county_fips")))
+    return quality.known_bad_keys(spoilt)
+
+
 @query(
     "qa26_quarantine_counts",
     "SELECT 'events_unresolved' AS table_name, count(*) AS rows FROM classified WHERE county_fips_mapping_method = 'unresolved' UNION ALL "
@@ -542,11 +658,15 @@ def _(w: Workspace) -> DataFrame:
 
 @query(
     "ld4_presence_checks",
-    f"SELECT name, false AS missing, bytes = 0 AS zero_size, n < 3 AS too_few_rows FROM (SELECT name, min(bytes) AS bytes, count(*) AS n FROM (SELECT {_LISTING} AS name, o_orderkey AS bytes FROM orders) GROUP BY name)",
+    "SELECT name, bytes IS NULL AS missing, coalesce(bytes = 0, false) AS zero_size, coalesce(n < 3, false) AS too_few_rows FROM "
+    f"(SELECT DISTINCT name FROM (SELECT {_LISTING} AS name FROM orders)) e LEFT JOIN "
+    f"(SELECT name, min(CASE WHEN day = 7 THEN 0 ELSE bytes END) AS bytes, count(*) AS n FROM (SELECT {_LISTING} AS name, o_orderkey AS bytes, day(o_orderdate) AS day FROM orders) WHERE day <> 3 GROUP BY name) f USING (name)",
 )
 def _(w: Workspace) -> DataFrame:
-    files = _listing(w).groupBy("name").agg(F.min("bytes").alias("bytes"), F.count("*").alias("row_count"))
-    return landing.presence_checks(files, files.select("name"), 3)
+    # files of the third of a month never landed, those of the seventh are empty
+    landed = w.table("orders").selectExpr(f"{_LISTING} AS name", "o_orderkey AS bytes", "day(o_orderdate) AS day").filter("day <> 3")
+    files = landed.groupBy("name").agg(F.min(F.when(F.col("day") == 7, 0).otherwise(F.col("bytes"))).alias("bytes"), F.count("*").alias("row_count"))
+    return landing.presence_checks(files, _listing(w).select("name").distinct(), 3)
 
 
 @query(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import Paths, YearWindow
 from ..functions import fips
-from ..operators import allocate, checks, resolve
+from ..operators import allocate, checks, resolve, rollups
 from ..sinks import tables
 from ..sources import files
 from . import gold, publish, quality, silver
@@ -156,6 +156,34 @@ def observed_universe(
     return summary.select("county_fips", "year").union(claimed.select("county_fips", "year")).distinct()
 
 
+def build_scaffold(
+    spark: SparkSession, paths: Paths, run_dt: str, type_map: DataFrame, database: str = "default", raise_on_block: bool = False
+) -> publish.Published:
+    """The mart over every county and year, with the thirteen checks as its gate.
+
+    The universe is written first: it is what the mart is checked against."""
+    read = lambda name: spark.read.parquet(paths.silver(name))
+    events = spark.read.parquet(events_path(paths.silver("noaa_events")))
+    claims, declarations = read("fema_claims_clean"), read("fema_disaster_declarations_clean")
+    census, scores = read("census_clean"), read("nri_scores_clean")
+    dim, years = gold.county_dim(scores, census), rollups.years_in_scope(events, declarations)
+
+    def stored(name: str, df: DataFrame, partition: str | None = None) -> DataFrame:
+        path = paths.gold(name, run_dt)
+        tables.write_partitioned(df, path, (partition,)) if partition else tables.write_plain(df, path)
+        return spark.read.parquet(path)
+
+    dim, years = stored("county_dim", dim), stored("years_in_scope", years)
+    universe = stored("county_year_universe", gold.county_year_universe(dim, years), "year")
+    summary = stored("hazard_event_summary_lenient", gold.hazard_event_summary_lenient(events), "year")
+    mart = gold.feature_mart_scaffold(universe, summary, claims, declarations, census, scores)
+    suite = lambda t: quality.legacy_suite(
+        events, type_map, dim, years, universe, summary, t, claims, declarations, gold.county_scores(scores)
+    )
+    name = "risk_feature_mart_scaffold"
+    return publish.publish_version(mart, name, run_dt, paths.gold(name, run_dt), suite, database, raise_on_block)
+
+
 def run_pipeline(
     spark: SparkSession,
     paths: Paths,

@@ -16,7 +16,7 @@ from ..sinks import tables
 
 # How many blocking reports an error message names; all of them block.
 NAMED_REPORTS = 20
-MARTS = ("hazard_event_summary", "risk_feature_mart")
+MARTS = ("hazard_event_summary", "risk_feature_mart", "risk_feature_mart_scaffold")
 LOG_SCHEMA = (
     "logged_at timestamp, run_id string, layer string, kind string, name string, "
     "status string, block_downstream boolean, payload string, run_dt date"

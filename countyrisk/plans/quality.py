@@ -148,3 +148,36 @@ def quarantine_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def any_rows_as_failures(violations: DataFrame) -> DataFrame:
     """A query that must return nothing, as a failure count."""
     return violations.agg(F.count("*").alias("failures"))
+
+
+def legacy_suite(
+    events: DataFrame,
+    type_map: DataFrame,
+    dim: DataFrame,
+    years: DataFrame,
+    universe: DataFrame,
+    summary: DataFrame,
+    mart: DataFrame,
+    claims: DataFrame,
+    declarations: DataFrame,
+    county_scores: DataFrame,
+) -> Suite:
+    """The thirteen checks of the scaffold build, each a query that must return no row."""
+    grain = ("county_fips", "year")
+    must_be_empty = {
+        "unmapped_hazards": lambda: checks.unmapped(events, type_map, "event_type", "event_type"),
+        "county_dim_unique": lambda: checks.duplicate_groups(dim.select("county_fips"), ["county_fips"]),
+        "universe_rowcount": lambda: universe_mismatch(dim, years, universe),
+        "universe_unique": lambda: checks.duplicate_groups(universe.select(*grain), grain),
+        "summary_unique": lambda: checks.duplicate_groups(summary, (*grain, "hazard_type", "hazard_category")),
+        "summary_nonnegative": lambda: checks.violations(summary, SUMMARY_METRICS),
+        "mart_rowcount": lambda: checks.row_counts_equal(universe, mart, ("universe_rows", "mart_rows")),
+        "mart_unique": lambda: checks.duplicate_groups(mart.select(*grain), grain),
+        "mart_nonnegative": lambda: checks.violations(mart, MART_METRICS),
+        "mart_coverage": lambda: coverage_failures(mart),
+        "claims_nonnegative": lambda: checks.violations(mart, CLAIM_METRICS),
+        "claims_match": lambda: claims_match_failures(claims, declarations),
+        "scores_parse": lambda: coverage_failures(county_scores, tuple(schemas.NRI_SCORES.values())),
+    }
+    as_count = lambda query: lambda: any_rows_as_failures(query())
+    return Suite("risk_feature_mart_scaffold", mart, [Check(name, as_count(query)) for name, query in must_be_empty.items()])

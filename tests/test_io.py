@@ -255,6 +255,11 @@ def test_run_from_files_to_current_views(spark, tmp_path):
     scores = spark.read.parquet(paths.silver("nri_scores_clean"))
     reasons = audits.null_summary(spark.table("default.risk_feature_mart_current"), scores).collect()
     assert [(r.nri_join_status, r.feature_presence, r.rows) for r in reasons] == [("present_in_nri_but_score_null", "noaa_only", 1)]
+    type_map = spark.createDataFrame([("Hail", "Storm", "x")], "event_type string, hazard_group string, hazard_subgroup string")
+    built = pipeline.build_scaffold(spark, paths, "2024-01-31", type_map)
+    assert built.results.count() == 13 and built.promoted == (not built.blocked)
+    universe = spark.read.parquet(paths.gold("county_year_universe", "2024-01-31"))
+    assert spark.table(built.table).count() == universe.count() > 0
 
 
 def test_missing_key_sources_are_errors(spark):
