@@ -77,6 +77,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES = {
+    "op2_jaccard_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), g AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(words) >= 3 THEN list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])
+    WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS s
+  FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id
+), links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM g x JOIN g y ON x.s = y.s AND x.doc_id <> y.doc_id JOIN n nx ON nx.doc_id = x.doc_id JOIN n ny ON ny.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, nx.n, ny.n HAVING 100 * count(*) >= 90 * (nx.n + ny.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS root FROM documents
+  UNION
+  SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.doc_id
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id""",
     "op3_topk": """
 WITH sound AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
