@@ -2,12 +2,11 @@
 
 The n-grams of every byte of every text are counted (order 4, each text led by three line
 feeds); lower orders, discounts, context weights and interpolated probabilities are grouped
-and joined from these counts as DataFrames. The result is stored as arrays sorted by a hash of
-the n-gram: the top ``SLOT_BITS`` bits of a one-to-one 32-bit hash are its slot, the next
-eight a tag that tells strangers apart. Of n-grams that share a slot the most frequent one
-stays, and the others are scored through their shorter n-gram. So the model has at most
-2^22 entries for each of its three tables, whatever the input: this bound is what allows it to
-be broadcast (3 x 2^22 x 9 bytes at most).
+and joined from these counts as DataFrames. Nothing is left out: the n-grams and context
+weights are dealt by a one-to-one hash of their 32-bit code into parts of about
+``PART_ENTRIES`` entries, sorted by code, and each part is a broadcast of its own. So the
+model grows with the input, but the driver and each worker hold one part at a time: a
+worker looks up the distinct n-grams of a batch of texts part by part.
 """
 
 from __future__ import annotations
@@ -17,30 +16,33 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
 from .lengths import written
 from .text import byte_blocks, row_sums
 
-SLOT_BITS = 22
+PART_ENTRIES = 1 << 21
 MULTIPLIER = 2654435761
 LEAD = 0x0A
 MERGE_AT = 1 << 22
 
 
 class Table(NamedTuple):
-    """Sorted slots, the tag and the base-2 logarithm of each."""
+    """Sorted codes and the base-2 logarithm of each."""
 
-    slots: np.ndarray
-    tags: np.ndarray
+    codes: np.ndarray
     values: np.ndarray
 
 
 class Model(NamedTuple):
-    fours: Table
-    threes: Table
-    weights: Table
+    """Broadcasts of the parts (each a :class:`Table`), and the orders that have a fixed size."""
+
+    fours: list[Broadcast]
+    threes: list[Broadcast]
+    weights: list[Broadcast]
     twos: np.ndarray
     pair_weights: np.ndarray
     ones: np.ndarray
@@ -53,7 +55,8 @@ def gram_codes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     owner = np.repeat(np.arange(rows), np.diff(offsets))
     at = np.arange(len(data)) + 3 * (owner + 1)
     padded[at] = data
-    return (padded[at - 3] << 24) | (padded[at - 2] << 16) | (padded[at - 1] << 8) | padded[at]
+    codes = (padded[:-3] << 24) | (padded[1:-2] << 16) | (padded[2:-1] << 8) | padded[3:]
+    return codes[at - 3]
 
 
 def count_grams(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -112,24 +115,31 @@ def smoothed(grams: DataFrame, lower: DataFrame | None, mask: int) -> tuple[Data
     return rest.select("code", "n", (own + F.col("weight") * below).alias("p")), contexts.select("context", "weight", "total")
 
 
-def slotted(frame: DataFrame, code: str, value: str, count: str) -> Table:
-    """The table of a frame; its rows are at most the slots."""
-    # code * MULTIPLIER modulo 2^32, in halves that stay below 2^63
-    low, high = F.col(code).bitwiseAND(F.lit(0xFFFF)) * F.lit(MULTIPLIER), F.shiftright(code, 16) * F.lit(MULTIPLIER)
-    hashed = (low + F.shiftleft(high.bitwiseAND(F.lit(0xFFFF)), 16)).bitwiseAND(F.lit(0xFFFFFFFF))
-    rows = (
-        frame.select(
-            F.shiftright(hashed, 32 - SLOT_BITS).cast("int").alias("slot"),
-            F.struct(F.col(count), (-F.col(code)).alias("code"), F.shiftright(hashed, 24 - SLOT_BITS).bitwiseAND(F.lit(255)).cast("int").alias("tag"), F.log2(value).cast("float").alias("value")).alias("entry"),
-        )
-        .groupBy("slot")
-        .agg(F.max("entry").alias("entry"))
-        .select("slot", "entry.tag", "entry.value")
-        .toArrow()
-    )
-    slots = rows.column("slot").to_numpy()
-    order = np.argsort(slots)
-    return Table(slots[order], rows.column("tag").to_numpy()[order].astype(np.uint8), rows.column("value").to_numpy()[order])
+def part_of(codes: np.ndarray, parts: int) -> np.ndarray:
+    """The part that each code is dealt to."""
+    return ((codes * np.uint32(MULTIPLIER)).astype(np.uint64) * np.uint64(parts)) >> np.uint64(32)
+
+
+def dealt(frame: DataFrame, code: str, value: str) -> list[Broadcast]:
+    """All rows of a frame as broadcast parts; the driver holds one of them at a time."""
+    spark = frame.sparkSession
+    rows = written(frame.select(F.col(code).alias("code"), F.log2(value).cast("float").alias("value")), "model")
+    parts = max(1, -(-rows.count() // PART_ENTRIES))
+    if parts > 1:
+        # code * MULTIPLIER modulo 2^32, in halves that stay below 2^63
+        low, high = F.col("code").bitwiseAND(F.lit(0xFFFF)) * F.lit(MULTIPLIER), F.shiftright("code", 16) * F.lit(MULTIPLIER)
+        hashed = (low + F.shiftleft(high.bitwiseAND(F.lit(0xFFFF)), 16)).bitwiseAND(F.lit(0xFFFFFFFF))
+        path = scratch_dir(spark, "model-parts")
+        placed = rows.withColumn("part", F.shiftright(hashed * F.lit(parts), 32).cast("int"))
+        placed.repartition(parts, "part").write.mode("overwrite").partitionBy("part").parquet(path)
+        rows = spark.read.schema(placed.schema).parquet(path)
+    out = []
+    for k in range(parts):
+        own = (rows.where(F.col("part") == k) if parts > 1 else rows).select("code", "value").toArrow()
+        codes = own.column("code").to_numpy().astype(np.uint32)
+        order = np.argsort(codes)
+        out.append(spark.sparkContext.broadcast(Table(codes[order], own.column("value").to_numpy()[order])))
+    return out
 
 
 def fit_model(docs: DataFrame, text_col: str = "text") -> Model:
@@ -162,46 +172,77 @@ def fit_model(docs: DataFrame, text_col: str = "text") -> Model:
     pair = dense(p2, "code", "p", 1 << 16)
     unseen = (weights(context2, 256)[:, None] + first[None, :]).ravel()
     return Model(
-        slotted(p4, "code", "p", "n"),
-        slotted(p3, "code", "p", "n"),
-        slotted(context4, "context", "weight", "total"),
+        dealt(p4, "code", "p"),
+        dealt(p3, "code", "p"),
+        dealt(context4, "context", "weight"),
         np.where(np.isnan(pair), unseen, pair).astype(np.float32),
         weights(context3, 1 << 16),
         first.astype(np.float32),
     )
 
 
+class Known(NamedTuple):
+    """Sorted codes, the base-2 logarithm of each, and a direct index that most of them are found by."""
+
+    codes: np.ndarray
+    logs: np.ndarray
+    index: np.ndarray
+    shift: np.uint32
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        at = self.index[(codes * np.uint32(MULTIPLIER)) >> self.shift]
+        others = np.flatnonzero(self.codes[at] != codes)
+        at[others] = np.searchsorted(self.codes, codes[others])
+        return self.logs[at]
+
+
 class Scorer:
-    """The tables of a model spread over their slots, for direct look-up."""
+    """Looks up the distinct n-grams of some texts, then scores the texts."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.spread = [self._spread(t) for t in (model.fours, model.threes, model.weights)]
 
     @staticmethod
-    def _spread(table: Table) -> tuple[np.ndarray, np.ndarray]:
-        values = np.full(1 << SLOT_BITS, np.nan, np.float32)
-        tags = np.zeros(1 << SLOT_BITS, np.uint8)
-        values[table.slots] = table.values
-        tags[table.slots] = table.tags
-        return values, tags
-
-    def _look_up(self, which: int, codes: np.ndarray) -> np.ndarray:
-        values, tags = self.spread[which]
-        hashed = codes * np.uint32(MULTIPLIER)
-        slots = hashed >> np.uint32(32 - SLOT_BITS)
-        return np.where(tags[slots] == ((hashed >> np.uint32(24 - SLOT_BITS)) & np.uint32(255)).astype(np.uint8), values[slots], np.float32(np.nan))
-
-    def bits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """-log2 of the probability of each row."""
-        rows = len(offsets) - 1
-        codes = gram_codes(data, offsets)
-        logs = self._look_up(0, codes)
+    def _look_up(parts: list[Broadcast], codes: np.ndarray) -> np.ndarray:
+        out = np.full(len(codes), np.nan, np.float32)
+        owner = part_of(codes, len(parts))
+        for k, part in enumerate(parts):
+            mine = np.flatnonzero(owner == k)
+            table = part.value
+            if len(parts) > 1:
+                part.__dict__.pop("_value", None)  # else every part stays in the worker's memory
+            if len(mine) and len(table.codes):
+                at = np.minimum(np.searchsorted(table.codes, codes[mine]), len(table.codes) - 1)
+                hit = table.codes[at] == codes[mine]
+                out[mine[hit]] = table.values[at[hit]]
+        return out
+
+    def known(self, blocks: list[tuple[int, np.ndarray, np.ndarray]]) -> Known:
+        """The n-grams of all texts of some blocks."""
+        found, held = [np.zeros(0, np.uint32)], 0
+        for _, offsets, data in blocks:
+            found.append(np.unique(gram_codes(data, offsets)))
+            held += len(found[-1])
+            if held > MERGE_AT:
+                found, held = [np.unique(np.concatenate(found))], 0
+        codes = np.unique(np.concatenate(found))
+        logs = self._look_up(self.model.fours, codes)
         unseen = np.flatnonzero(np.isnan(logs))
         if len(unseen):
             short = codes[unseen]
-            weight = np.nan_to_num(self._look_up(2, short >> np.uint32(8)), nan=0.0)
-            three = self._look_up(1, short & np.uint32(0xFFFFFF))
+            weight = np.nan_to_num(self._look_up(self.model.weights, short >> np.uint32(8)), nan=0.0)
+            three = self._look_up(self.model.threes, short & np.uint32(0xFFFFFF))
             lower = self.model.pair_weights[(short >> np.uint32(8)) & np.uint32(0xFFFF)] + self.model.twos[short & np.uint32(0xFFFF)]
             logs[unseen] = weight + np.where(np.isnan(three), lower, three)
+        bits = min(24, len(codes).bit_length() + 3)
+        index = np.zeros(1 << bits, np.int32)
+        index[(codes * np.uint32(MULTIPLIER)) >> np.uint32(32 - bits)] = np.arange(len(codes))
+        return Known(codes, logs, index, np.uint32(32 - bits))
+
+    def bits(self, data: np.ndarray, offsets: np.ndarray, known: Known | None = None) -> np.ndarray:
+        """-log2 of the probability of each row."""
+        rows = len(offsets) - 1
+        if not len(data):
+            return np.zeros(rows)
+        logs = (known or self.known([(0, offsets, data)])).of(gram_codes(data, offsets))
         return -row_sums(logs.astype(np.float64), np.repeat(np.arange(rows), np.diff(offsets)), rows)

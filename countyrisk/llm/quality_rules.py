@@ -89,8 +89,10 @@ def block_facts(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, tables
 def batch_facts(column: pa.Array, scorer: Scorer, table: np.ndarray, tables: Powers) -> list[np.ndarray]:
     """FACTS and ``bits`` of each row of a batch."""
     parts: list[list[np.ndarray]] = [[] for _ in range(len(FACTS) + 1)]
-    for _, offsets, data in byte_blocks(column):
-        for part, values in zip(parts, [*block_facts(data, offsets, table, tables), scorer.bits(data, offsets)], strict=True):
+    blocks = list(byte_blocks(column))
+    known = scorer.known(blocks)
+    for _, offsets, data in blocks:
+        for part, values in zip(parts, [*block_facts(data, offsets, table, tables), scorer.bits(data, offsets, known)], strict=True):
             part.append(values)
     kinds = [np.int64] * len(FACTS) + [np.float64]
     return [np.concatenate(p).astype(k) if p else np.zeros(0, k) for p, k in zip(parts, kinds, strict=True)]
@@ -98,10 +100,9 @@ def batch_facts(column: pa.Array, scorer: Scorer, table: np.ndarray, tables: Pow
 
 def text_facts(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, lang``, FACTS and ``rate`` (bits per byte) of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer, table, tables = Scorer(shared.value), byte_table(), Powers()
+        scorer, table, tables = Scorer(model), byte_table(), Powers()
         for batch in batches:
             columns = batch_facts(batch.column(2), scorer, table, tables)
             rate = columns[-1] / np.maximum(columns[-2], 1)
@@ -173,7 +174,6 @@ def keep_good(docs: DataFrame) -> DataFrame:
     model = fit_model(docs)
     facts = written(text_facts(docs, model), "quality-facts")
     bands = fit_bands(facts)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     inner = docs.select(
         F.struct(*names).alias("row"), F.col("text").cast("string").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang")
@@ -186,7 +186,7 @@ def keep_good(docs: DataFrame) -> DataFrame:
     ready = inner.join(known, F.col("lang") == F.col("band_lang"), "left").select("row", "text", "low", "high")
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer, table, tables = Scorer(shared.value), byte_table(), Powers()
+        scorer, table, tables = Scorer(model), byte_table(), Powers()
         for batch in batches:
             n_words, _, _, _, n_repeat, n_bytes, bits = batch_facts(batch.column(1), scorer, table, tables)
             rate, slack = bits / np.maximum(n_bytes, 1), SHORT_TEXT / np.sqrt(np.maximum(n_bytes, 1))

@@ -415,6 +415,46 @@ def test_model_against_plain_kneser_ney(spark):
     assert np.allclose(got, want, rtol=0.02)
 
 
+def test_model_of_more_grams_than_a_slot_table(spark):
+    rng = np.random.default_rng(5)
+    data = [rng.integers(32, 127, 60_000, np.uint8).tobytes() for _ in range(120)]
+    model = language_model.fit_model(spark.createDataFrame([(t.decode(),) for t in data], "text string").repartition(8))
+    assert sum(len(p.value.codes) for p in model.fours) > 1 << 22 and len(model.fours) > 1
+
+    offsets = np.cumsum([0] + [len(t) for t in data])
+    codes = language_model.gram_codes(np.frombuffer(b"".join(data), np.uint8), offsets).astype(np.int64)
+    grams, counts = np.unique(codes, return_counts=True)
+    assert sum(len(p.value.codes) for p in model.fours) == len(grams)
+    orders = [(grams, counts)]
+    for mask in (0xFFFFFF, 0xFFFF, 0xFF):
+        orders.append(np.unique(orders[-1][0] & mask, return_counts=True))
+    below = np.full(len(orders[-1][0]), 1 / 256)
+    for order in (3, 2, 1, 0):
+        keys, n = orders[order]
+        k = [int((n == i).sum()) for i in range(5)]
+        y = k[1] / max(k[1] + 2 * k[2], 1)
+        d = [min(max(i - (i + 1) * y * k[i + 1] / k[i], 0), i) for i in (1, 2, 3)] if all(k[1:4]) else [0.5, 1.0, 1.5]
+        cut = np.array([0.0, *d])[np.minimum(n, 3)]
+        _, at = np.unique(keys >> 8, return_inverse=True)
+        total = np.bincount(at, n)
+        chance = np.maximum(n - cut, 0) / total[at] + (np.bincount(at, cut) / total)[at] * below
+        if order:
+            upper = orders[order - 1][0]
+            below = chance[np.searchsorted(keys, upper & (0xFFFFFFFF >> 8 * order))]
+    sample = data[0][:5_000]
+    got = language_model.Scorer(model).bits(np.frombuffer(sample, np.uint8), np.array([0, len(sample)]))
+    want = -np.log2(chance[np.searchsorted(grams, codes[: len(sample)])]).sum()
+    assert np.allclose(got, want, rtol=1e-4)
+
+
+def test_parts_of_a_model_and_measures(spark, docs, monkeypatch):
+    one = {r.doc_id: r.perplexity for r in quality_rules.quality_report(docs).collect()}
+    monkeypatch.setattr(language_model, "PART_ENTRIES", 300)
+    model = language_model.fit_model(docs)
+    assert len(model.fours) > 2 and all(len(p.value.codes) < 600 for p in model.fours)
+    assert {r.doc_id: r.perplexity for r in quality_rules.quality_report(docs).collect()} == one
+
+
 # 8
 def test_mixing(spark, docs, nothing, rows, monkeypatch):
     monkeypatch.setattr(mixing, "BLOCK_ROWS", 50)
