@@ -182,6 +182,31 @@ def test_keep_one_and_no_rows(docs, nothing, rows):
     assert components.connected(nothing.selectExpr("doc_id AS a", "doc_id AS b")).count() == 0
 
 
+def test_keep_one_without_ids_and_with_shared_ids(spark):
+    base, other, third = prose(41, 80), prose(42, 80), prose(43, 80)
+    near = base.split()
+    near[40] = "changed"
+    given = [
+        (None, other),  # nobody's copy
+        (None, third),
+        (None, third),
+        (7, base),
+        (7, prose(44, 80)),  # the id of another text
+        (7, base),
+        (None, " ".join(near)),  # a near copy of 7
+        (9, base.upper().replace("É", "é")),
+        (None, prose(45, 60)),
+        (None, prose(45, 60) + " end"),
+        (None, None),
+        (7, " "),
+    ]
+    kept = jaccard_join.keep_one(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in given], DOCS)).collect()
+    found = Counter((r.doc_id, r.text) for r in kept)
+    pair = [k for k in found if k[1] and k[1].startswith(prose(45, 60))]
+    assert len(pair) == 1 and found.pop(pair[0]) == 1
+    assert found == Counter([(None, other), (None, third), (7, base), (7, prose(44, 80)), (None, None), (7, " ")])
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(50, 51), (7, 7)], "a long, b long")
     assert {r.node: r.label for r in components.connected(links).collect()} == {i: 0 for i in range(31)} | {50: 50, 51: 50}
