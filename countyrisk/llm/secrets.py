@@ -33,7 +33,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 GITHUB = re.compile(r"gh[pousr]_([0-9A-Za-z]{30})([0-9A-Za-z]{6})(?![0-9A-Za-z])")
 NPM = re.compile(r"npm_([0-9A-Za-z]{30})([0-9A-Za-z]{6})(?![0-9A-Za-z])")
 JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-PEM = re.compile(r"-----BEGIN ((?:[A-Z]+ )?PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+PEM = re.compile(r"-----BEGIN ((?:[A-Z]+ )?PRIVATE KEY)-----(?:[\x20\t]*\r?\n)?((?:[A-Za-z][A-Za-z0-9-]*:[^\n]*\n(?:[\x20\t][^\n]*\n)*)*)([A-Za-z0-9+/=\s]+)-----END \1-----")
 CARD = re.compile(r"(?:card|visa|mastercard|amex)(?:\x20?(?:number|no\.?))?[\"']?\x20*[:=#]?\x20*[\"']?((?:[0-9][\x20-]?){12,18}[0-9])(?![0-9])", re.ASCII | re.IGNORECASE)
 
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
@@ -68,11 +68,14 @@ def jwt_holds(match: re.Match) -> bool:
 
 
 def pem_holds(match: re.Match) -> bool:
-    """The body is base64 of a DER sequence."""
+    """The body is base64 of a DER sequence, of an OpenSSH key, or of what its header says is encrypted."""
     try:
-        return base64.b64decode("".join(match[2].split()), validate=True)[:1] == b"\x30"
+        body = base64.b64decode("".join(match[3].split()), validate=True)
     except (ValueError, binascii.Error):
         return False
+    if "ENCRYPTED" in match[2]:
+        return len(body) >= 8
+    return body.startswith(b"openssh-key-v1\0") if match[1].startswith("OPENSSH ") else body[:1] == b"\x30"
 
 
 def long_value(match: re.Match) -> bool:

@@ -555,3 +555,17 @@ def test_secrets(spark):
     assert clean[0] == "é [SECRET] x" or clean[0].startswith("é [SECRET]") and "04db" not in clean[0]
     assert clean[5] is None and clean[6] == "" and "aaaa" not in clean[7]
     assert secrets.scan_secrets(frame.where("doc_id < 0")).count() == 0 and secrets.redact_secrets(frame.where("doc_id < 0")).count() == 0
+
+
+def test_openssh_and_encrypted_keys():
+    import base64
+
+    automaton = secrets.build_automaton()
+    block = lambda kind, head, body: f"-----BEGIN {kind}PRIVATE KEY-----\n{head}{base64.encodebytes(body).decode()}-----END {kind}PRIVATE KEY-----"
+    header = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF\n\n"
+    good = [block("OPENSSH ", "", b"openssh-key-v1\0" + bytes(90)), block("RSA ", header, bytes(range(100, 196))), block("RSA ", "", b"\x30" + bytes(60))]
+    bad = [block("OPENSSH ", "", b"not a key at all" + bytes(60)), block("RSA ", "", bytes(60)), block("RSA ", "Comment: x\n\n", bytes(60))]
+    pem = secrets.KINDS.index("pem")
+    kinds = lambda text: [k for _, k, _ in secrets.find_secrets(f"x {text} y", automaton) if k in ("pem", pem)]
+    assert [len(kinds(t)) for t in good + bad] == [1, 1, 1, 0, 0, 0]
+    assert not kinds("-----BEGIN PRIVATE KEY-----\n" + "a: b\n c: d\n" * 2_000)
