@@ -24,6 +24,7 @@ from countyrisk.llm import (
     toxicity,
     url_filter,
 )
+from countyrisk.llm import labels as labels_module
 from countyrisk.llm.labels import held_out
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -569,3 +570,10 @@ def test_openssh_and_encrypted_keys():
     kinds = lambda text: [k for _, k, _ in secrets.find_secrets(f"x {text} y", automaton) if k in ("pem", pem)]
     assert [len(kinds(t)) for t in good + bad] == [1, 1, 1, 0, 0, 0]
     assert not kinds("-----BEGIN PRIVATE KEY-----\n" + "a: b\n c: d\n" * 2_000)
+
+
+def test_labelled_texts_of_a_repeated_id(spark):
+    docs = spark.createDataFrame([(0, f"text {k}") for k in range(50)] + [(1, "one")], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (0, 1), (1, 0)], "doc_id long, mark int")
+    found = labels_module.labelled_texts(docs, labels, "mark", 10)
+    assert sorted(y for _, y in found) == [0, 1]
