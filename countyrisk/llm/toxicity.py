@@ -178,8 +178,12 @@ def marked_heads(parts: list[tuple[Tokens, np.ndarray]]) -> np.ndarray:
     return np.unique(np.array(found, np.uint64))
 
 
-def fit_field(examples: list[tuple[str, int]], seed: int = 3) -> Field:
-    """The field of (text, 0 or 1) pairs; without both classes every score is 0."""
+def fit_field(examples: list[tuple[str, int]], seed: int = 3, max_windows: int = MAX_WINDOWS) -> Field:
+    """The field of (text, 0 or 1) pairs; without both classes every score is 0.
+
+    The texts are cut into windows of ``WINDOW`` tokens, their ends too. Of the windows with and of
+    those without a marked token at most half of ``max_windows`` each are learned from, and as many
+    unsure ones in the second half of the epochs, all picked at random."""
     labels = np.array([y for _, y in examples], np.int64)
     none = Field(np.zeros(BUCKETS + 1, np.float32), np.zeros((2, 2)), np.zeros(4), True)
     if not len(labels) or labels.min() == labels.max():
@@ -194,14 +198,13 @@ def fit_field(examples: list[tuple[str, int]], seed: int = 3) -> Field:
         toxic = np.isin(tokens.heads, marks).any(1) & (own[tokens.rows] == 1)
         edges = np.searchsorted(tokens.rows, np.arange(len(own) + 1))
         for low, high in zip(edges[:-1], edges[1:], strict=True):
-            for at in range(low, max(low + 1, high - WINDOW + 1), WINDOW):
+            for at in range(low, high, WINDOW):
                 end = min(at + WINDOW, high)
-                if end - at >= 2:
-                    windows[int(toxic[at:end].any())].append((tokens.features[at:end], toxic[at:end]))
+                windows[int(toxic[at:end].any())].append((tokens.features[at:end], toxic[at:end]))
     random = np.random.default_rng(seed)
     chosen = []
     for kind in windows:
-        pick = random.permutation(len(kind))[: MAX_WINDOWS // 2]
+        pick = random.permutation(len(kind))[: max_windows // 2]
         chosen += [kind[i] for i in pick]
     weights, trans = np.zeros(BUCKETS + 1), np.zeros((2, 2))
     squares, trans_squares = np.full(BUCKETS + 1, 1e-2), np.full((2, 2), 1e-2)
@@ -211,7 +214,7 @@ def fit_field(examples: list[tuple[str, int]], seed: int = 3) -> Field:
             odds = np.concatenate([weights[f].sum(1) + weights[-1] for f, _ in windows[0]])
             rows = np.repeat(np.arange(len(windows[0])), [len(y) for _, y in windows[0]])
             unsure = np.unique(rows[runs(odds, rows, trans, len(windows[0])) >= UNSURE])
-            chosen += [windows[0][i] for i in unsure[: MAX_WINDOWS // 2]]
+            chosen += [windows[0][i] for i in random.permutation(unsure)[: max_windows // 2]]
         for pick in np.array_split(random.permutation(len(chosen)), max(1, len(chosen) // BATCH)):
             rows = np.concatenate([np.full(len(chosen[i][1]), k) for k, i in enumerate(pick)])
             features = np.concatenate([chosen[i][0] for i in pick])
@@ -276,14 +279,15 @@ def tag_texts(field: Field, column: pa.Array, table: np.ndarray, tables: Powers)
     return (np.zeros(len(out)), [[] for _ in spans]) if field.empty else (out, spans)
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, threshold: float = THRESHOLD) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, threshold: float = THRESHOLD, max_windows: int = MAX_WINDOWS) -> DataFrame:
     """``doc_id, held_out, score, predicted, spans`` of every row of ``docs``.
 
     ``spans`` has the (start, end) of toxic runs as offsets into the UTF-8 bytes of the text,
     end exclusive. Null texts are scored as empty ones; rows without a label are scored all the
     same; a null id isn't held out; repeated rows are scored each; other columns are left out;
-    an empty table gives no rows; without labels of both classes every score is 0."""
-    field = docs.sparkSession.sparkContext.broadcast(fit_field(labelled_texts(docs, labels, "toxic", per_class)))
+    an empty table gives no rows; without labels of both classes every score is 0. ``max_windows``
+    bounds what the fit learns from (see :func:`fit_field`); scoring reads whole texts."""
+    field = docs.sparkSession.sparkContext.broadcast(fit_field(labelled_texts(docs, labels, "toxic", per_class), max_windows=max_windows))
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -577,3 +577,11 @@ def test_labelled_texts_of_a_repeated_id(spark):
     labels = spark.createDataFrame([(0, 1), (0, 1), (1, 0)], "doc_id long, mark int")
     found = labels_module.labelled_texts(docs, labels, "mark", 10)
     assert sorted(y for _, y in found) == [0, 1]
+
+
+@pytest.mark.parametrize("length", [63, 33])
+def test_the_end_of_a_text_trains_the_field(length):
+    clean = [" ".join(f"w{(7 * i + k) % 90}" for k in range(length)) for i in range(60)]
+    toxic = [t.rsplit(" ", 1)[0] + " zzvile" for t in clean]
+    weights = toxicity.fit_field([(t, 0) for t in clean] + [(t, 1) for t in toxic]).weights
+    assert weights.max() > 0.1
