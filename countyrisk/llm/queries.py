@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, mixing, packing, quality_classifier, quality_rules, secrets, suffix_dedup, topk, toxicity, url_filter
+from . import jaccard_join, merkle, mixing, packing, periodic_runs, quality_classifier, quality_rules, secrets, suffix_dedup
+from . import token_counts, topk, toxicity, url_filter
 from .url_filter import Rule
 
 # The rules that op4 judges by.
@@ -19,6 +21,10 @@ URL_RULES = (
 )
 
 
+# The tokenizer that op11 counts with.
+TOKENIZER = "byte_bpe_50k.json"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -63,6 +69,18 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(secrets.scan_secrets(_table(spark, sf_dir, "documents")))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.merkle_manifest(_table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(_table(spark, sf_dir, "documents"), planted=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_jaccard_join": op2_jaccard_join,
@@ -74,8 +92,74 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_secrets": op10_secrets,
+    "op11_token_counts": op11_token_counts,
+    "op12_merkle": op12_merkle,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
+
+def merkle_sql(levels: int = 12, group_levels: int = 4) -> str:
+    """DuckDB SQL for op12, for up to 8 ^ ``levels`` rows a language and 8 ^ ``group_levels`` languages."""
+    field = "coalesce({0} || ':' || {1}, '-')".format
+    text = lambda t: field(f"CAST(strlen({t}) AS VARCHAR)", t)
+    number = lambda c: text(f"CAST({c} AS VARCHAR)")
+    leaf = lambda t: f"sha256({number('doc_id')} || {text('source')} || {text('lang')} || {number('n_chars')} || {text(t)})"
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    step = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, 3988292384 * (a & 1)) + 0 * z)"
+    codes = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))"
+    crc = f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda c, b: {step}), 4294967295)"
+
+    def climb(name: str, depth: int) -> str:
+        parts = []
+        for at in range(depth):
+            around = "OVER (PARTITION BY tree, place // 8 ORDER BY place ROWS BETWEEN {})".format
+            before = f"string_agg(digest, '') {around('UNBOUNDED PRECEDING AND 1 PRECEDING')}"
+            after = f"string_agg(digest, '') {around('1 FOLLOWING AND UNBOUNDED FOLLOWING')}"
+            parts.append(
+                f"{name}_way{at} AS (SELECT tree, place, n, coalesce({before}, '') AS before, coalesce({after}, '') AS after FROM {name}{at})"
+            )
+            parts.append(
+                f"{name}{at + 1} AS (SELECT tree, place // 8 AS place, (n + 7) // 8 AS n, CASE WHEN n > 1 THEN"
+                f" sha256(string_agg(digest, '' ORDER BY place)) ELSE any_value(digest) END AS digest FROM {name}{at} GROUP BY tree, place // 8, n)"
+            )
+        return ",\n".join(parts)
+
+    def fold(name: str, depth: int, start: str, table: str, place: str) -> tuple[str, str]:
+        """CTEs that fold a level each into ``h`` and ``siblings``."""
+        parts, last = [], start
+        for at in range(depth):
+            parts.append(
+                f"{name}{at} AS (SELECT d.* REPLACE (CASE WHEN w.n > 1 THEN sha256(w.before || d.h || w.after) ELSE d.h END AS h,"
+                f" d.siblings || w.before || w.after AS siblings) FROM {last} d JOIN {table}_way{at} w"
+                f" ON w.tree = d.{place}_tree AND w.place = d.{place} // {8**at})"
+            )
+            last = f"{name}{at}"
+        return ",\n".join(parts), last
+
+    inner, last = fold("f", levels, "d0", "l", "place")
+    outer, end = fold("g", group_levels, "g_start", "t", "top")
+    return f"""
+WITH rows AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, {leaf("text")} AS leaf,
+    CASE WHEN doc_id IS NOT NULL AND {crc} % 3 = 0 THEN {leaf(low)} END AS forged
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY tree) AS n FROM rows
+), l0 AS (SELECT tree, place, n, leaf AS digest FROM placed),
+{climb("l", levels)},
+t0 AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n, digest, tree AS grp FROM l{levels}),
+{climb("t", group_levels)},
+d0 AS (
+  SELECT p.doc_id, p.leaf, p.place, p.tree AS place_tree, t.place AS top, '' AS top_tree, t.digest AS subroot, coalesce(p.forged, p.leaf) AS h, '' AS siblings
+  FROM placed p JOIN t0 t ON t.grp = p.tree
+),
+{inner},
+g_start AS (SELECT * FROM {last}),
+{outer}
+SELECT doc_id, leaf, subroot, r.digest AS root, sha256(siblings) AS proof_sha256, h AS folded_root, h = r.digest AS verified
+FROM {end} CROSS JOIN t{group_levels} r"""
+
+
 ORACLES = {
     "op2_jaccard_join": r"""
 WITH RECURSIVE w AS (
@@ -129,4 +213,5 @@ WITH rest AS (
 )
 SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM parts p LEFT JOIN fits f ON f.page_id = p.page_id AND f.k = 1""",
+    "op12_merkle": merkle_sql(),
 }

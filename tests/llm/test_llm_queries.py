@@ -15,8 +15,8 @@ def test_query_matches_sql(spark, name):
     assert oracle_tools.compare(QUERIES[name](spark, SF), oracle_tools.connect(SF), ORACLES[name]) is None
 
 
-def test_ten_queries():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_thirteen_queries():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark):
