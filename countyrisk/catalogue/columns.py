@@ -10,7 +10,7 @@ from ..functions import casts, damage, display, names
 from ..operators import ranking
 from ..plans import silver
 from ..session import scratch_dir
-from ..sinks import tables
+from ..sinks import commits, tables
 from ..sources import files, landing
 from . import adapters
 from .oracle import blank, lenient, report_time, strict, zsum
@@ -240,6 +240,21 @@ def _(w: Workspace) -> DataFrame:
     return w.spark.table(tables.current_name(mart)).select("county_fips", "year", "noaa_event_count")
 
 
+@query("snk07_current_of_another_session", "SELECT county_fips, year, noaa_event_count FROM mart")
+def _(w: Workspace) -> DataFrame:
+    """The version that a session without the tables of the first finds in the log, after a rollback."""
+    root = scratch_dir(w.spark, "snk07-versions")
+    for run_dt, rows in (("2024-01-31", w.mart()), ("2024-02-29", w.mart().withColumn("noaa_event_count", F.lit(-1).cast("bigint")))):
+        path = f"{root}/run_dt={run_dt}/attempt=1"
+        tables.write_partitioned(rows, path)
+        commits.promote(w.spark, root, path, rows.schema, {"run_dt": run_dt})
+    other = w.spark.newSession()
+    if commits.current(other, root).filter("noaa_event_count <> -1").limit(1).count():
+        raise AssertionError("the newest version is not the current one")
+    commits.rollback(other, root, 0)
+    return commits.current(w.spark, root).select("county_fips", "year", "noaa_event_count")
+
+
 @query("snk09_pass_through_view", "SELECT zip5, county_fips, tot_ratio, year FROM crosswalk")
 def _(w: Workspace) -> DataFrame:
     table = _version(w, "zip2county_prod", w.crosswalk())

@@ -31,7 +31,11 @@ class Paths:
         return f"{self.root}/silver/{table}"
 
     def gold(self, mart: str, run_dt: str) -> str:
-        return f"{self.root}/gold/{mart}/run_dt={run_dt}"
+        return f"{self.versions(mart)}/run_dt={run_dt}"
+
+    def versions(self, mart: str) -> str:
+        """Folder of all versions of a mart and of its commit log."""
+        return f"{self.root}/gold/{mart}"
 
     def ops(self, table: str) -> str:
         return f"{self.root}/ops/{table}"

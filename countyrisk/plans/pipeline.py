@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from ..config import Paths, YearWindow
 from ..functions import fips
 from ..operators import allocate, checks, resolve, rollups
-from ..sinks import tables
-from ..sources import files
-from . import gold, publish, quality, silver
+from ..sinks import commits, tables
+from ..sources import files, landing
+from . import gold, incremental, publish, quality, silver
 
+# Folder of the storm reports that incremental runs keep.
+EVENT_VERSIONS = "noaa_events_versions"
 # Outcome -> table name of the cleaned storm reports.
 EVENT_TABLES = {
     "valid": "noaa_events_clean",
@@ -77,12 +79,44 @@ def events_path(path: str, outcome: str = "valid") -> str:
     return f"{path}/{resolve.OUTCOME}={outcome}"
 
 
-def build_silver(spark: SparkSession, raw: Raw, paths: Paths, acs_year: int = 2022) -> dict[str, dict]:
+@dataclass(frozen=True)
+class Landing:
+    """An incremental run: the years it looks at, as :func:`countyrisk.sources.landing.year_scope` takes them.
+
+    ``mode`` is ``backfill`` (files dated first to last) or ``monthly`` (the run's year plus ``offset``)."""
+
+    mode: str
+    first: int = 0
+    last: int = 0
+    offset: int = 0
+
+
+def update_events(spark: SparkSession, paths: Paths, counties: DataFrame, run_id: str, run_dt: str, scope: Landing) -> dict:
+    """Only the years whose landed files changed are cleaned and replaced; what was done, for the run log."""
+    years = landing.year_scope(spark, scope.mode, run_dt, scope.first, scope.last, scope.offset)
+    done = incremental.update_events(spark, paths.bronze("noaa/details"), paths.silver(EVENT_VERSIONS), counties, run_id, years)
+    return {"version": done.commit.number, "years": done.years, "files_changed": len(done.changed), "files_read": len(done.read)}
+
+
+def silver_events(spark: SparkSession, paths: Paths, outcome: str = "valid", scope: Landing | None = None) -> DataFrame:
+    """Cleaned storm reports: of the versioned table in an incremental run, else of the plain one."""
+    if scope is not None:
+        return incremental.events(spark, paths.silver(EVENT_VERSIONS), outcome)
+    return spark.read.parquet(events_path(paths.silver("noaa_events"), outcome))
+
+
+def build_silver(
+    spark: SparkSession, raw: Raw, paths: Paths, acs_year: int = 2022, run_id: str = "", run_dt: str = "", scope: Landing | None = None
+) -> dict[str, dict]:
     """Clean and write every table; metrics per job come from the writes themselves."""
     metrics: dict[str, dict] = {}
     tables.write_plain(silver.county_reference(raw.nri), paths.silver("county_reference"))
     counties = spark.read.parquet(paths.silver("county_reference"))
-    metrics["events"] = write_events(silver.clean_events(raw.events, counties), paths.silver("noaa_events")).get
+    if scope is not None:
+        metrics["events"] = update_events(spark, paths, counties, run_id, run_dt, scope)
+    else:
+        metrics["events"] = write_events(silver.clean_events(raw.events, counties), paths.silver("noaa_events")).get
+
     def write(name: str, df: DataFrame, columns: tuple[str, ...], partition: str | None = None) -> None:
         seen = Observation(name)
         observed = df.observe(seen, *silver.null_rate_metrics(columns))
@@ -110,8 +144,13 @@ def build_silver(spark: SparkSession, raw: Raw, paths: Paths, acs_year: int = 20
     return metrics
 
 
-def register_silver(spark: SparkSession, paths: Paths, database: str = "default") -> list[str]:
-    """Views over the cleaned tables by name. An outcome without rows has no folder."""
+def register_silver(spark: SparkSession, paths: Paths, database: str = "default", scope: Landing | None = None) -> list[str]:
+    """Views over the cleaned tables by name. An outcome without rows has no folder. The storm reports of
+    an incremental run are views of the session, as a version is made of folders of several runs."""
+    if scope is not None:
+        for outcome, name in EVENT_TABLES.items():
+            silver_events(spark, paths, outcome, scope).createOrReplaceTempView(name)
+        return [*EVENT_TABLES.values(), *[tables.folder_view(spark, name, paths.silver(name), database) for name in SILVER_TABLES]]
     root = paths.silver("noaa_events")
     present = {r[0] for r in spark.read.parquet(root).select(resolve.OUTCOME).distinct().collect()}
     names = [
@@ -129,15 +168,16 @@ def build_gold(
     window: YearWindow = YearWindow(),
     database: str = "default",
     raise_on_block: bool = False,
+    scope: Landing | None = None,
 ) -> list[publish.Published]:
     """Both marts as versions, each checked before its view moves."""
     read = lambda name: spark.read.parquet(paths.silver(name))
-    events = spark.read.parquet(events_path(paths.silver("noaa_events")))
+    events = silver_events(spark, paths, scope=scope)
     claims, declarations = read("fema_claims_clean"), read("fema_disaster_declarations_clean")
     crosswalk, census, scores = read("zip2county_xwalk_clean"), read("census_clean"), read("nri_scores_clean")
 
     def published(name: str, df: DataFrame, suite) -> publish.Published:
-        return publish.publish_version(df, name, run_dt, paths.gold(name, run_dt), suite, database, raise_on_block)
+        return publish.publish_version(df, name, run_dt, paths.gold(name, run_dt), suite, database, raise_on_block, paths.versions(name))
 
     first = published("hazard_event_summary", gold.hazard_event_summary(events, window), lambda t: quality.summary_suite(t, census))
     summary = spark.table(first.table)  # what was written, not its plan again
@@ -181,7 +221,14 @@ def build_scaffold(
         events, type_map, dim, years, universe, summary, t, claims, declarations, gold.county_scores(scores)
     )
     name = "risk_feature_mart_scaffold"
-    return publish.publish_version(mart, name, run_dt, paths.gold(name, run_dt), suite, database, raise_on_block)
+    return publish.publish_version(mart, name, run_dt, paths.gold(name, run_dt), suite, database, raise_on_block, paths.versions(name))
+
+
+def open_current(spark: SparkSession, paths: Paths) -> list[str]:
+    """Views ``<mart>_current`` of this session over the newest version of each mart that has one, from the
+    commit logs alone: neither the session that promoted them nor a metastore is needed."""
+    found = [mart for mart in publish.MARTS if commits.history(spark, paths.versions(mart))]
+    return [commits.attach(spark, paths.versions(mart), f"{mart}_current") for mart in found]
 
 
 def run_pipeline(
@@ -192,8 +239,11 @@ def run_pipeline(
     window: YearWindow = YearWindow(),
     database: str = "default",
     raise_on_block: bool = False,
+    scope: Landing | None = None,
 ) -> str:
-    """Raw checks, cleaning, marts, gate, promotion and run log. Gives the overall status."""
+    """Raw checks, cleaning, marts, gate, promotion and run log. Gives the overall status.
+
+    With a ``scope`` the storm reports are brought up to date instead of cleaned anew."""
     log_path = paths.ops("run_log")
 
     def log(layer: str, kind: str, name: str, payload: dict, status: str | None = None, block: bool = False) -> None:
@@ -211,12 +261,12 @@ def run_pipeline(
     log("bronze", "plan", "run", {"run_dt": run_dt, "window": [window.first, window.last]})
     gate("bronze", quality.bronze_events_suite(raw.events))
 
-    metrics = build_silver(spark, raw, paths)
-    register_silver(spark, paths, database)
+    metrics = build_silver(spark, raw, paths, run_id=run_id, run_dt=run_dt, scope=scope)
+    register_silver(spark, paths, database, scope)
     log("silver", "metadata", "row_counts", metrics)
-    gate("silver", quality.silver_events_suite(spark.read.parquet(events_path(paths.silver("noaa_events")))))
+    gate("silver", quality.silver_events_suite(silver_events(spark, paths, scope=scope)))
 
-    published = build_gold(spark, paths, run_dt, window, database, raise_on_block)
+    published = build_gold(spark, paths, run_dt, window, database, raise_on_block, scope)
     for p in published:
         log(
             "gold",

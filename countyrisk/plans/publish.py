@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import checks
-from ..sinks import tables
+from ..sinks import commits, tables
 
 # How many blocking reports an error message names; all of them block.
 NAMED_REPORTS = 20
@@ -45,16 +45,19 @@ def publish_version(
     suite_of: Callable[[DataFrame], checks.Suite] | None = None,
     database: str = "default",
     raise_on_block: bool = False,
+    versions: str | None = None,
 ) -> Published:
     """Write a version, check what was written, promote it unless a check blocks.
 
     Each call writes a table of its own, so the version that ``_current`` shows stays whole
     until the new one has passed, also when one ``run_dt`` is run again; it stays after that
-    too, for a rollback."""
+    too, for a rollback. With ``versions``, a folder above ``path``, promotion is first of all a commit
+    in the log there, which any later session finds (:mod:`countyrisk.sinks.commits`)."""
     if mart not in MARTS:
         raise ValueError(f"unknown mart {mart!r}")
     spark = df.sparkSession
-    table = tables.write_version(df, mart, run_dt, path, database, attempt=uuid.uuid4().hex[:12])
+    attempt = uuid.uuid4().hex[:12]
+    table = tables.write_version(df, mart, run_dt, path, database, attempt=attempt)
     written = spark.table(table)
     suite = suite_of(written) if suite_of else checks.Suite(mart, written)
     results = checks.run_checks(spark, suite)
@@ -62,6 +65,9 @@ def publish_version(
     if blocked and raise_on_block:
         raise BlockedError(f"blocking checks failed for {table}")
     if not blocked:
+        if versions:
+            note = {"run_dt": run_dt, "table": table, "status": status}
+            commits.promote(spark, versions, f"{path}/attempt={attempt}", written.schema, note)
         tables.promote(spark, mart, table, database)
     return Published(mart, table, status, blocked, not blocked, results)
 

@@ -98,7 +98,12 @@ def unique_events(raw: DataFrame) -> DataFrame:
     Only the keys are worked out ahead of the shuffle; the other columns are parsed
     once, on the rows that stay.
     """
-    return typed_events(dedupe.dedupe(keyed_events(raw), ("event_id", "episode_id")))
+    return unique_keyed(keyed_events(raw))
+
+
+def unique_keyed(events: DataFrame) -> DataFrame:
+    """:func:`unique_events` of rows that have their keys already."""
+    return typed_events(dedupe.dedupe(events, ("event_id", "episode_id")))
 
 
 def county_reference(nri_raw: DataFrame) -> DataFrame:
@@ -113,7 +118,12 @@ def clean_events(raw: DataFrame, counties: DataFrame) -> DataFrame:
     so the one shuffle of the events is the one by event id. ``counties`` is read once
     per lookup: give the written county reference rather than its plan.
     """
-    return resolve.resolve_counties(resolve.with_candidate_key(unique_events(raw)), counties)
+    return resolved_events(keyed_events(raw), counties)
+
+
+def resolved_events(keyed: DataFrame, counties: DataFrame) -> DataFrame:
+    """:func:`clean_events` of rows that have their keys already."""
+    return resolve.resolve_counties(resolve.with_candidate_key(unique_keyed(keyed)), counties)
 
 
 def clean_declarations(raw: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ CSV_FILES = "{*.csv,*.csv.gz}"
 CORRUPT = "_corrupt_record"
 
 
-def read_csv_text(spark: SparkSession, path: str, repeated: Iterable[str] = ()) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str | list[str], repeated: Iterable[str] = ()) -> DataFrame:
     """CSV with a header, every column a string, names in snake case.
 
     ``repeated`` lists header names that may occur twice (the reader numbers those).

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Form of a yearly storm-event file name, and the lowest row count of a county table.
@@ -54,7 +54,7 @@ def _binary(spark: SparkSession, path: str, glob: str) -> DataFrame:
     )
 
 
-def _plain(column: str):
+def plain_path(column: str | Column) -> Column:
     """Readers differ in how they write the scheme of a local path."""
     return F.regexp_replace(column, "^file:/+", "/")
 
@@ -67,24 +67,36 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """
     found = _binary(spark, path, glob)
     listed = spark.createDataFrame([(unquote(f),) for f in found.inputFiles()], "path string")
-    sizes = found.select(_plain("path").alias("path"), "length")
+    sizes = found.select(plain_path("path").alias("path"), "length")
     return (
-        listed.select(_plain("path").alias("path"))
+        listed.select(plain_path("path").alias("path"))
         .join(sizes, "path", "left")
         .select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.coalesce("length", F.lit(0)).alias("bytes"))
     )
 
 
+def file_stats(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """``path, name, bytes, modified`` of the files with content below a folder; their bytes are not read."""
+    found = _binary(spark, path, glob).select(plain_path("path").alias("path"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+    return found.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "bytes", "modified")
+
+
+def hashes_of(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``path, sha256`` of named files, one task's row each."""
+    found = spark.read.format("binaryFile").load(paths)
+    return found.select(plain_path("path").alias("path"), F.sha2("content", 256).alias("sha256"))
+
+
 def file_hashes(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """SHA-256 of each landed file (raw files are a few MB; one task reads one file)."""
-    return _binary(spark, path, glob).select(_plain("path").alias("path"), F.sha2("content", 256).alias("sha256"))
+    return _binary(spark, path, glob).select(plain_path("path").alias("path"), F.sha2("content", 256).alias("sha256"))
 
 
 def file_rows(spark: SparkSession, path: str, glob: str = "{*.csv,*.csv.gz}") -> DataFrame:
     """Data rows per CSV file, the header not counted."""
     lines = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path)
     return (
-        lines.groupBy(_plain("_metadata.file_path").alias("path"))
+        lines.groupBy(plain_path("_metadata.file_path").alias("path"))
         .agg(F.count("*").alias("lines"))
         .select("path", F.greatest(F.col("lines") - 1, F.lit(0)).alias("row_count"))
     )

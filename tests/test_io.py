@@ -260,6 +260,33 @@ def test_run_from_files_to_current_views(spark, tmp_path):
     assert built.results.count() == 13 and built.promoted == (not built.blocked)
     universe = spark.read.parquet(paths.gold("county_year_universe", "2024-01-31"))
     assert spark.table(built.table).count() == universe.count() > 0
+    # another session, from the commit logs alone
+    other = spark.newSession()
+    assert len(pipeline.open_current(other, paths)) >= 2
+    assert {r.county_fips for r in other.table("risk_feature_mart_current").collect()} == {"01001", "01003"}
+
+
+def test_incremental_run_of_the_pipeline(spark, tmp_path):
+    _raw_files(tmp_path)
+    paths = Paths(str(tmp_path))
+    scope = pipeline.Landing("backfill", 2000, 2030)
+    details = tmp_path / "bronze/noaa/details"
+    (details / "d2012.csv.gz").rename(details / "StormEvents_details-ftp_v1.0_d2012_c20240101.csv.gz")
+    mart = lambda: {(r.county_fips, r.year): r.noaa_event_count for r in spark.table("default.risk_feature_mart_current").collect()}
+    assert pipeline.run_pipeline(spark, paths, "run-1", "2024-01-31", scope=scope) == "pass"
+    assert mart() == {("01001", 2012): 1, ("01003", 2012): 1}
+    when = "28-APR-13 14:45:00,28-APR-13 15:45:00"
+    put(
+        details / "StormEvents_details-ftp_v1.0_d2013_c20240201.csv.gz",
+        EVENT_HEADER + f"21,1,ALABAMA,1,C,1,AUTAUGA,Hail,,2013,2013,{when},1,0,0,0,10K,0\n",
+    )
+    assert pipeline.run_pipeline(spark, paths, "run-2", "2024-02-29", scope=scope) == "pass"
+    assert mart() == {("01001", 2012): 1, ("01003", 2012): 1, ("01001", 2013): 1}
+    logged = [json.loads(r.payload)["events"]["years"] for r in publish.read_log(spark, paths.ops("run_log")).filter("name = 'row_counts'").orderBy("logged_at").collect()]
+    assert logged == [[2012], [2013]]
+    assert spark.table("noaa_events_clean_unresolved_county_fips").count() == 1
+    for name in pipeline.EVENT_TABLES.values():
+        spark.catalog.dropTempView(name)
 
 
 def test_missing_key_sources_are_errors(spark):
