@@ -413,7 +413,8 @@ def _(w: Workspace) -> DataFrame:
     late = part.isin("1998", "")
     for run_id, rows in (("r1", ~late), ("r2", late)):
         new = w.raw("events").withColumn("part", part).filter(rows).repartition("part")
-        new.write.mode("append").partitionBy("part").option("header", True).option("compression", "gzip").csv(landed)
+        keep = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "compression": "gzip"}
+        new.write.mode("append").partitionBy("part").options(**keep).csv(landed)
         done = incremental.update_events(w.spark, landed, root, w.counties(), run_id)
     if len(done.changed) >= len(done.read) + 2 or 1998 not in done.years:
         raise AssertionError(f"the second run cleaned {done.read}")
