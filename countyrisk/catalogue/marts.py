@@ -149,12 +149,30 @@ def _(w: Workspace) -> DataFrame:
 
 @query(
     "ag17_legend_range",
-    "SELECT min(v) AS low, quantile_disc(v, 0.5) AS median, max(v) AS high FROM (SELECT cast(noaa_event_count AS DOUBLE) AS v FROM mart)",
+    "SELECT min(v) AS low, quantile_cont(v, 0.5) AS median, max(v) AS high FROM (SELECT cast(noaa_event_count AS DOUBLE) AS v FROM mart)",
 )
 def _(w: Workspace) -> DataFrame:
     return ranking.metric_range(w.mart(), "noaa_event_count")
 
 
+@query(
+    "ag17_price_median",
+    "SELECT l_linenumber, quantile_cont(cast(l_extendedprice AS DOUBLE), 0.5) AS median, count(DISTINCT l_extendedprice) > 10000 AS more_than_the_sketch "
+    "FROM lineitem WHERE l_linenumber <= 2 GROUP BY l_linenumber",
+)
+def _(w: Workspace) -> DataFrame:
+    """Medians over more values than the sketch holds, two line numbers apart."""
+    lines = w.table("lineitem")
+
+    def one(number: int) -> DataFrame:
+        own = lines.filter(F.col("l_linenumber") == number)
+        median = ranking.exact_median(own, F.col("l_extendedprice")).scalar()
+        many = F.count_distinct("l_extendedprice") > ranking.SKETCH
+        return own.groupBy("l_linenumber").agg(many.alias("more_than_the_sketch")).select("l_linenumber", median.alias("median"), "more_than_the_sketch")
+
+    return one(1).unionByName(one(2))
+
+
 @query(
     "ag18_match_rate",
     "SELECT count(*) AS claim_disaster_cnt, count(d.disasternumber) AS matched_disaster_cnt, 1.0 * count(d.disasternumber) / count(*) AS match_rate "

@@ -14,7 +14,7 @@ from ..operators.checks import WARNING, Check, Suite
 from ..plans import audits, contracts, gold, publish, quality, serving
 from ..session import scratch_dir
 from ..sources import landing
-from .columns import _LISTING, _event_csv, _listing
+from .columns import _LISTING, _csv, _event_csv, _listing
 from .oracle import sane
 from .registry import query
 from .workspace import WINDOW, Workspace
@@ -45,9 +45,9 @@ def _(w: Workspace) -> DataFrame:
     "('end_date_time'), ('year')) AS t(c) WHERE c NOT IN (SELECT lower(column_name) FROM (DESCRIBE SELECT event_id, episode_id, state FROM raw_events))",
 )
 def _(w: Workspace) -> DataFrame:
-    seen = names.normalize_columns(w.raw("events")).select("event_id", "episode_id", "state")
-    missing = checks.required_columns(seen, schemas.EVENT_REQUIRED)
-    return seen.agg(F.lit(missing).cast("bigint").alias("failures"))
+    path = w.written("csv_three_columns", lambda p: _csv(w.raw("events").select("EVENT_ID", "EPISODE_ID", "STATE"), p))
+    missing = checks.missing_headers(w.spark, path, schemas.EVENT_REQUIRED)
+    return missing.select(F.explode("missing").alias("name")).agg(F.count_distinct("name").alias("failures"))
 
 
 @query(
@@ -63,9 +63,7 @@ def _(w: Workspace) -> DataFrame:
     _failing("(SELECT year FROM events_clean WHERE year <> 1999)", "year < 1998"),
 )
 def _(w: Workspace) -> DataFrame:
-    rows = w.events()
-    in_1999 = [f for f in rows.inputFiles() if "year=1999" in f]
-    return _row(quality.exclude_files(rows, in_1999), checks.count_if(F.col("year") < 1998))
+    return _row(quality.exclude_files(w.events(), "/year=1999/"), checks.count_if(F.col("year") < 1998))
 
 
 @query(
@@ -268,6 +266,17 @@ def _(w: Workspace) -> DataFrame:
     return checks.violations(shares, quality.CLAIM_METRICS).select("county_fips", "year")
 
 
+@query(
+    "qa22_claim_negative_seeded",
+    f"SELECT county_fips, year, round(-1.0 - {quality.CLAIM_METRICS[0]}, 4) AS {quality.CLAIM_METRICS[0]} FROM equal_shares WHERE year = 1998 AND {quality.CLAIM_METRICS[0]} >= 0 ORDER BY county_fips LIMIT 50",
+)
+def _(w: Workspace) -> DataFrame:
+    metric = quality.CLAIM_METRICS[0]
+    shares = allocate.allocate_equally(w.claims(), w.declarations())
+    spoilt = shares.withColumn(metric, F.when((F.col("year") == 1998) & (F.col(metric) >= 0), -1.0 - F.col(metric)).otherwise(F.col(metric)))
+    return checks.violations(spoilt, quality.CLAIM_METRICS, 50, ["county_fips"]).select("county_fips", "year", F.round(metric, 4).alias(metric))
+
+
 _MATCH = (
     "SELECT *, CASE WHEN claim_disaster_cnt = 0 THEN 0.0 ELSE 1.0 * matched_disaster_cnt / claim_disaster_cnt END AS match_rate FROM (SELECT "
     "(SELECT count(DISTINCT disasternumber) FROM claims) AS claim_disaster_cnt, (SELECT count(DISTINCT disasternumber) FROM declarations) AS decl_disaster_cnt, "

@@ -18,6 +18,7 @@ from ..operators import rollups
 from ..plans import gold, pipeline, silver
 from ..session import scratch_dir
 from ..sinks import tables
+from ..sources import files
 from . import adapters
 
 WINDOW = YearWindow(adapters.FIRST_YEAR, adapters.LAST_YEAR)
@@ -43,8 +44,15 @@ class Workspace:
     def table(self, name: str) -> DataFrame:
         return self._frame(f"{self.sf_dir}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A table whose file has one row group, which one task reads, dealt to even tasks by its size."""
+        key = f"spread {name}"
+        if key not in self._frames:
+            self._frames[key] = files.spread(self.table(name), f"{self.sf_dir}/{name}.parquet")
+        return self._frames[key]
+
     def raw(self, name: str) -> DataFrame:
-        return adapters.raw_frame(self.table(adapters.RAW[name][0]), name)
+        return adapters.raw_frame(self.spread(adapters.RAW[name][0]), name)
 
     def acs(self) -> dict[str, DataFrame]:
         return {t: self.raw(t) for t in silver.CENSUS_CELLS}

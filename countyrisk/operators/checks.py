@@ -115,6 +115,18 @@ def required_columns(df: DataFrame, required: Sequence[str]) -> int:
     return sum(r.lower() not in present for r in required)
 
 
+def missing_headers(spark: SparkSession, path: str, required: Sequence[str], glob: str = "{*.csv,*.csv.gz}") -> DataFrame:
+    """``path, missing``: the required names that a CSV file's header lacks, for each file that lacks any.
+
+    The header is the first line of the file's first block, read in the task that has it; names are compared
+    without regard to case, quotes and blanks around them."""
+    lines = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path)
+    heads = lines.filter("_metadata.file_block_start = 0").groupBy(F.col("_metadata.file_path").alias("path")).agg(F.first("value").alias("head"))
+    cells = F.transform(F.split("head", ","), lambda c: F.lower(F.trim(F.regexp_replace(c, '^\ufeff|"', ""))))
+    wanted = F.array(*[F.lit(r.lower()) for r in required])
+    return heads.select("path", F.array_except(wanted, cells).alias("missing")).filter(F.size("missing") > 0)
+
+
 def violations(df: DataFrame, columns: Iterable[str], limit: int = 50, order: Sequence[str] = ()) -> DataFrame:
     """Sample of rows with a negative metric."""
     found = df.filter(is_negative(columns))

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.names import normalize_columns, normalize_header, snake_case
+from .landing import file_stats
 
 # Data files only: metadata files beside them end in .json.
 CSV_FILES = "{*.csv,*.csv.gz}"
@@ -32,10 +33,39 @@ def read_csv_text(spark: SparkSession, path: str | list[str], repeated: Iterable
     return normalize_header(raw, repeated)
 
 
-def read_csv_gz(spark: SparkSession, path: str, partitions: int | None = None, repeated: Iterable[str] = ()) -> DataFrame:
-    """Compressed CSV. A gzip file is one task; name ``partitions`` to spread few large files."""
-    rows = read_csv_text(spark, path, repeated)
-    return rows.repartition(partitions) if partitions else rows
+# Bytes by the unit that a setting may end in.
+UNITS = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+
+
+def setting_bytes(spark: SparkSession, name: str) -> int:
+    """A size setting of the session, as in ``128MB`` or ``134217728b``."""
+    text = spark.conf.get(name).strip().lower()
+    number = text.rstrip("kmgb")
+    return int(number) * UNITS[(text.removeprefix(number) or "b")[0]]
+
+
+def task_count(spark: SparkSession, total: int) -> int:
+    """Tasks that Spark's own reader would deal a splittable input of ``total`` bytes to."""
+    most, least = setting_bytes(spark, "spark.sql.files.maxPartitionBytes"), setting_bytes(spark, "spark.sql.files.openCostInBytes")
+    each = min(most, max(least, total // spark.sparkContext.defaultParallelism))
+    return max(1, -(-total // each))
+
+
+def spread(df: DataFrame, path: str, glob: str = "*") -> DataFrame:
+    """Rows of files that can't be split, in as many even tasks as a splittable input of their size.
+
+    The files' sizes are measured. The reader packs whole files into tasks, largest first; only if there are
+    fewer files than tasks, or one is larger than two even shares, the rows are dealt anew after the read."""
+    spark = df.sparkSession
+    found = file_stats(spark, path, glob).agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0)), F.coalesce(F.max("bytes"), F.lit(0))).first()
+    count, total, largest = found
+    tasks = task_count(spark, total)
+    return df.repartition(tasks) if tasks > 1 and (count < tasks or largest * tasks > 2 * total) else df
+
+
+def read_csv_gz(spark: SparkSession, path: str, repeated: Iterable[str] = ()) -> DataFrame:
+    """Compressed CSV. A gzip file is one task while it is read; after that rows are spread by measured size."""
+    return spread(read_csv_text(spark, path, repeated), path, CSV_FILES)
 
 
 def read_csv_typed(

@@ -36,11 +36,22 @@ def test_repeated_headers_and_metadata_files(spark, tmp_path):
     assert [tuple(r) for r in df.collect()] == [("2010", "x", "a", "b", "1")]
 
 
-def test_gzip_is_read_and_spread_on_demand(spark, tmp_path):
-    put(tmp_path / "a.csv.gz", "A,B\n" + "".join(f"{i},x\n" for i in range(100)))
-    assert "Exchange" not in plan_of(files.read_csv_gz(spark, str(tmp_path)))
-    df = files.read_csv_gz(spark, str(tmp_path), 4)
-    assert df.count() == 100 and df.rdd.getNumPartitions() == 4
+def test_gzip_is_spread_by_measured_size(spark, tmp_path):
+    put(tmp_path / "small" / "a.csv.gz", "A,B\n" + "".join(f"{i},x\n" for i in range(100)))
+    assert "Exchange" not in plan_of(files.read_csv_gz(spark, str(tmp_path / "small")))
+    # one file with most of the bytes beside small ones
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.openCostInBytes", "2k")
+    for k in range(9):
+        put(tmp_path / "skewed" / f"{k}.csv.gz", "A,B\n" + "".join(f"{i},{hash((k, i))}\n" for i in range(5_000 if k == 0 else 50)))
+    df = files.read_csv_gz(own, str(tmp_path / "skewed"))
+    sizes = [r[1] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 5_400 and len(sizes) >= 8 and max(sizes) < 1.2 * min(sizes)
+    for k in range(8):
+        put(tmp_path / "even" / f"{k}.csv.gz", "A,B\n" + "".join(f"{i},{hash((k, i))}\n" for i in range(500)))
+    assert "Exchange" not in plan_of(files.read_csv_gz(own, str(tmp_path / "even")))
+    assert files.setting_bytes(own, "spark.sql.files.openCostInBytes") == 2048
+    assert files.setting_bytes(spark, "spark.sql.files.maxPartitionBytes") == 128 << 20
 
 
 def test_columns_are_found_by_name(spark, tmp_path):

@@ -377,3 +377,21 @@ def test_null_rates(frame):
     df = frame("a string, b int", ("", 1), (" ", None), ("x", 2), (None, 3))
     assert tuple(checks.null_rates(df, ["a", "b", "absent"]).first()) == (0.75, 0.25)
     assert checks.null_rates(df, ["absent"]).first().note == "no_cols"
+
+
+@pytest.mark.parametrize("count", [0, 1, 2, 7, 40_001, 40_002])
+def test_exact_median_beyond_the_sketch(spark, count):
+    rows = spark.range(count).selectExpr("CASE WHEN id % 11 = 0 THEN 5.5D WHEN id % 3 = 0 THEN NULL ELSE double(id * 7919 % 100003) / 3 END AS v")
+    want = sorted(r.v for r in rows.collect() if r.v is not None)
+    n = len(want)
+    found = ranking.exact_median(rows, F.col("v")).first().median
+    assert found == ((want[(n - 1) // 2] + want[n // 2]) / 2 if n else None)
+    legend = ranking.metric_range(rows, "v").first()
+    assert (legend.low, legend.median, legend.high) == (want[0] if n else None, found, want[-1] if n else None)
+
+
+def test_headers_that_lack_names(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('"Event_ID",STATE , year\nEPISODE_ID,2,3\n')
+    (tmp_path / "b.csv").write_text("EVENT_ID,EPISODE_ID,STATE,YEAR\n" + "1,2,3,4\n" * 50)
+    found = checks.missing_headers(spark, str(tmp_path), ["event_id", "episode_id", "state", "year"]).collect()
+    assert [(r.path.rsplit("/", 1)[1], r.missing) for r in found] == [("a.csv", ["episode_id"])]
