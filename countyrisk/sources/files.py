@@ -54,13 +54,13 @@ def task_count(spark: SparkSession, total: int) -> int:
 def spread(df: DataFrame, path: str, glob: str = "*") -> DataFrame:
     """Rows of files that can't be split, in as many even tasks as a splittable input of their size.
 
-    The files' sizes are measured. The reader packs whole files into tasks, largest first; only if there are
-    fewer files than tasks, or one is larger than two even shares, the rows are dealt anew after the read."""
+    The files' sizes are measured. The reader packs whole files into tasks, largest first; only if one
+    file is as large as two even shares, the rows are dealt anew after the read."""
     spark = df.sparkSession
-    found = file_stats(spark, path, glob).agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0)), F.coalesce(F.max("bytes"), F.lit(0))).first()
-    count, total, largest = found
+    sizes = file_stats(spark, path, glob).agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.coalesce(F.max("bytes"), F.lit(0)))
+    total, largest = sizes.first()
     tasks = task_count(spark, total)
-    return df.repartition(tasks) if tasks > 1 and (count < tasks or largest * tasks > 2 * total) else df
+    return df.repartition(tasks) if tasks > 1 and largest * tasks >= 2 * total else df
 
 
 def read_csv_gz(spark: SparkSession, path: str, repeated: Iterable[str] = ()) -> DataFrame:
