@@ -2,14 +2,18 @@
 
 Vectors are dealt into shards by a hash of their id. A task builds the ball tree of its shard
 (halved along the direction between two far points until leaves are small) and walks it for
-blocks of queries. For a node with centre c and radius r no member scores above
-q.c + |q| r; nodes are visited in the order of that bound, and a query leaves a node whose
-bound is below its current kth score.
+many queries at once. For a node with centre c and radius r no member scores above
+q.c + |q| r: level by level, a query leaves the nodes whose bound is below its current kth score.
+It then takes its leaves in the order of that bound, the best few first, and raises its kth score
+before it goes on; all queries that want a leaf share one matrix product with it.
 
 The kth score is shared between shards: every query is first searched in one home shard, and
 goes to the others with that shard's kth score as its floor. A vector below the floor can't
 be among the k best; ties at the floor are kept. Each shard returns at most k rows per query.
 
+How much the bound saves depends on the vectors: a query with near copies drops all leaves but a few,
+and for one among vectors in random directions no bound on balls can drop any.
+
 Queries meet shards in blocks of rows: a block of queries is sent to each shard, and the
 number of rows sent is queries times shards, never queries times vectors.
 """
@@ -24,8 +28,11 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 
 SHARD_ROWS = 20_000
-BLOCK_ROWS = 2_000
+BLOCK_ROWS = 20_000
 LEAF = 64
+# Queries walked at once, and how many of its leaves a query takes in each round but the last.
+BATCH = 1_000
+ROUNDS = (2, 8)
 
 
 class BallTree:
@@ -61,55 +68,73 @@ class BallTree:
                 self.rows[low:high] = self.rows[low:high][order]
                 stack += [(low, low + middle, node, 0), (low + middle, high, node, 1)]
         self.ids, self.vectors = ids[self.rows], vectors[self.rows]
+        self.doubles = self.vectors.astype(np.float64)
+        self.middle = np.array(self.centres).reshape(len(self.radii), -1)
+        self.reach = np.array(self.radii)
+        self.largest = float(np.abs(self.doubles).max(initial=0))
 
 
-def exact_products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+def products(queries: np.ndarray, tree: BallTree, low: int, high: int) -> np.ndarray:
     """Integer inner products: in doubles while every sum is exact there, else as integers."""
-    most = np.abs(queries).max(initial=0).astype(np.float64) * np.abs(vectors).max(initial=0) * queries.shape[1]
-    if most < 2.0**52:
-        return (queries.astype(np.float64) @ vectors.astype(np.float64).T).astype(np.int64)
-    return queries @ vectors.T
-
-
-def search(tree: BallTree, ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, k: int) -> list[list[tuple[int, int]]]:
-    """For each query the k best (score, id) of the shard at or above its floor, ties to the smaller id."""
-    best: list[list[tuple[int, int]]] = [[] for _ in ids]
+    if float(np.abs(queries).max(initial=0)) * tree.largest * queries.shape[1] < 2.0**52:
+        return queries.astype(np.float64) @ tree.doubles[low:high].T
+    return queries @ tree.vectors[low:high].T
+
+
+def best_of(rows: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best entries of each row, by score, ties to the smaller id; in that order."""
+    order = np.lexsort((ids, -scores, rows))
+    rows, scores, ids = rows[order], scores[order], ids[order]
+    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    return rows[place < k], scores[place < k], ids[place < k]
+
+
+def leaf_bounds(tree: BallTree, queries: np.ndarray, floors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(leaves, bound of every query for each of them, -inf where a node above was dropped)."""
+    norms = np.sqrt((queries**2).sum(1))
+    nodes, alive, leaves, bounds = np.zeros(1, np.int64), np.ones((len(queries), 1), bool), [], []
+    children = np.array(tree.children).reshape(-1, 2)
+    while len(nodes):
+        top = queries @ tree.middle[nodes].T + norms[:, None] * tree.reach[nodes]
+        top += 1e-9 * (np.abs(top) + norms[:, None] * (tree.reach[nodes] + 1)) + 1e-6
+        alive = alive & (top >= floors[:, None])
+        ends = children[nodes, 0] < 0
+        leaves.append(nodes[ends])
+        bounds.append(np.where(alive[:, ends], top[:, ends], -np.inf))
+        on = ~ends & alive.any(0)
+        nodes, alive = children[nodes[on]].ravel(), np.repeat(alive[:, on], 2, axis=1)
+    return np.concatenate(leaves), np.concatenate(bounds, axis=1)
+
+
+def search(tree: BallTree, ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of the query, score, id) of the k best of the shard at or above each query's floor."""
+    none = np.zeros(0, np.int64)
+    if not len(tree.ids) or not len(ids):
+        return none, none, none
     least = floors.astype(np.float64)
-    norms = np.sqrt((queries.astype(np.float64) ** 2).sum(1))
     exact = queries.astype(np.float64)
-
-    def bounds(node: int, rows: np.ndarray) -> np.ndarray:
-        top = exact[rows] @ tree.centres[node] + norms[rows] * tree.radii[node]
-        return top + 1e-9 * (np.abs(top) + norms[rows] * (tree.radii[node] + 1)) + 1e-6
-
-    everyone = np.arange(len(ids))
-    stack = [(0, everyone, bounds(0, everyone))] if len(tree.ids) and len(ids) else []
-    while stack:
-        node, rows, tops = stack.pop()
-        rows = rows[tops >= least[rows]]
-        if not len(rows):
-            continue
-        low, high = tree.spans[node]
-        left, right = tree.children[node]
-        if left < 0:
-            scores = exact_products(queries[rows], tree.vectors[low:high])
-            for place, row in enumerate(rows):
-                line = scores[place]
-                at = np.flatnonzero((line >= least[row]) & (tree.ids[low:high] != ids[row]))
-                if len(at):
-                    own = zip(line[at].tolist(), tree.ids[low + at].tolist(), strict=True)
-                    best[row] = sorted([*best[row], *own], key=lambda s: (-s[0], s[1]))[:k]
-                if len(best[row]) == k:
-                    least[row] = max(least[row], min(s for s, _ in best[row]))
-            continue
-        tops_left, tops_right = bounds(left, rows), bounds(right, rows)
-        first = tops_left >= tops_right
-        # each query goes down its better side first: last pushed is first walked
-        stack.append((right, rows[first], tops_right[first]))
-        stack.append((left, rows[~first], tops_left[~first]))
-        stack.append((left, rows[first], tops_left[first]))
-        stack.append((right, rows[~first], tops_right[~first]))
-    return [sorted(b, key=lambda s: (-s[0], s[1]))[:k] for b in best]
+    leaves, bounds = leaf_bounds(tree, exact, least)
+    best = (none, none, none)
+    for take in (*ROUNDS, len(leaves)):
+        wanted = bounds >= np.maximum(least, -1e300)[:, None]
+        if take < len(leaves):
+            nth = np.partition(bounds, len(leaves) - take, axis=1)[:, len(leaves) - take]
+            wanted &= bounds >= nth[:, None]
+        bounds[wanted] = -np.inf
+        parts, slack = [best], least - np.abs(least) * 1e-12  # whole numbers beyond doubles are rounded there
+        for leaf in np.flatnonzero(wanted.any(0)):
+            low, high = tree.spans[leaves[leaf]]
+            rows = np.flatnonzero(wanted[:, leaf])
+            scores = products(queries[rows], tree, low, high)
+            found, at = np.nonzero(scores >= slack[rows, None])
+            other = tree.ids[low + at] != ids[rows[found]]
+            found, at = found[other], at[other]
+            parts.append((rows[found], scores[found, at].astype(np.int64), tree.ids[low + at]))
+        best = best_of(*(np.concatenate(column) for column in zip(*parts, strict=True)), k)
+        counts = np.bincount(best[0], minlength=len(ids))
+        kth = np.flatnonzero(counts == k)
+        least[kth] = np.maximum(least[kth], best[1][np.cumsum(counts)[kth] - 1])
+    return best
 
 
 def whole_vectors(frame: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
@@ -130,7 +155,9 @@ def top_k(frame: DataFrame, is_query: str, k: int = 5, id_col: str = "vec_id", v
     query's own id. Scores are inner products of floor(scale * x); only vectors of one length
     are compared. Ties go to the smaller id; with fewer than k candidates all are returned.
     Null vectors and those with null or non-finite parts take no part; a repeated row counts
-    as often as it stands; other columns are left out; an empty table gives no rows."""
+    as often as it stands as a candidate and once as a query. Rows with one id but different vectors
+    ask together: the best of all their hits make one list. Other columns are left out; an empty table
+    gives no rows."""
     vectors = whole_vectors(frame, id_col, vector_col, scale)
     shards = max(1, -(-vectors.count() // SHARD_ROWS))
     dealt = vectors.select(
@@ -171,17 +198,20 @@ def _searched(dealt: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     """Hits of each block of queries in each shard it is sent to."""
 
     def searched(vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        rows: list[tuple[int, int, int]] = []
-        dim = 0
+        dim, parts = 0, []
         if vectors.num_rows and queries.num_rows:
             tree = BallTree(vectors.column("vec_id").to_numpy(), flat(vectors.column("vector")))
             floors = filled(queries.column("floor"))
             ids, asked_for = queries.column("query_id").to_numpy(), flat(queries.column("query"))
             dim = asked_for.shape[1]
-            hits = search(tree, ids, asked_for, floors, k)
-            rows = [(int(q), v, s) for q, own in zip(ids, hits, strict=True) for s, v in own]
-        parts = [pa.array([r[at] for r in rows], pa.int64()) for at in range(3)]
-        return pa.table({"query_id": parts[0], "dim": pa.array([dim] * len(rows), pa.int32()), "vec_id": parts[1], "score": parts[2]})
+            for at in range(0, len(ids), BATCH):
+                some = slice(at, at + BATCH)
+                rows, scores, found = search(tree, ids[some], asked_for[some], floors[some], k)
+                parts.append((ids[some][rows], found, scores))
+        columns = [pa.array(np.concatenate([p[c] for p in parts]) if parts else np.zeros(0, np.int64), pa.int64()) for c in range(3)]
+        return pa.table(
+            {"query_id": columns[0], "dim": pa.array([dim] * len(columns[0]), pa.int32()), "vec_id": columns[1], "score": columns[2]}
+        )
 
     pair = dealt.groupBy("shard", "block", "dim").cogroup(asked.groupBy("shard", "block", "dim"))
     return pair.applyInArrow(searched, "query_id long, dim int, vec_id long, score long")

@@ -234,6 +234,26 @@ def test_top_k(spark, monkeypatch):
     assert sorted(map(tuple, topk.top_k(frame, "vec_id % 50 = 0").collect())) == sorted(want)
     assert topk.top_k(frame.where("vec_id < 0"), "vec_id % 50 = 0").count() == 0
     assert topk.top_k(frame.where("vec_id in (100, 101)"), "vec_id % 50 = 0").count() == 1
+    # two rows of one id ask together
+    two = frame.where("vec_id in (0, 1, 2)").unionByName(frame.where("vec_id = 3").selectExpr("0L AS vec_id", "embedding", "score"))
+    both = sorted(((-sum(a * b for a, b in zip(whole[q], whole[i], strict=True)), i) for q in (0, 3) for i in (1, 2)))[:3]
+    assert [tuple(r) for r in topk.top_k(two, "vec_id = 0", 3).orderBy("rank").collect()] == [(0, k + 1, i, -s) for k, (s, i) in enumerate(both)]
+
+
+def test_near_copies_drop_leaves():
+    rng = np.random.default_rng(1)
+    centres = rng.normal(0, 1, (40, 16))
+    vectors = np.floor(256 * (np.repeat(centres, 100, 0) + rng.normal(0, 0.01, (4_000, 16)))).astype(np.int64)
+    ids = rng.permutation(4_000)
+    tree = topk.BallTree(ids, vectors)
+    queries, own = vectors[::80], ids[::80]
+    leaves, bounds = topk.leaf_bounds(tree, queries.astype(float), np.full(len(own), -(2.0**62)))
+    rows, scores, found = topk.search(tree, own, queries, np.full(len(own), -(2**62)), 5)
+    for k in range(len(own)):
+        want = sorted((-int(s), int(i)) for s, i in zip(vectors @ queries[k], ids, strict=True) if i != own[k])[:5]
+        assert [(-int(s), int(i)) for s, i in zip(scores[rows == k], found[rows == k], strict=True)] == want
+    kth = np.array([scores[rows == k].min() for k in range(len(own))])
+    assert (bounds >= kth[:, None]).mean() < 0.3 and len(leaves) > 60
 
 
 # 4
