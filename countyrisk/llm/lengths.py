@@ -21,8 +21,8 @@ def written(frame: DataFrame, label: str) -> DataFrame:
 
 
 def with_lengths(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, n_words, seq_a, seq_b`` of every row; the hashes are those of the
-    words with A-Z lower-cased. A null text has no words."""
+    """``doc_id, source, n_words, seq_a, seq_b, text_hash`` of every row; the sequence hashes are those of
+    the words with A-Z lower-cased. A null text has no words."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, tables = byte_table(lower=True), Powers()
@@ -36,9 +36,10 @@ def with_lengths(docs: DataFrame) -> DataFrame:
                 for part, values in zip(parts, (np.bincount(owner, minlength=rows), one.view(np.int64), two.view(np.int64)), strict=True):
                     part.append(values.astype(np.int64))
             columns = [pa.array(np.concatenate(p) if p else np.zeros(0, np.int64)) for p in parts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["doc_id", "source", "n_words", "seq_a", "seq_b"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns, batch.column(3)], names=["doc_id", "source", "n_words", "seq_a", "seq_b", "text_hash"])
 
+    text = F.col("text").cast("string")
     chosen = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text")
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), text.alias("text"), F.xxhash64(text).alias("text_hash")
     )
-    return chosen.mapInArrow(counted, "doc_id long, source string, n_words long, seq_a long, seq_b long")
+    return chosen.mapInArrow(counted, "doc_id long, source string, n_words long, seq_a long, seq_b long, text_hash long")

@@ -68,15 +68,16 @@ def find_exponent(totals: DataFrame, budget: int, target_entropy: float, max_rep
 
 def block_order(seed: int):
     """Places of a document in the order of an epoch: its block's, then its own."""
-    block = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("blocks"))
-    return block, F.xxhash64("key", block, F.col("epochs"), F.lit(seed)), F.xxhash64("doc_id", F.col("epochs"), F.lit(seed + 1))
+    block = F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(seed)), F.col("blocks"))
+    own = F.xxhash64("doc_id", "text_hash", F.col("epochs"), F.lit(seed + 1))
+    return block, F.xxhash64("key", block, F.col("epochs"), F.lit(seed)), own
 
 
 def mixing_decisions(
     docs: DataFrame, budget: int | None, target_entropy: float, max_repeats: float, seed: int
 ) -> tuple[DataFrame, DataFrame]:
-    """(``doc_id, key, n_words`` of every row, one row per source with its decisions)."""
-    rows = written(with_lengths(docs).select("doc_id", source_key().alias("key"), "n_words"), "mixing-rows")
+    """(``doc_id, text_hash, key, n_words`` of every row, one row per source with its decisions)."""
+    rows = written(with_lengths(docs).select("doc_id", "text_hash", source_key().alias("key"), "n_words"), "mixing-rows")
     totals = written(rows.groupBy("key").agg(F.sum("n_words").alias("words"), F.count("*").alias("rows")), "mixing-totals")
     paid = totals.where("words > 0")
     whole = paid.agg(F.sum("words")).first()[0] or 0
@@ -105,14 +106,15 @@ def mixing_decisions(
     ends = sums.withColumn("before", before).where("before <= rest AND before + words > rest")
     ends = ends.select("key", F.col("place").alias("end_place"), F.col("block").alias("end_block"), (F.col("rest") - F.col("before")).alias("left"))
     last = placed.join(ends, "key").where("place = end_place AND block = end_block")
-    # rows of one id go together
+    # rows of one id and text go together, as one sum
+    last = last.groupBy("key", "left", "own").agg(F.sum("n_words").alias("n_words"))
     upto = F.sum("n_words").over(Window.partitionBy("key").orderBy("own").rangeBetween(Window.unboundedPreceding, 0))
     cut = last.withColumn("upto", upto).where("upto <= left").groupBy("key").agg(F.max("own").alias("end_own"))
     return rows, written(plan.join(ends.drop("left"), "key", "left").join(cut, "key", "left"), "mixing-decisions")
 
 
 def with_copies(rows: DataFrame, decisions: DataFrame, seed: int) -> DataFrame:
-    """``rows`` (with ``key`` and ``doc_id``) and ``copies``, ``weight``, ``exponent``."""
+    """``rows`` (with ``key``, ``doc_id`` and ``text_hash``) and ``copies``, ``weight``, ``exponent``."""
     chosen = decisions.select("key", "blocks", "epochs", "end_place", "end_block", "end_own", "weight", "exponent")
     block, place, own = block_order(seed)
     earlier = (place < F.col("end_place")) | ((place == F.col("end_place")) & (block < F.col("end_block")))
@@ -128,8 +130,8 @@ def mixing_plan(
 
     ``budget`` is in words; by default as many as there are. A null source is a source of its
     own; one without words has weight 0. Null and empty texts have no words and come with the
-    block they stand in. Rows of one id are taken together; other columns are left out; an
-    empty table gives no rows."""
+    block they stand in. Rows without an id are dealt by their text like any other; rows alike in id and
+    text are taken together; other columns are left out; an empty table gives no rows."""
     rows, decisions = mixing_decisions(docs, budget, target_entropy, max_repeats, seed)
     source = F.when(F.col("key") != "n", F.expr("substring(key, 2)"))
     return with_copies(rows, decisions, seed).select("doc_id", source.alias("source"), "n_words", "copies", "weight", "exponent")
@@ -140,6 +142,6 @@ def mix_sources(
 ) -> DataFrame:
     """The rows of ``docs``, each as often as the mixture takes it, in the same columns."""
     _, decisions = mixing_decisions(docs, budget, target_entropy, max_repeats, seed)
-    inner = docs.select(F.struct(*docs.columns).alias("row"), source_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"))
+    inner = docs.select(F.struct(*docs.columns).alias("row"), source_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
     mixed = with_copies(inner, decisions, seed).where("copies > 0")
     return mixed.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")

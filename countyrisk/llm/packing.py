@@ -132,9 +132,10 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int =
     they never share a bin. A null source is no conflict; a null or empty text is a piece of no
     words, and such pieces have no cluster. Repeated rows are packed each; ties in length go by
     ``doc_id``; other columns are left out; an empty table gives no rows."""
-    rows = written(with_lengths(docs), "packing")
+    # the number makes rows differ that have no id or share one, so that shards are even
+    rows = written(with_lengths(docs).withColumn("deal", F.monotonically_increasing_id()), "packing")
     shards = max(1, -(-rows.count() // shard_rows))
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text_hash", "deal"), F.lit(shards)).cast("int"))
 
     def packed(key: tuple, table: pa.Table) -> pa.Table:
         shard = key[0].as_py()
