@@ -10,16 +10,18 @@ and the ``CORE`` bytes from there are equal as well.
 1. Anchors with a core that stands nowhere else are dropped (a count over hashes).
 2. Of the rest, those with equal surroundings (all bytes that any string over this anchor could
    touch) are settled at once: all these strings repeat. One of each kind goes on.
-3. The kinds of one core are sorted as suffix tuples (Spark's external sort brings the cores
-   together, spilling to disk as it needs), with the common prefix of neighbours. Then strings
+3. A core with more than ``SORTED`` kinds is split by more bytes: the strings that start in the nearer
+   half of REACH hold the bytes behind the core, those from the farther half the bytes in front of
+   it, so each half has longer cores of its own. Kinds that are alone with one are out, kinds with all
+   the same bytes are settled, the others go on, and halves are halved again while they are too many.
+4. The kinds of one core are then sorted as suffix tuples (Spark's external sort brings the cores
+   together, spilling to disk as it needs), with the common prefix of neighbours, and strings
    that start d bytes before their anchor are induced from those d-1 before: their class is the
    class one byte later, split by the byte in front, and two of one class are equal when the
    common prefix behind the anchor has LENGTH - d bytes. This compares bytes, not hashes.
-4. A core with more than ``HOT`` kinds would gather in one task; its strings are hashed one by
-   one instead and counted, which spreads over all tasks.
 
 Rows are told apart by id and text hash; equal hashes of two different 64-bit functions stand
-for equal bytes in steps 2 and 4.
+for equal bytes where kinds are settled (steps 2 and 3).
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .lengths import written
@@ -37,7 +39,7 @@ from .text import Powers, byte_blocks, byte_table, mixed, prefix_hashes, span_ha
 LENGTH = 400
 REACH = 160
 GRAM = 16
-HOT = 4_096
+SORTED = 256
 FLUSH = 16_384
 NO_ID = -(2**63)
 
@@ -97,12 +99,14 @@ def find_anchors(texts: DataFrame, length: int, reach: int) -> DataFrame:
                 take = pa.array(rows + at)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), *(pa.array(c) for c in rest)], names=list(ANCHOR))
 
-    return texts.mapInArrow(found, ", ".join(f"{c} long" for c in ANCHOR))
+    return texts.drop("doc_id").mapInArrow(found, ", ".join(f"{c} long" for c in ANCHOR))
 
 
-def repeated_starts(strings: list[bytes], before: np.ndarray, after: np.ndarray, length: int, reach: int) -> np.ndarray:
+def repeated_starts(
+    strings: list[bytes], before: np.ndarray, after: np.ndarray, low: np.ndarray, high: np.ndarray, length: int, reach: int
+) -> np.ndarray:
     """rows x reach: whether the string that starts d bytes before the anchor of a row stands
-    under another row too. ``strings`` are the bytes around the anchors."""
+    under another row too. ``strings`` are the bytes around the anchors; a row has the starts from ``low`` to ``high``."""
     n = len(strings)
     out = np.zeros((n, reach), bool)
     wide = np.zeros((n, reach - 1 + length), np.uint8)
@@ -120,7 +124,7 @@ def repeated_starts(strings: list[bytes], before: np.ndarray, after: np.ndarray,
             left = np.unique(left * 256 + wide[:, reach - 1 - d], return_inverse=True)[1]
         behind = np.zeros(n, np.int64)
         behind[order[1:]] = np.cumsum(common < length - d)
-        live = np.flatnonzero((before >= d) & (after >= length - d))
+        live = np.flatnonzero((before >= d) & (after >= length - d) & (low <= d) & (d <= high))
         if len(live) < 2:
             continue
         key = left[live] * n + behind[live]
@@ -142,13 +146,13 @@ def start_runs(flags: np.ndarray, place: int, length: int) -> list[tuple[int, in
     return [(int(place - d[b]), int(place - d[a] + length)) for a, b in zip(firsts, lasts, strict=True)]
 
 
-def covered_ranges(docs: DataFrame, length: int = LENGTH, reach: int = REACH, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+def covered_ranges(docs: DataFrame, length: int = LENGTH, reach: int = REACH, most: int = SORTED) -> tuple[DataFrame, DataFrame]:
     """(texts with ``id`` and ``text_hash``, ranges ``id, text_hash, start, end``): every byte in a
     string of ``length`` bytes that also starts elsewhere is in a range."""
     if not 2 * reach <= length:
         raise ValueError("reach is at most half the length")
     texts = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("text").cast("string").alias("text")
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id")
     )
     anchors = written(find_anchors(texts, length, reach), "anchors")
     # counted cores are written, so that both sides of the joins are plain shuffles, which can be
@@ -164,10 +168,32 @@ def covered_ranges(docs: DataFrame, length: int = LENGTH, reach: int = REACH, ho
     wanted = kinds.join(several, "core").select("core", "n", "kinds", "one.*")
     by_row = wanted.groupBy("id", "text_hash").agg(F.collect_list(F.struct("core", "n", "kinds", "place", "before", "after")).alias("wanted"))
     around = written(cut_out(texts.join(by_row, ["id", "text_hash"])), "around")
-    # rows of one id and text are cut out of each; one is enough
-    few = around.where(F.col("kinds") <= hot).repartition("core").sortWithinPartitions("core", "id", "text_hash", "place")
-    many = around.where(F.col("kinds") > hot)
-    return texts, ranges.unionByName(induced(few, length, reach)).unionByName(counted_strings(many, length, reach))
+    around = around.withColumns({"low": F.lit(0).cast("long"), "high": F.lit(reach - 1).cast("long")})
+    while True:
+        # rows of one id and text are cut out of each; one is enough
+        few = around.where(F.col("kinds") <= most).repartition("core").sortWithinPartitions("core", "id", "text_hash", "place")
+        ranges = ranges.unionByName(induced(few, length, reach))
+        many = around.where(F.col("kinds") > most)
+        if many.isEmpty():
+            return texts, ranges
+        found, around = split_cores(many, length)
+        ranges = ranges.unionByName(found)
+
+
+def split_cores(many: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """(ranges that are settled, the kinds of the longer cores) of kinds with starts from ``low`` to ``high``."""
+    halves = written(halved(many, length), "halves")
+    alike = ["core", "whole", "again"]
+    same = written(halves.groupBy(*alike).agg(F.count("*").alias("same")), "wholes")
+    cores = same.groupBy("core").agg(F.sum("same").alias("rows"), F.count("*").alias("kinds")).where("rows > 1")
+    first, last = F.least("before", "high"), F.greatest("low", F.lit(length) - F.col("after"))
+    settled = halves.where("n = 1").join(same.where("same > 1").select(*alike), alike, "left_semi")
+    found = settled.select("id", "text_hash", (F.col("place") - first).alias("start"), (F.col("place") - last + length).alias("end"))
+    one = Window.partitionBy(*alike).orderBy("id", "text_hash", "place")
+    kinds = halves.withColumn("row", F.row_number().over(one)).where("row = 1").drop("row", "kinds")
+    kinds = kinds.join(same, alike).join(cores.where("kinds > 1").select("core", "kinds"), "core")
+    kinds = kinds.select("id", "text_hash", "core", F.greatest("n", "same").alias("n"), "kinds", "place", "before", "after", "around", "low", "high")
+    return found, written(kinds, "around")
 
 
 CUT = "id long, text_hash long, core long, n long, kinds long, place long, before long, after long, around binary"
@@ -190,6 +216,42 @@ def cut_out(texts: DataFrame) -> DataFrame:
     return texts.select("id", "text_hash", "text", "wanted").mapInArrow(cut, CUT)
 
 
+HALF = "id long, text_hash long, core long, n long, place long, before long, after long, around binary, low long, high long, whole long, again long"
+
+
+def halved(many: DataFrame, length: int) -> DataFrame:
+    """Each row once for either half of its starts that has a string: with the hash of the bytes that all
+    strings of the half hold (``core``), and two of all bytes that any of them could touch."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables, ways = Powers(), [byte_table(1), byte_table(2)]
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                strings = part.column(6).to_pylist()
+                data = np.frombuffer(b"".join(strings), np.uint8)
+                core, before, after, low, high = (part.column(c).to_numpy() for c in (2, 4, 5, 7, 8))
+                sizes = np.array([len(t) for t in strings], np.int64)
+                anchor = np.cumsum(sizes) - sizes + before
+                prefixes = [prefix_hashes(data, way, tables) for way in ways]
+                middle = (low + high + 1) // 2
+                for first, last in ((low, middle - 1), (middle, high)):
+                    # a single start has no nearer half
+                    some = np.flatnonzero((first <= last) & (before >= first) & (after >= length - last))
+                    a, first, last = anchor[some], first[some], last[some]
+                    own = mixed(core[some].view(np.uint64) ^ mixed((first * length + last).astype(np.uint64) + np.uint64(7)))
+                    key = mixed(own + span_hashes(prefixes[0], a - first, a + length - last, tables))
+                    left, right = np.minimum(before[some], last), np.minimum(after[some], length - first)
+                    extent = (left * (length + 1) + right).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                    wholes = [mixed(span_hashes(p, a - left, a + right, tables) ^ extent) for p in prefixes]
+                    take = pa.array(some)
+                    kept = [part.column(c).take(take) for c in (0, 1, 3, 4, 5, 6)]
+                    arrays = [kept[0], kept[1], pa.array(key.view(np.int64)), part.column(9).take(take), *kept[2:], pa.array(first), pa.array(last)]
+                    yield pa.RecordBatch.from_arrays([*arrays, *(pa.array(w.view(np.int64)) for w in wholes)], names=[c.split()[0] for c in HALF.split(", ")])
+
+    return many.select("id", "text_hash", "core", "place", "before", "after", "around", "low", "high", "n").mapInArrow(cut, HALF)
+
+
 RANGE = "id long, text_hash long, start long, end long"
 
 
@@ -202,8 +264,8 @@ def induced(around: DataFrame, length: int, reach: int) -> DataFrame:
     """Ranges of the strings that repeat among the kinds of one core; ``around`` comes by core."""
 
     def settle(rows: list[tuple]) -> pa.RecordBatch:
-        before, after = (np.array([r[k] for r in rows], np.int64) for k in (4, 5))
-        flags = repeated_starts([r[6] for r in rows], before, after, length, reach)
+        before, after, low, high = (np.array([r[k] for r in rows], np.int64) for k in (4, 5, 8, 9))
+        flags = repeated_starts([r[6] for r in rows], before, after, low, high, length, reach)
         found = [(r[0], r[1], a, b) for r, own in zip(rows, flags, strict=True) if r[7] == 1 for a, b in start_runs(own, r[3], length)]
         return range_batch(found)
 
@@ -211,7 +273,7 @@ def induced(around: DataFrame, length: int, reach: int) -> DataFrame:
         held: list[tuple] = []
         seen: tuple | None = None
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("id", "text_hash", "core", "place", "before", "after", "around", "n")]
+            columns = [batch.column(c).to_pylist() for c in ("id", "text_hash", "core", "place", "before", "after", "around", "n", "low", "high")]
             for row in zip(*columns, strict=True):
                 if (row[0], row[1], row[2], row[3]) == seen:
                     continue  # a repeated row of one id and text
@@ -226,33 +288,6 @@ def induced(around: DataFrame, length: int, reach: int) -> DataFrame:
     return around.mapInArrow(swept, RANGE)
 
 
-def counted_strings(around: DataFrame, length: int, reach: int) -> DataFrame:
-    """Ranges of the strings that repeat among the kinds of hot cores, by counting each one."""
-
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, ways = Powers(), [byte_table(1), byte_table(2)]
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                strings = part.column(8).to_pylist()
-                data = np.frombuffer(b"".join(strings), np.uint8)
-                sizes = np.array([len(s) for s in strings], np.int64)
-                count = np.maximum(sizes - length + 1, 0)
-                row = np.repeat(np.arange(len(strings)), count)
-                step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-                start = (np.cumsum(sizes) - sizes)[row] + step
-                hashes = [span_hashes(prefix_hashes(data, way, tables), start, start + length, tables).view(np.int64) for way in ways]
-                first = part.column(5).to_numpy() - part.column(6).to_numpy()
-                take = pa.array(row)
-                arrays = [part.column(0).take(take), part.column(1).take(take), pa.array(first[row] + step), *(pa.array(h) for h in hashes)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["id", "text_hash", "start", "one", "two"])
-
-    # anchors of one text may list a string twice; a place counts once
-    strings = around.mapInArrow(listed, "id long, text_hash long, start long, one long, two long").distinct()
-    repeats = written(strings.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two"), "strings")
-    return strings.join(repeats, ["one", "two"], "left_semi").select("id", "text_hash", "start", (F.col("start") + length).alias("end"))
-
-
 def united(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Ranges that meet or overlap made one, in order."""
     out: list[tuple[int, int]] = []
@@ -265,15 +300,15 @@ def united(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, reach: int = REACH, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, reach: int = REACH, most: int = SORTED) -> DataFrame:
     """``doc_id, n_bytes, spans, kept`` of every row: the removed byte ranges and the bytes left.
 
     A null or empty text, and one shorter than ``length`` bytes, loses nothing. Repeated rows
     repeat each other. Strings are judged on the input, and matches never cross rows. Other
     columns are left out; an empty table gives no rows."""
-    texts, ranges = covered_ranges(docs, length, reach, hot)
+    texts, ranges = covered_ranges(docs, length, reach, most)
     listed = ranges.groupBy("id", "text_hash").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
-    whole = texts.join(listed, ["id", "text_hash"], "left").select("id", "text", "ranges")
+    whole = texts.join(listed, ["id", "text_hash"], "left").select("doc_id", "text", "ranges")
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,17 +324,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, reach: int = REACH, ho
                 sizes.append(len(text))
                 spans.append([{"start": a, "end": b} for a, b in own])
                 kept.append(b"".join([*parts, text[at:]]))
-            ids = [None if v == NO_ID else v for v in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"]
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"]
             )
 
     return whole.mapInArrow(removed, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
 
 
 def removal_report(docs: DataFrame) -> DataFrame:
-    """The registered form of :func:`remove_repeats`: counts and a digest of what is left."""
+    """The registered form of :func:`remove_repeats`: counts, a digest of what is left, and whether bytes went."""
     done = remove_repeats(docs)
     lost = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
-    return done.select("doc_id", "n_bytes", lost.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return done.select("doc_id", "n_bytes", lost.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), (F.size("spans") > 0).alias("removed"))
 

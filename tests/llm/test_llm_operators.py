@@ -208,6 +208,28 @@ def test_keep_one_without_ids_and_with_shared_ids(spark):
     assert found == Counter([(None, other), (None, third), (7, base), (7, prose(44, 80)), (None, None), (7, " ")])
 
 
+def test_keep_one_keeps_clashing_columns(spark):
+    given = [(k // 2, prose(50 + k // 2, 60), f"k{k}", f"w{k}", k * 0.5, k / 4, f"row{k}") for k in range(6)] + [(9, "", "e", "f", 0.0, None, "g")]
+    docs = spark.createDataFrame(given, "doc_id int, text string, _key string, _words string, id double, `tie.place` double, `row` string")
+    kept = jaccard_join.keep_one(docs)
+    assert kept.dtypes == docs.dtypes
+    found = sorted(map(tuple, kept.collect()))
+    assert [r[0] for r in found] == [0, 1, 2, 9] and set(found) <= set(given)
+
+
+def test_rows_without_ids_are_dealt_evenly(spark):
+    many = spark.range(20_000).selectExpr("CAST(NULL AS bigint) AS doc_id", "concat('word ', id % 5000, ' of a text') AS text", "if(id % 3 = 0, 'hot', 'other') AS source")
+    packed = packing.pack_documents(many, shard_rows=5_000)
+    shards = packed.selectExpr("bin_id >> 32 AS shard").groupBy("shard").count().collect()
+    assert len(shards) == 4 and all(4_500 < r["count"] < 5_500 for r in shards)
+    plan = mixing.mixing_plan(many, budget=40_000, target_entropy=1.0)
+    taken = {r.source: r.words for r in plan.groupBy("source").agg({"*": "count"}).join(plan.selectExpr("source", "n_words * copies AS w").groupBy("source").sum("w").withColumnRenamed("sum(w)", "words"), "source").collect()}
+    weight = {r.source: r.weight for r in plan.select("source", "weight").distinct().collect()}
+    # rows alike in id and text go together: four of five words each
+    assert all(0 <= round(weight[s] * 40_000) - taken[s] < 20 for s in taken)
+    assert sum(r["count"] for r in mixing.mix_sources(many, budget=40_000, target_entropy=1.0).groupBy("source").count().collect()) == sum(taken.values()) // 5
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(50, 51), (7, 7)], "a long, b long")
     assert {r.node: r.label for r in components.connected(links).collect()} == {i: 0 for i in range(31)} | {50: 50, 51: 50}
@@ -287,11 +309,9 @@ def test_equal_digests_are_told_apart(tmp_path, monkeypatch):
 
 
 # 5
-@pytest.mark.parametrize("hot", [4_096, 2])
-def test_repeated_strings(docs, rows, nothing, hot):
-    length = 60
+def without_repeats(raw, length):
+    """id: (bytes, bytes removed, runs, bytes left) by a loop over all strings."""
     seen = Counter()
-    raw = [(i, (t or "").encode()) for i, t, *_ in rows]
     for _, data in raw:
         seen.update(data[k : k + length] for k in range(len(data) - length + 1))
     want = {}
@@ -302,9 +322,35 @@ def test_repeated_strings(docs, rows, nothing, hot):
                 gone[k : k + length] = True
         runs = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
         want[i] = (len(data), int(gone.sum()), runs, bytes(np.frombuffer(data, np.uint8)[~gone]))
-    found = suffix_dedup.remove_repeats(docs, length, 30, hot).collect()
-    assert {r.doc_id: (r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), bytes(r.kept)) for r in found} == want
-    if hot > 2:
+    return want
+
+
+def removed_from(docs, *sizes):
+    found = suffix_dedup.remove_repeats(docs, *sizes).collect()
+    return {r.doc_id: (r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), bytes(r.kept)) for r in found}
+
+
+@pytest.mark.parametrize("most", [256, 2])
+def test_repeated_strings_around_one_core(spark, most):
+    rng = np.random.default_rng(9)
+    letters = lambda n: "".join(rng.choice(list("ab"), n))
+    core, lefts, rights = letters(45), [letters(int(n)) for n in rng.integers(0, 40, 30)], [letters(int(n)) for n in rng.integers(0, 40, 30)]
+    texts = []
+    for _ in range(500):
+        left, right = str(rng.choice(lefts)), str(rng.choice(rights))
+        texts.append(letters(int(rng.integers(0, 20))) + left[int(rng.integers(0, 9)) :] + core + right[: int(rng.integers(0, 40))] + letters(int(rng.integers(0, 20))))
+    given = [(k if k else -(2**63), t) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(given, "doc_id long, text string")
+    want = without_repeats([(k, t.encode()) for k, t in given], 60)
+    assert removed_from(docs, 60, 30, most) == want and 100 < sum(w[1] > 0 for w in want.values()) < 490
+
+
+@pytest.mark.parametrize("most", [256, 2])
+def test_repeated_strings(docs, rows, nothing, most):
+    length = 60
+    want = without_repeats([(i, (t or "").encode()) for i, t, *_ in rows], length)
+    assert removed_from(docs, length, 30, most) == want
+    if most > 2:
         pair = docs.where("doc_id = 18")
         gone = suffix_dedup.remove_repeats(pair.unionByName(pair), length, 30).collect()
         assert [bytes(r.kept) for r in gone] == [b"", b""]
