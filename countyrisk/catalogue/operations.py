@@ -460,7 +460,7 @@ def _suites(w: Workspace) -> list[Suite]:
         Suite(
             "universe_gap",
             mart,
-            [Check("county_year_coverage", lambda: checks.covers(mart, w.universe(), ("county_fips", "year")))],
+            [Check("county_year_coverage", checks.Covers(w.universe(), ("county_fips", "year")))],
         ),
     ]
 

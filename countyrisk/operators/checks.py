@@ -186,16 +186,43 @@ def null_rates(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 # --- suites -----------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Unique:
+    """Groups of the suite's table with more than one row."""
+
+    grain: Sequence[str]
+
+
+@dataclass(frozen=True)
+class Referential:
+    """Distinct keys of the suite's table that the reference does not have; a NULL key is one."""
+
+    reference: DataFrame
+    column: str = "county_fips"
+
+
+@dataclass(frozen=True)
+class Covers:
+    """Rows of a universe that the suite's table does not have; a NULL in the grain is never had."""
+
+    universe: DataFrame
+    grain: Sequence[str]
+
+
+KeyCheck = Unique | Referential | Covers
+
+
 @dataclass(frozen=True)
 class Check:
     """A named check.
 
-    ``test`` is an aggregate column (a row check on the suite's table), or a function
-    without arguments that gives a one-row frame with ``failures`` or an int.
+    ``test`` is an aggregate column (a row check on the suite's table), a key check, or a function
+    without arguments that gives a one-row frame with ``failures`` or an int. Row and key checks of a suite
+    share one scan of its table.
     """
 
     name: str
-    test: Column | Callable[[], DataFrame | int]
+    test: Column | KeyCheck | Callable[[], DataFrame | int]
     severity: str = BLOCKING
     description: str = ""
 
@@ -207,8 +234,72 @@ class Suite:
     checks: Sequence[Check] = field(default_factory=tuple)
 
 
+_CHECK, _KEY, _MINE, _THEIRS = "__check", "__key", "__mine", "__theirs"
+_ROWS = -1
+
+
+def _entry(check: int, key: Sequence[Column], mine: int) -> Column:
+    parts = F.array(*[k.cast("string") for k in key]) if key else F.lit(None).cast("array<string>")
+    named = {_CHECK: F.lit(check), _KEY: parts, _MINE: F.lit(mine), _THEIRS: F.lit(1 - mine)}
+    return F.struct(*[value.alias(name) for name, value in named.items()])
+
+
+def _own_key(test: KeyCheck) -> list[Column]:
+    return [keys.trimmed_key(test.column)] if isinstance(test, Referential) else [F.col(c) for c in test.grain]
+
+
+def _other_side(check: int, test: KeyCheck) -> DataFrame | None:
+    """Entries of the table that a check compares with."""
+    if isinstance(test, Referential):
+        known = keys.keep_sane(test.reference).select(keys.trimmed_key("county_fips").alias("k")).filter("k IS NOT NULL")
+        return known.select(_entry(check, [F.col("k")], 0).alias("e"))
+    if isinstance(test, Covers):
+        return test.universe.select(_entry(check, [F.col(c) for c in test.grain], 0).alias("e"))
+    return None
+
+
+def _key_failures(check: int, test: KeyCheck) -> Column:
+    own = F.col(_CHECK) == check
+    if isinstance(test, Unique):
+        return F.count_if(own & (F.col(_MINE) > 1))
+    if isinstance(test, Referential):
+        return F.count_if(own & (F.col(_MINE) > 0) & (F.col(_THEIRS) == 0))
+    lost = (F.col(_MINE) == 0) | F.exists(_KEY, lambda part: part.isNull())
+    return F.coalesce(F.sum(F.when(own & lost, F.col(_THEIRS))), F.lit(0))
+
+
+def _fused_frame(table: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Row and key checks of a table in one pass over it, one output row per check.
+
+    Each row stands once for the row checks and once for each key check, under that check's key; rows of
+    references and universes stand beside them under the same keys. One aggregation by check and
+    key, partial in each task, gives all: the rows of a key on either side, and the row checks."""
+    rows = [c for c in checks if isinstance(c.test, Column)]
+    by_key = [(k, c.test) for k, c in enumerate(checks) if not isinstance(c.test, Column)]
+    entries = [_entry(_ROWS, [], 1), *[_entry(k, _own_key(test), 1) for k, test in by_key]]
+    expanded = table.withColumn("__e", F.explode(F.array(*entries)))
+    for k, test in by_key:
+        other = _other_side(k, test)
+        if other is not None:
+            empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema.fields]
+            expanded = expanded.unionByName(other.select(*empty, F.col("e").alias("__e")))
+    expanded = expanded.withColumns({c: F.col(f"__e.{c}") for c in (_CHECK, _KEY, _MINE, _THEIRS)})
+    values = {c.name: c.test.cast("bigint").alias(f"__row{i}") for i, c in enumerate(rows)}
+    grouped = expanded.groupBy(_CHECK, _KEY).agg(F.sum(_MINE).alias(_MINE), F.sum(_THEIRS).alias(_THEIRS), *values.values())
+    found = {c.name: F.max(F.when(F.col(_CHECK) == _ROWS, F.col(f"__row{i}"))) for i, c in enumerate(rows)}
+    found |= {checks[k].name: _key_failures(k, test).cast("bigint") for k, test in by_key}
+    one = grouped.agg(*[column.alias(f"c{i}") for i, column in enumerate(found.values())])
+    # a table without rows has no group for the row checks: their values over nothing, which reads nothing
+    without = {c.name: table.limit(0).agg(c.test.cast("bigint")).scalar() for c in rows}
+    results = [
+        F.struct(F.lit(name).alias("name"), F.coalesce(F.col(f"c{i}"), without.get(name, F.lit(None))).alias("failures"))
+        for i, name in enumerate(found)
+    ]
+    return one.select(F.explode(F.array(*results)).alias("r")).select("r.name", "r.failures")
+
+
 def _row_check_frame(table: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All row checks of a table in one aggregation, one output row per check."""
+    """Row checks of a table in one aggregation, one output row per check."""
     aggregated = table.agg(*[c.test.cast("bigint").alias(f"c{i}") for i, c in enumerate(checks)])
     rows = F.array(
         *[F.struct(F.lit(c.name).alias("name"), F.col(f"c{i}").alias("failures")) for i, c in enumerate(checks)]
@@ -216,11 +307,21 @@ def _row_check_frame(table: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return aggregated.select(F.explode(rows).alias("r")).select("r.name", "r.failures")
 
 
+def _table_checks(table: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Row and key checks of a table; row checks alone need no expansion."""
+    plain = all(isinstance(c.test, Column) for c in checks)
+    return _row_check_frame(table, checks) if plain else _fused_frame(table, checks)
+
+
+def _on_table(check: Check) -> bool:
+    return isinstance(check.test, Column | KeyCheck)
+
+
 def _failures(spark: SparkSession, suite: Suite, check: Check) -> DataFrame:
     """``name, failures`` of one check; -1 if it cannot be planned."""
     try:
-        if isinstance(check.test, Column):
-            return _row_check_frame(suite.table, [check])
+        if _on_table(check):
+            return _table_checks(suite.table, [check])
         result = check.test()
         if isinstance(result, DataFrame):
             return result.select(F.lit(check.name).alias("name"), F.col("failures").try_cast("bigint").alias("failures"))
@@ -231,14 +332,14 @@ def _failures(spark: SparkSession, suite: Suite, check: Check) -> DataFrame:
 
 def check_frame(spark: SparkSession, suite: Suite) -> DataFrame:
     """Results of a suite as a lazy frame. Only a count of 0 passes."""
-    row_checks = [c for c in suite.checks if isinstance(c.test, Column)]
-    others = [c for c in suite.checks if not isinstance(c.test, Column)]
+    shared = [c for c in suite.checks if _on_table(c)]
+    others = [c for c in suite.checks if not _on_table(c)]
     frames = []
-    if row_checks:
+    if shared:
         try:
-            frames.append(_row_check_frame(suite.table, row_checks))
+            frames.append(_table_checks(suite.table, shared))
         except PySparkException:
-            frames += [_failures(spark, suite, c) for c in row_checks]
+            frames += [_failures(spark, suite, c) for c in shared]
     frames += [_failures(spark, suite, c) for c in others]
     if not frames:
         return spark.createDataFrame([], RESULT_SCHEMA)
@@ -332,7 +433,7 @@ def contract_checks(table: DataFrame, contract: dict) -> list[Check]:
     checks = [
         Check("columns_present", lambda: len(missing), description=", ".join(missing)),
         Check("column_types", lambda: len(wrong), description=", ".join(wrong)),
-        Check("grain_unique", lambda: unique(table, contract["grain"])),
+        Check("grain_unique", Unique(contract["grain"])),
     ]
     for c, rule in columns.items():
         if c not in types:

@@ -61,8 +61,8 @@ def summary_suite(
         summary,
         [
             Check("nonnegative_metrics", checks.any_negative(SUMMARY_METRICS)),
-            Check("county_fips_canonical", lambda: checks.referential(summary, reference)),
-            Check("grain_unique", lambda: checks.unique(summary, grain)),
+            Check("county_fips_canonical", checks.Referential(reference)),
+            Check("grain_unique", checks.Unique(grain)),
         ],
     )
 
@@ -77,9 +77,9 @@ def mart_suite(
         mart,
         [
             Check("year_window", checks.outside_window(window.first, window.last)),
-            Check("county_fips_canonical", lambda: checks.referential(mart, reference)),
-            Check("county_year_coverage", lambda: checks.covers(mart, universe, grain)),
-            Check("grain_unique", lambda: checks.unique(mart, grain)),
+            Check("county_fips_canonical", checks.Referential(reference)),
+            Check("county_year_coverage", checks.Covers(universe, grain)),
+            Check("grain_unique", checks.Unique(grain)),
         ],
     )
 

@@ -7,7 +7,7 @@ from conftest import SF, plan_of
 from pyspark.sql import functions as F
 
 from countyrisk.catalogue.workspace import WINDOW, workspace
-from countyrisk.operators import allocate, dedupe, ranking, resolve
+from countyrisk.operators import allocate, checks, dedupe, ranking, resolve
 from countyrisk.plans import gold, serving, silver
 
 
@@ -104,3 +104,32 @@ def test_universe_has_no_cross_join(w):
 def test_equal_shares_are_made_before_the_map(w):
     df = allocate.allocate_equally(w.claims(), w.declarations())
     assert "Cartesian" not in plan_of(df) and df.filter(F.col("county_fips").isNull()).count() == 0
+
+
+def test_a_suite_scans_its_table_once(spark, tmp_path):
+    mart = spark.createDataFrame([("01001", 2012, 1), ("01003", 2012, None), ("99999", 2012, -2)], "county_fips string, year int, n int")
+    for name, df in (("mart", mart), ("universe", mart.select("county_fips", "year")), ("reference", mart.select("county_fips"))):
+        df.write.parquet(str(tmp_path / name))
+    read = lambda name: spark.read.parquet(str(tmp_path / name))
+    suite = checks.Suite(
+        "s",
+        read("mart"),
+        [
+            checks.Check("nulls", checks.any_null(["n"])),
+            checks.Check("negative", checks.any_negative(["n"])),
+            checks.Check("unique", checks.Unique(("county_fips", "year"))),
+            checks.Check("year_unique", checks.Unique(("year",))),
+            checks.Check("canonical", checks.Referential(read("reference").filter("county_fips < '05'"))),
+            checks.Check("covers", checks.Covers(read("universe"), ("county_fips", "year"))),
+        ],
+    )
+    found = checks.check_frame(spark, suite)
+    plan = plan_of(found)
+    assert {r.name: r.failures for r in found.collect()} == {"nulls": 1, "negative": 1, "unique": 0, "year_unique": 1, "canonical": 1, "covers": 0}
+    assert plan.count("FileScan") == 3 and plan.count("/mart]") == 1
+    empty = checks.Suite("e", read("mart").filter("n > 100"), [*suite.checks, checks.Check("rows", checks.not_empty()), checks.Check("tolerance", checks.null_pct_above(["n"]))])
+    want = {"nulls": 0, "negative": 0, "unique": 0, "year_unique": 0, "canonical": 0, "covers": 3, "rows": 1, "tolerance": 1}
+    assert {r.name: r.failures for r in checks.check_frame(spark, empty).collect()} == want
+    odd = spark.createDataFrame([(None, 2012), (None, 2012), (" 01001", 2012)], "county_fips string, year int")
+    nulls = checks.Suite("n", odd, [checks.Check("u", checks.Unique(("county_fips", "year"))), checks.Check("r", checks.Referential(mart)), checks.Check("c", checks.Covers(odd, ("county_fips", "year")))])
+    assert {r.name: r.failures for r in checks.check_frame(spark, nulls).collect()} == {"u": 1, "r": 1, "c": 2}
