@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .listing import can_list, listed
+
 # Form of a yearly storm-event file name, and the lowest row count of a county table.
 EVENT_FILE = r"^(.*_(details|fatalities|locations)-ftp_v1\.0_d(\d{4}))(?:_c(\d{8}))?\.csv\.gz$"
 MIN_COUNTY_ROWS = 3000
@@ -59,20 +61,20 @@ def plain_path(column: str | Column) -> Column:
     return F.regexp_replace(column, "^file:/+", "/")
 
 
-def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Path, name and size of the files below a folder; their bytes are not read.
+def _matching(glob: str) -> str:
+    """A file name pattern (``*``, ``?`` and one level of ``{a,b}``) as a regular expression."""
+    signs = {"*": ".*", "?": ".", "{": "(?:", "}": ")", ",": "|"}
+    return "^" + "".join(signs.get(c, re.escape(c)) for c in glob) + "$"
 
-    A scan leaves empty files out, so the sizes are joined to the listing that Spark
-    itself made for the scan.
-    """
-    found = _binary(spark, path, glob)
-    listed = spark.createDataFrame([(unquote(f),) for f in found.inputFiles()], "path string")
-    sizes = found.select(plain_path("path").alias("path"), "length")
-    return (
-        listed.select(plain_path("path").alias("path"))
-        .join(sizes, "path", "left")
-        .select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.coalesce("length", F.lit(0)).alias("bytes"))
-    )
+
+def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """``path, name, bytes`` of the files below a folder, empty ones too; names that begin with ``_`` or ``.``
+    are left out. Tasks list the folders (:mod:`.listing`). On a file system that only Spark opens, its
+    own scan takes their place, which has no empty files."""
+    if not can_list(path):
+        return file_stats(spark, path, glob).select("path", "name", "bytes")
+    found = listed(spark, path).filter(F.col("name").rlike(_matching(glob)) & ~F.col("name").rlike("^[_.]"))
+    return found.select(plain_path("path").alias("path"), "name", "bytes")
 
 
 def file_stats(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

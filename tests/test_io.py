@@ -184,6 +184,22 @@ def test_run_log_blocks_the_next_layer(spark, tmp_path):
     publish.require_unblocked(publish.read_log(spark, path), "silver", "2024-01-31")
 
 
+def test_listing_by_tasks(spark, tmp_path):
+    for name in ("top.csv", "a/b/deep.csv.gz", "a/empty.csv", "a/note.txt", "_tmp/x.csv", "c d/s p.csv", "a/_part/y.csv", "c d/.hidden.csv"):
+        path = tmp_path / "land" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("" if "empty" in name else "A\n1\n")
+    found = landing.list_files(spark, str(tmp_path / "land"), "{*.csv,*.csv.gz}")
+    assert sorted((r.name, r.bytes) for r in found.collect()) == [("deep.csv.gz", 4), ("empty.csv", 0), ("s p.csv", 4), ("top.csv", 4)]
+    assert all((tmp_path / "land").as_posix() in r.path and open(r.path).read() in ("", "A\n1\n") for r in found.collect())
+    # a partition for each folder of the first level and one for the files beside them
+    assert landing.listed(spark, str(tmp_path / "land")).rdd.getNumPartitions() == 3
+    assert landing.is_ready(found).first().ready and not landing.is_ready(landing.list_files(spark, str(tmp_path / "none"))).first().ready
+    same = landing.list_files(spark, f"file://{tmp_path}/land", "?op.csv").collect()
+    assert [(r.name, r.path) for r in same] == [("top.csv", f"{tmp_path}/land/top.csv")]
+    assert not landing.can_list("viewfs://store/in")
+
+
 # --- the whole run --------------------------------------------------------------------------------
 
 
