@@ -6,9 +6,9 @@ left to :mod:`countyrisk.plans.pipeline`.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -207,24 +207,20 @@ def clean_crosswalk(raw: DataFrame) -> DataFrame:
     return keys.keep_sane(shaped).select("zip5", "county_fips", "tot_ratio", "year")
 
 
-def job_metrics(dataset: str, raw: DataFrame, cleaned: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows in, rows out and NULL rates of a job (one row)."""
-    rates = checks.null_rates(cleaned, columns)
-    return cleaned.agg(
-        F.lit(dataset).alias("dataset"),
-        F.count("*").alias("silver_rows"),
-        *[_rate(cleaned, c) for c in columns if c in cleaned.columns],
-    ).select(
-        "dataset",
-        raw.agg(F.count("*")).scalar().alias("bronze_rows"),
-        "silver_rows",
-        *rates.columns,
-    )
-
-
-def _rate(df: DataFrame, column: str):
-    missing = F.col(column).isNull() | (F.trim(F.col(column).cast("string")) == "")
-    return F.avg(F.when(missing, 1.0).otherwise(0.0)).alias(f"{column}_null_rate")
+def job_metrics(
+    dataset: str, raw: DataFrame, clean: Callable[[DataFrame], DataFrame], columns: Sequence[str], write: Callable[[DataFrame], None]
+) -> DataFrame:
+    """Run a job and give its rows in, rows out and NULL rates (one row), counted while it writes.
+
+    ``write`` is the only action; neither the raw nor the cleaned rows are read again for the counts."""
+    read, made = Observation(f"{dataset} read"), Observation(f"{dataset} written")
+    cleaned = clean(raw.observe(read, F.count(F.lit(1)).alias("rows")))
+    present = [c for c in columns if c in cleaned.columns]
+    write(cleaned.observe(made, *null_rate_metrics(present)))
+    rows = made.get["rows"]
+    rates = [float(made.get[f"{c}_missing"] or 0) / rows if rows else None for c in present]
+    schema = "dataset string, bronze_rows long, silver_rows long" + "".join(f", {c}_null_rate double" for c in present)
+    return raw.sparkSession.createDataFrame([(dataset, read.get["rows"], rows, *rates)], schema)
 
 
 def null_rate_metrics(columns: Sequence[str]):

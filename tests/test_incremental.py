@@ -10,7 +10,7 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from countyrisk.operators import resolve
-from countyrisk.plans import incremental, silver
+from countyrisk.plans import incremental, profiles, silver
 from countyrisk.sinks import commits, storage
 from countyrisk.sources import files, landing
 
@@ -168,3 +168,28 @@ def test_two_writers_leave_one_winner(spark, tmp_path):
     assert sorted(c.number for c in free) == list(range(1, 9)) == commits.history(spark, root)[1:]
     assert commits.latest(spark, root).folders == next(c.folders for c in free if c.number == 8)
     assert not [n for n in storage.names(spark, f"{root}/{commits.LOG}") if n.startswith(".") and not n.endswith(".crc")]
+
+
+def test_profiles_are_merged_over_versions(spark, tmp_path):
+    root, store = str(tmp_path / "t"), str(tmp_path / "profiles")
+    rows = spark.range(1_000).selectExpr("id % 3 + 2010 AS year", "if(id % 10 = 0, NULL, id % 200) AS n", "concat('c', id % 50) AS c")
+    assert profiles.update_profiles(spark, root, store, ["n"]) == [] and profiles.table_profile(spark, root, store).count() == 0
+
+    def put(df):
+        folders = commits.stage(df, root, ("year",))
+        years = {commits.partition_of(f)["year"] for f in folders}
+        commits.commit(spark, root, lambda now: commits.replaced(now, folders, lambda part: part["year"] in years, df.schema, {}))
+        return profiles.update_profiles(spark, root, store, ["year", "n", "c"])
+
+    assert len(put(rows)) == 3 and len(put(rows.filter("year = 2011").withColumn("n", F.lit(9_000).cast("long")))) == 1
+    assert profiles.update_profiles(spark, root, store, ["year", "n", "c"]) == []
+    now = commits.current(spark, root)
+    found = {r.name: r for r in profiles.table_profile(spark, root, store).collect()}
+    for name in ("year", "n", "c"):
+        want = now.agg(F.count("*"), F.count_if(F.col(name).isNull()), F.count_distinct(name), F.min(name), F.max(name)).first()
+        r = found[name]
+        assert (r.rows, r.nulls) == (want[0], want[1]) and abs(r.distinct_values - want[2]) <= 0.03 * want[2]
+        assert (r.low, r.high) == ((want[3], want[4]) if name == "c" else (str(float(want[3])), str(float(want[4]))))
+    # figures of one folder only after a rollback to it
+    commits.rollback(spark, root, 0)
+    assert {r.name: r.high for r in profiles.table_profile(spark, root, store).collect()}["n"] == "199.0"
