@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -52,11 +54,32 @@ def scratch_root(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new, unique folder below the scratch root, removed when the driver JVM ends."""
+    """A new, unique folder below the scratch root, removed when the scope it was made in or the
+    driver JVM ends."""
     path = f"{scratch_root(spark)}/countyrisk/{label}-{uuid.uuid4().hex}"
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     file_system.mkdirs(hadoop_path)
     file_system.deleteOnExit(hadoop_path)
+    for scope in _SCOPES:
+        scope.append(path)
     return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch folders made inside are removed at the end, also after an error. Frames over them must have
+    been written by then."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES[:] = [scope for scope in _SCOPES if scope is not made]
+        for path in made:
+            hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)

@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import os
 
 import pytest
 from conftest import plan_of, values
@@ -12,7 +13,7 @@ from countyrisk.config import Paths, YearWindow
 from countyrisk.operators import checks
 from countyrisk.operators.checks import Check, Suite
 from countyrisk.plans import audits, gold, pipeline, publish, silver
-from countyrisk.session import scratch_dir, scratch_root
+from countyrisk.session import scratch_dir, scratch_root, scratch_scope
 from countyrisk.sinks import tables
 from countyrisk.sources import files, landing
 
@@ -184,6 +185,18 @@ def test_run_log_blocks_the_next_layer(spark, tmp_path):
     publish.require_unblocked(publish.read_log(spark, path), "silver", "2024-01-31")
 
 
+def test_scratch_folders_go_with_their_scope(spark):
+    kept = scratch_dir(spark, "kept")
+    with scratch_scope(spark):
+        outer = scratch_dir(spark, "outer")
+        spark.range(3).write.mode("overwrite").parquet(outer)
+        with pytest.raises(KeyError), scratch_scope(spark):
+            inner = scratch_dir(spark, "inner")
+            raise KeyError
+        assert not os.path.exists(inner) and spark.read.parquet(outer).count() == 3
+    assert not os.path.exists(outer) and os.path.exists(kept)
+
+
 def test_listing_by_tasks(spark, tmp_path):
     for name in ("top.csv", "a/b/deep.csv.gz", "a/empty.csv", "a/note.txt", "_tmp/x.csv", "c d/s p.csv", "a/_part/y.csv", "c d/.hidden.csv"):
         path = tmp_path / "land" / name
