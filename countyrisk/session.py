@@ -70,6 +70,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return path
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Scratch folders made inside are removed at the end, also after an error. Frames over them must have
@@ -81,5 +87,4 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     finally:
         _SCOPES[:] = [scope for scope in _SCOPES if scope is not made]
         for path in made:
-            hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+            drop_scratch(spark, path)
