@@ -2,7 +2,8 @@
 
 Each stage takes the rows that the one before kept and returns the columns of ``documents``,
 the last one the packing. ``run`` writes each stage as Parquet in the shared folder and reads
-it again, so a lost executor costs one stage at most.
+it again, so a lost executor costs one stage at most; what a stage kept on disk for itself goes when
+its rows are written, and its rows go when those of the next stage are.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from countyrisk.llm import jaccard_join, mixing, packing, quality_rules, secrets
-from countyrisk.llm.lengths import written
+from countyrisk.session import drop_scratch, scratch_dir, scratch_scope
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +52,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = scratch_dir(spark, f"stage-{name}")
+        with scratch_scope(spark):
+            rows = stage(spark, docs, sf_dir)
+            rows.write.mode("overwrite").parquet(path)
+        docs = spark.read.schema(rows.schema).parquet(path)
+        if before:
+            drop_scratch(spark, before)
+        before = path
     return docs

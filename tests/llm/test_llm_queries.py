@@ -5,6 +5,7 @@ from conftest import SF
 
 import corpus_pipeline
 import oracle_tools
+from countyrisk import session
 from countyrisk.llm import jaccard_join, packing, quality_rules
 from countyrisk.llm.lengths import written
 from countyrisk.llm.queries import ORACLES, QUERIES
@@ -39,3 +40,13 @@ def test_pipeline(spark):
     packed = after[names[4]].groupBy("bin_id").sum("n_words").collect()
     assert max(r[1] for r in packed) <= packing.CAPACITY
     assert set(ids(names[4])) == set(ids(names[3]))
+
+
+def test_pipeline_keeps_the_last_rows_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "scratch_root", lambda _: str(tmp_path / "shared"))
+    spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60").write.parquet(str(tmp_path / "documents.parquet"))
+    packed = corpus_pipeline.run(spark, str(tmp_path))
+    left = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "shared" / "countyrisk").iterdir()}
+    assert left == {"stage-best_fit_packing"} and packed.count() > 0
+    spark.read.parquet(f"{SF}/documents.parquet").where("false").write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
