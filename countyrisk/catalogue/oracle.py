@@ -29,6 +29,7 @@ def codes(s: str, c: str) -> str:
 def nname(c: str) -> str:
     x = f"replace(regexp_replace(upper(trim({c})), ',.*$', ''), '&', ' AND ')"
     x = rf"regexp_replace({x}, '\([A-Z]\)', ' ', 'g')"
+    # Words for kinds of areas.
     x = (
         rf"regexp_replace({x}, '\b(COUNTY|PARISH|CITY AND BOROUGH|BOROUGH|CENSUS AREA|MUNICIPALITY|MUNICIPIO)\b', '', 'g')"
     )

@@ -33,6 +33,7 @@ def _acs(table: str, cells: int, annotated: bool = True) -> T.StructType:
     return _schema(", ".join([*columns, "state bigint", "county bigint"]))
 
 
+# Column names of the public raw files, in file order.
 DECLARATIONS = _schema(
     """femadeclarationstring string, disasternumber bigint, state string, declarationtype string,
     declarationdate string, fydeclared bigint, incidenttype string, declarationtitle string,
@@ -138,6 +139,7 @@ EVENT_REQUIRED = (
     "year",
 )
 
+# Columns of the cleaned tables and marts, in table order.
 CLAIMS = {
     "id": "string",
     "tenure": "string",
