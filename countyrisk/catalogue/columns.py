@@ -137,6 +137,20 @@ def _(w: Workspace) -> DataFrame:
     return files.decode_header_arrays(pages, wanted)
 
 
+@query("src08_landed_pages", "SELECT c_custkey AS objectid, c_name AS county, c_acctbal AS risk_score FROM customer")
+def _(w: Workspace) -> DataFrame:
+    """Pages as landed files, read piecewise; members in front of the features and behind them are skipped."""
+    attributes = F.struct(F.col("c_custkey").alias("OBJECTID"), F.col("c_name").alias("COUNTY"), F.col("c_acctbal").alias("RISK_SCORE"))
+    features = F.collect_list(F.struct(attributes.alias("attributes")))
+    page = F.struct(F.struct(F.lit(4326).alias("wkid")).alias("spatialReference"), features.alias("features"), F.lit(False).alias("exceededTransferLimit"))
+
+    def write(path: str) -> None:
+        pages = w.table("customer").groupBy(F.floor(F.col("c_custkey") / 100).alias("page")).agg(F.to_json(page).alias("value"))
+        pages.repartition("page").write.partitionBy("page").text(path)
+
+    return files.read_feature_pages(w.spark, w.written("landed_pages", write), "OBJECTID bigint, COUNTY string, RISK_SCORE double")
+
+
 @query("src10_file_path", "SELECT cast(year AS VARCHAR) AS folder_year, count(*) AS n FROM summary GROUP BY year")
 def _(w: Workspace) -> DataFrame:
     year = F.regexp_extract("source_path", r"year=(\d+)", 1)

@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions.names import normalize_columns, normalize_header, snake_case
 from .landing import file_stats
+from .listing import can_list
+from .pages import page_elements
 
 # Data files only: metadata files beside them end in .json.
 CSV_FILES = "{*.csv,*.csv.gz}"
@@ -148,8 +150,13 @@ def _fields(ddl: str) -> str:
 
 
 def read_feature_pages(spark: SparkSession, path: str, attributes: str) -> DataFrame:
-    """Landed feature pages, one document per file."""
-    return decode_feature_pages(spark.read.text(path, wholetext=True), attributes)
+    """Landed feature pages, one document per file, read piecewise (:mod:`.pages`): a page may be larger than
+    a task's memory. On a file system that only Spark opens, a page is one value of a row."""
+    if not can_list(path):
+        return decode_feature_pages(spark.read.text(path, wholetext=True), attributes)
+    features = page_elements(spark, path, "features")
+    one = F.from_json("value", f"struct<attributes: struct<{_fields(attributes)}>>")
+    return normalize_columns(features.select(one.alias("f")).select("f.attributes.*"))
 
 
 def decode_header_arrays(documents: DataFrame, columns: Iterable[str], value: str = "value") -> DataFrame:
@@ -174,5 +181,12 @@ def decode_header_arrays(documents: DataFrame, columns: Iterable[str], value: st
 
 
 def read_header_arrays(spark: SparkSession, path: str, columns: Iterable[str]) -> DataFrame:
-    """Files that each hold one array-of-arrays document."""
-    return decode_header_arrays(spark.read.text(path, wholetext=True), columns)
+    """Files that each hold one array-of-arrays document, read like :func:`read_feature_pages`."""
+    if not can_list(path):
+        return decode_header_arrays(spark.read.text(path, wholetext=True), columns)
+    rows = page_elements(spark, path).filter("place > 0")
+    texts = lambda c: F.from_json(c, "array<string>")
+    record = F.map_from_arrays(F.transform(texts("head"), F.lower), texts("value"))
+    return rows.select(record.alias("__record")).select(
+        *[F.try_element_at("__record", F.lit(c.lower())).alias(c.lower()) for c in columns]
+    )

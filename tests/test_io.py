@@ -16,6 +16,7 @@ from countyrisk.plans import audits, gold, pipeline, publish, silver
 from countyrisk.session import scratch_dir, scratch_root, scratch_scope
 from countyrisk.sinks import tables
 from countyrisk.sources import files, landing
+from countyrisk.sources import pages as pages_module
 
 
 def put(path, text):
@@ -185,6 +186,47 @@ def test_run_log_blocks_the_next_layer(spark, tmp_path):
     publish.require_unblocked(publish.read_log(spark, path), "silver", "2024-01-31")
 
 
+@pytest.mark.parametrize("chunk", [1, 7, 1 << 20])
+def test_pages_are_read_piecewise(spark, tmp_path, chunk):
+    odd = {"a": "]}{[,\"\\ é日𝔘", "n": [1.5e3, None, {"features": [9]}], "t": True}
+    pages = {
+        "one.json": json.dumps({"first": {"features": [1]}, "features": [odd, 12, -3, "x", [], {}], "last": [1]}, ensure_ascii=False, indent=1),
+        "two.json": '\ufeff{"features" : [ ] }',
+        "none.json": '{"other": [1, 2]}',
+        "text.json": '"features"',
+        "blank.json": " \n",
+        "no_array.json": '{"features": 3}',
+    }
+    for name, text in pages.items():
+        put(tmp_path / "p" / "deep" / name, text)
+    found = pages_module.page_elements(spark, str(tmp_path / "p"), "features", chunk).orderBy("place").collect()
+    assert [json.loads(r.value) for r in found] == [odd, 12, -3, "x", [], {}] and {r.path.rsplit("/", 1)[1] for r in found} == {"one.json"}
+    put(tmp_path / "a" / "rows.json", '[["A","b"],["1",null],["2","x"]]')
+    rows = pages_module.page_elements(spark, str(tmp_path / "a"), None, chunk).orderBy("place").collect()
+    assert [(r.place, r.head, json.loads(r.value)) for r in rows][1:] == [(1, '["A","b"]', ["1", None]), (2, '["A","b"]', ["2", "x"])]
+    for text in ('{"features": [1, 2', '{"features": [1 2]}', '{"features": [{"a": }]}', '{"features" [1]}'):
+        with pytest.raises(ValueError):
+            list(pages_module.elements(iter([text[k : k + chunk].encode() for k in range(0, len(text), chunk)]), "features"))
+
+
+def test_a_page_is_never_held_whole():
+    feature = json.dumps({"attributes": {"NRI_ID": "x" * 200}}).encode() + b","
+    chunk, read = feature * 500, 0
+
+    def chunks():
+        nonlocal read
+        yield b'{"features": ['
+        for _ in range(200):
+            read += 1
+            yield chunk
+        yield b"{}]}"
+
+    most = 0
+    for count, _ in enumerate(pages_module.elements(chunks(), "features"), 1):
+        most = max(most, read - count // 500)
+    assert count == 100_001 and most <= 2
+
+
 def test_scratch_folders_go_with_their_scope(spark):
     kept = scratch_dir(spark, "kept")
     with scratch_scope(spark):
