@@ -217,8 +217,8 @@ class Check:
     """A named check.
 
     ``test`` is an aggregate column (a row check on the suite's table), a key check, or a function
-    without arguments that gives a one-row frame with ``failures`` or an int. Row and key checks of a suite
-    share one scan of its table.
+    without arguments that gives a one-row frame with ``failures`` or an int. Key checks and a few row
+    checks of a suite share one scan of its table.
     """
 
     name: str
@@ -307,10 +307,20 @@ def _row_check_frame(table: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return aggregated.select(F.explode(rows).alias("r")).select("r.name", "r.failures")
 
 
+# Row checks that may ride along with the keys: each is a value more in the state of every key.
+NARROW = 8
+
+
 def _table_checks(table: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Row and key checks of a table; row checks alone need no expansion."""
-    plain = all(isinstance(c.test, Column) for c in checks)
-    return _row_check_frame(table, checks) if plain else _fused_frame(table, checks)
+    """Row and key checks of a table. Row checks alone need no expansion; many of them get a scan of their
+    own columns instead of widening the state of every key."""
+    rows = [c for c in checks if isinstance(c.test, Column)]
+    by_key = [c for c in checks if not isinstance(c.test, Column)]
+    if not by_key:
+        return _row_check_frame(table, rows)
+    if len(rows) <= NARROW:
+        return _fused_frame(table, checks)
+    return _row_check_frame(table, rows).unionByName(_fused_frame(table, by_key))
 
 
 def _on_table(check: Check) -> bool:
