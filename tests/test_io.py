@@ -1,6 +1,7 @@
 """Readers, writers, versions, landing, and the whole run from files to marts."""
 
 import gzip
+import hashlib
 import json
 import os
 
@@ -120,6 +121,21 @@ def test_manifest_skip_and_sizes(spark, tmp_path):
     assert landing.is_ready(manifest.filter("false")).first().ready is False
 
 
+def test_files_are_hashed_in_chunks(spark, tmp_path):
+    put(tmp_path / "d" / "a.csv", "x\n" + "1\n" * 3000)
+    put(tmp_path / "d" / "b.csv.gz", "x\n2\n")
+    put(tmp_path / "d" / "c.csv", "")
+    wanted = {p.name: hashlib.sha256(p.read_bytes()).hexdigest() for p in (tmp_path / "d").iterdir()}
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", 16)  # what a row may hold of a file
+    try:
+        manifest = landing.landing_manifest(spark, str(tmp_path / "d"), "2024-01-31")
+        assert {r["name"]: r["sha256"] for r in manifest.collect()} == wanted
+        named = landing.hashes_of(spark, [str(tmp_path / "d" / n) for n in wanted])
+        assert {os.path.basename(r["path"]): r["sha256"] for r in named.collect()} == wanted
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
 def test_latest_file_and_year_scope(spark):
     names = [f"StormEvents_details-ftp_v1.0_d2000_c{d}.csv.gz" for d in ("20240101", "20250520", "20230909")]
     listing = spark.createDataFrame([(n,) for n in [*names, "readme.txt"]], "name string")
