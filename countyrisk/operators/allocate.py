@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import YearWindow
@@ -63,17 +63,50 @@ def allocate_by_zip(
     A missing share counts as 1. A disaster with two fiscal years adds its claims to
     both, as in the reference results (see :func:`disaster_fan_out`). Doubles follow
     the contract; give a decimal ``amount_type`` for sums that do not depend on order.
+
+    Claims are summed per ZIP and year, and weights per ZIP, year and county, before the two
+    meet, so the join has no more rows than the crosswalk however many claims a ZIP has.
     """
-    dated = claims_by_zip(claims, amount_type).join(disaster_years(declarations, window), ["disasternumber", "state"])
-    shares = crosswalk_window(crosswalk, window)
+    years, shares = disaster_years(declarations, window), crosswalk_window(crosswalk, window)
     weight = F.coalesce("tot_ratio", F.lit(1.0)).cast(amount_type)
-    return (
-        dated.join(shares, ["zip5", "year"])
+    weights = shares.groupBy("zip5", "year", "county_fips").agg(F.sum(weight).alias("__weight"))
+    totals = (
+        claims_by_zip(claims, amount_type)
+        .join(years, ["disasternumber", "state"])
+        .groupBy("zip5", "year")
+        .agg(*[F.sum(m).alias(m) for m in CLAIM_MEASURES])
+    )
+    amounts = (
+        totals.join(weights, ["zip5", "year"])
         .groupBy("county_fips", "year")
-        .agg(
-            *[F.sum(F.col(m) * weight).cast("double").alias(out) for m, out in CLAIM_MEASURES.items()],
-            F.count_distinct("disasternumber").alias("fema_declaration_count"),
-        )
+        .agg(*[F.sum(F.col(m) * F.col("__weight")).cast("double").alias(out) for m, out in CLAIM_MEASURES.items()])
+    )
+    return amounts.join(disasters_by_county(claims_by_zip(claims), years, shares), ["county_fips", "year"])
+
+
+def disasters_by_county(claims: DataFrame, years: DataFrame, shares: DataFrame) -> DataFrame:
+    """Distinct disasters per county and year, through the ZIPs of their claims.
+
+    A ZIP's counties travel as one list of numbers, and are told apart where the rows of a
+    disaster already lie: pairs of a claim and a county are never shuffled.
+    """
+    numbered = shares.select("county_fips").distinct().select("county_fips", F.row_number().over(Window.orderBy("county_fips")).alias("__county"))
+    counties = (
+        shares.select("zip5", "year", "county_fips")
+        .join(numbered, "county_fips")
+        .groupBy("zip5", "year")
+        .agg(F.collect_set("__county").alias("__counties"))
+    )
+    seen = claims.select("disasternumber", "state", "zip5").join(years, ["disasternumber", "state"])
+    return (
+        seen.join(counties, ["zip5", "year"])
+        .repartition("disasternumber", "year")
+        .select("disasternumber", "year", F.explode("__counties").alias("__county"))
+        .distinct()
+        .groupBy("__county", "year")
+        .agg(F.count("*").alias("fema_declaration_count"))
+        .join(numbered, "__county")
+        .select("county_fips", "year", "fema_declaration_count")
     )
 
 

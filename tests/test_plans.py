@@ -6,7 +6,9 @@ import pytest
 from conftest import SF, plan_of
 from pyspark.sql import functions as F
 
+from countyrisk import schemas
 from countyrisk.catalogue.workspace import WINDOW, workspace
+from countyrisk.config import YearWindow
 from countyrisk.operators import allocate, checks, dedupe, ranking, resolve
 from countyrisk.plans import gold, serving, silver
 
@@ -133,3 +135,20 @@ def test_a_suite_scans_its_table_once(spark, tmp_path):
     odd = spark.createDataFrame([(None, 2012), (None, 2012), (" 01001", 2012)], "county_fips string, year int")
     nulls = checks.Suite("n", odd, [checks.Check("u", checks.Unique(("county_fips", "year"))), checks.Check("r", checks.Referential(mart)), checks.Check("c", checks.Covers(odd, ("county_fips", "year")))])
     assert {r.name: r.failures for r in checks.check_frame(spark, nulls).collect()} == {"u": 1, "r": 1, "c": 2}
+
+
+def test_claims_meet_the_crosswalk_summed_by_zip(spark):
+    claims = [(d, "TX", z, 2.0) for d in range(1, 31) for z in ("75001", "75002") for _ in range(1 + (d % 2))]
+    measures = ", ".join(f"{m} double" for m in schemas.CLAIM_MEASURES)
+    claims = spark.createDataFrame([(d, s, z, *[v] * len(schemas.CLAIM_MEASURES)) for d, s, z, v in claims], f"disasternumber long, state string, zipcode string, {measures}")
+    declared = spark.createDataFrame([(d, "TX", 2012) for d in range(1, 31)], "disasternumber long, state string, fydeclared long")
+    shares = [(z, f"48{c:03d}", r, 2012) for z in ("75001", "75002") for c in range(1, 21) for r in (0.5, None)]
+    shares = spark.createDataFrame(shares, "zip5 string, county_fips string, tot_ratio double, year int")
+    found = allocate.allocate_by_zip(claims, declared, shares, YearWindow(2012, 2012))
+    amount = next(iter(schemas.CLAIM_MEASURES.values()))
+    got = {r["county_fips"]: (r[amount], r["fema_declaration_count"]) for r in found.collect()}
+    assert got == {f"48{c:03d}": (2 * 45 * 2.0 * 1.5, 30) for c in range(1, 21)}
+    plan = plan_of(found)
+    assert "distinct disasternumber" not in plan
+    pairs = plan[: plan.index("Generate explode(__counties")].splitlines()[-8:]  # they are told apart where they lie
+    assert sum("HashAggregate" in line for line in pairs) >= 2 and "Exchange" not in "".join(pairs[-3:])
