@@ -193,3 +193,21 @@ def test_profiles_are_merged_over_versions(spark, tmp_path):
     # figures of one folder only after a rollback to it
     commits.rollback(spark, root, 0)
     assert {r.name: r.high for r in profiles.table_profile(spark, root, store).collect()}["n"] == "199.0"
+
+
+def test_a_run_reads_a_file_only_for_rows_it_holds(spark, tmp_path, counties, monkeypatch):
+    landed, root = tmp_path / "landed", str(tmp_path / "table")
+    land(landed, 2010, "20240101", report(1, 2010), report(2, 2010))
+    incremental.update_events(spark, str(landed), root, counties, "r1")
+    land(landed, 2011, "20240101", report(2, 2011), report(3, 2011, zone=3, name="BALDWIN"), report(4, 2012), report(5, 2012))
+    land(landed, 2013, "20240101", report(6, 2013))
+    asked, read = [], incremental.read_files
+    monkeypatch.setattr(incremental, "read_files", lambda s, paths: (asked.append([Path(p).name[-21:-17] for p in paths]), read(s, paths))[1])
+    incremental.update_events(spark, str(landed), root, counties, "r2")
+    assert same_rows(commits.current(spark, root), full(spark, landed, counties))
+    asked.clear()
+    land(landed, 2013, "20240201", report(6, 2013), report(1, 2013))
+    land(landed, 2014, "20240101", report(7, 2014))
+    again = incremental.update_events(spark, str(landed), root, counties, "r3")
+    assert again.years == (2010, 2013, 2014) and same_rows(commits.current(spark, root), full(spark, landed, counties))
+    assert asked[1:] == [["2010", "2013", "2014"], ["2011"]]  # 2011 has a rival of a row of 2010 and no row of these years
