@@ -196,6 +196,16 @@ def test_casts_do_not_raise(frame):
         casts.with_year(df)
 
 
+def test_numbers_are_told_before_the_cast(frame):
+    texts = ["", "  ", "x", "EF1", "1.5", " 7 ", "+3", "-2", "99999999999", "Infinity", "-inf", " NaN", "0x1p3", "1e3", "n/a", "\x7f5", "\t8", None]
+    df = frame("c string", *texts)
+    for kind in casts.NUMBER_MARK:
+        both = df.select(casts.try_number("c", kind).cast("string").alias("a"), F.col("c").try_cast(kind).cast("string").alias("b"))
+        assert values(both, "a") == values(both, "b")
+    plan = casts.try_casts(df, {"int": ["c"]})._jdf.queryExecution().analyzed().toString()
+    assert "RLIKE" in plan
+
+
 def test_money_labels(frame):
     df = frame("v double", 1.5e9, 2.25e6, -3000.0, 12.0, None)
     assert values(df.select(display.money_label("v").alias("o")), "o") == ["$1.50B", "$2.25M", "$-3.00K", "$12", "—"]

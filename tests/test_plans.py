@@ -10,7 +10,7 @@ from countyrisk import schemas
 from countyrisk.catalogue.workspace import WINDOW, workspace
 from countyrisk.config import YearWindow
 from countyrisk.operators import allocate, checks, dedupe, ranking, resolve
-from countyrisk.plans import gold, serving, silver
+from countyrisk.plans import gold, pipeline, serving, silver
 
 
 @pytest.fixture(scope="module")
@@ -84,6 +84,34 @@ def test_map_ranks_once(w):
     assert plan.count("TakeOrderedAndProject") <= 3
 
 
+def largest_method(df):
+    """Bytes of the largest generated method of a plan; the JVM leaves one over 8000 uncompiled."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.adaptive.enabled", "false")  # an adaptive plan generates nothing before it runs
+    try:
+        parts = df.select("*")._jdf.queryExecution().debug().codegenToSeq().iterator()
+        sizes = []
+        while parts.hasNext():
+            sizes.append(parts.next()._3().maxMethodCodeSize())
+    finally:
+        conf.set("spark.sql.adaptive.enabled", "true")
+    return max(sizes)
+
+
+def test_matching_and_typing_of_events_are_compiled(w, tmp_path):
+    matched = silver.matched_events(silver.keyed_events(w.raw("events")), w.counties())
+    matched.write.parquet(str(tmp_path / "matched"))
+    typed = silver.typed_events(w.spark.read.parquet(str(tmp_path / "matched")))
+    assert largest_method(matched) < 8000 and largest_method(typed) < 8000
+    # the write types the rows after its shuffle
+    written = tmp_path / "written"
+    pipeline.write_events(matched, str(written))
+    found = w.spark.read.parquet(str(written)).drop(resolve.OUTCOME)
+    clean = silver.clean_events(w.raw("events"), w.counties())
+    assert dict(found.dtypes) == dict(clean.dtypes)
+    assert found.select(*clean.columns).exceptAll(clean).isEmpty() and found.count() == clean.count()
+
+
 def test_no_shuffle_before_cleaning(w):
     assert "RoundRobin" not in plan_of(silver.clean_events(w.raw("events"), w.counties()))
 
