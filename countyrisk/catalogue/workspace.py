@@ -45,10 +45,10 @@ class Workspace:
         return self._frame(f"{self.sf_dir}/{name}.parquet")
 
     def spread(self, name: str) -> DataFrame:
-        """A table whose file has one row group, which one task reads, dealt to even tasks by its size."""
+        """A table in even tasks: one whose file has one row group would be read by one task."""
         key = f"spread {name}"
         if key not in self._frames:
-            self._frames[key] = files.spread(self.table(name), f"{self.sf_dir}/{name}.parquet")
+            self._frames[key] = files.spread_parquet(self.table(name), f"{self.sf_dir}/{name}.parquet")
         return self._frames[key]
 
     def raw(self, name: str) -> DataFrame:

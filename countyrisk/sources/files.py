@@ -65,6 +65,17 @@ def spread(df: DataFrame, path: str, glob: str = "*") -> DataFrame:
     return df.repartition(tasks) if tasks > 1 and largest * tasks >= 2 * total else df
 
 
+def spread_parquet(df: DataFrame, path: str) -> DataFrame:
+    """Rows of Parquet files in even tasks.
+
+    A file is split between its row groups only. The rows of each read task are counted, from the footers,
+    and the rows are dealt anew only if one task reads as many as two even shares."""
+    tasks = task_count(df.sparkSession, file_stats(df.sparkSession, path).agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0])
+    read = df.groupBy(F.spark_partition_id()).count()
+    total, largest = read.agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))).first()
+    return df.repartition(tasks) if tasks > 1 and largest * tasks >= 2 * total else df
+
+
 def read_csv_gz(spark: SparkSession, path: str, repeated: Iterable[str] = ()) -> DataFrame:
     """Compressed CSV. A gzip file is one task while it is read; after that rows are spread by measured size."""
     return spread(read_csv_text(spark, path, repeated), path, CSV_FILES)

@@ -392,3 +392,18 @@ def test_missing_key_sources_are_errors(spark):
         silver.clean_scores(spark.range(1).toDF("x"))
     with pytest.raises(ValueError):
         silver.keyed_events(spark.range(1).select(F.lit("1").alias("EVENT_ID")))
+
+
+def test_parquet_is_dealt_anew_only_if_its_tasks_are_uneven(spark, tmp_path):
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "1024")
+        rows = spark.range(100_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("t")).coalesce(1)
+        for name, size in (("many", "262144"), ("one", str(1 << 30))):
+            rows.write.option("parquet.block.size", size).option("parquet.block.size.row.check.min", "100").parquet(str(tmp_path / name))
+            df = spark.read.parquet(str(tmp_path / name))
+            found = files.spread_parquet(df, str(tmp_path / name))
+            assert ("RoundRobin" in plan_of(found)) == (name == "one")
+            assert found.exceptAll(rows).isEmpty() and found.count() == 100_000
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
