@@ -63,7 +63,7 @@ def write_events(matched: DataFrame, path: str) -> Observation:
 
     ``matched`` is the frame of :func:`silver.matched_events`; it is typed where it is written. Each outcome is a table of its own at its folder. One job writes all three, so the
     classification neither runs three times nor has to be cached; the counts come from
-    the same pass.
+    the same pass. The shuffle that drops the duplicates has dealt the rows evenly, so they are written where they lie.
     """
     seen = Observation("events")
     labelled = resolve.with_outcome(matched).observe(
@@ -71,7 +71,7 @@ def write_events(matched: DataFrame, path: str) -> Observation:
         *[F.count_if(F.col(resolve.OUTCOME) == o).alias(f"{o}_rows") for o in EVENT_TABLES],
         *silver.null_rate_metrics(("event_id", "episode_id", "county_fips")),
     )
-    tables.write_partitioned(labelled, path, (resolve.OUTCOME, "year"), finish=silver.typed_events)
+    tables.write_partitioned(labelled, path, (resolve.OUTCOME, "year"), finish=silver.typed_events, deal=tables.in_place)
     return seen
 
 

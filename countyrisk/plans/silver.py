@@ -124,8 +124,8 @@ def clean_events(raw: DataFrame, counties: DataFrame) -> DataFrame:
 def matched_events(keyed: DataFrame, counties: DataFrame) -> DataFrame:
     """Classified storm reports, other columns as read, of rows that have their keys already.
 
-    Matching and typing (:func:`typed_events`) in one stage make a method that the JVM doesn't compile
-    (over 8000 bytes), so a write types the rows after it has dealt them to its tasks."""
+    Matching and typing (:func:`typed_events`) in one method are more than the JVM compiles (8000 bytes), so a
+    write types the rows after it has sorted or dealt them by its partitions."""
     return resolve.resolve_counties(resolve.with_candidate_key(unique_keyed(keyed)), counties)
 
 

@@ -21,20 +21,31 @@ def balanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+def in_place(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows of a partition value together within each task, without a shuffle.
+
+    For rows that a shuffle by a unique key has dealt evenly: a value that holds much of the data is spread over
+    all tasks. Each task writes one file per value it holds.
+    """
+    return df.sortWithinPartitions(*columns)
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
     partitions: Sequence[str] = ("year",),
     incremental: bool = False,
     finish: Callable[[DataFrame], DataFrame] | None = None,
+    deal: Callable[..., DataFrame] = balanced,
 ) -> None:
     """Overwrite a folder partitioned by columns.
 
     ``incremental`` replaces only the partitions the frame has rows for. ``finish`` is applied to the
-    rows where they are written, in a stage of its own; it keeps the partition columns.
+    rows where they are written, compiled apart; it keeps the partition columns. ``deal`` is
+    :func:`balanced`, or :func:`in_place` for rows that lie in even tasks already.
     """
     mode = "dynamic" if incremental else "static"
-    dealt = balanced(df, *partitions)
+    dealt = deal(df, *partitions)
     (
         (finish(dealt) if finish else dealt)
         .write.mode("overwrite")

@@ -11,6 +11,7 @@ from countyrisk.catalogue.workspace import WINDOW, workspace
 from countyrisk.config import YearWindow
 from countyrisk.operators import allocate, checks, dedupe, ranking, resolve
 from countyrisk.plans import gold, pipeline, serving, silver
+from countyrisk.sinks import tables
 
 
 @pytest.fixture(scope="module")
@@ -112,6 +113,22 @@ def test_matching_and_typing_of_events_are_compiled(w, tmp_path):
     assert found.select(*clean.columns).exceptAll(clean).isEmpty() and found.count() == clean.count()
 
 
+def test_events_are_written_where_their_duplicates_were_dropped(w, tmp_path, monkeypatch):
+    def never(*_):
+        raise AssertionError("dealt once more")
+
+    monkeypatch.setattr(tables, "balanced", never)
+    matched = silver.matched_events(silver.keyed_events(w.raw("events")), w.counties())
+    pipeline.write_events(matched, str(tmp_path / "written"))
+    clean = silver.clean_events(w.raw("events"), w.counties())
+    found = w.spark.read.parquet(str(tmp_path / "written"))
+    assert found.count() == clean.count() and found.select(*clean.columns).exceptAll(clean).isEmpty()
+    written = silver.typed_events(tables.in_place(resolve.with_outcome(matched), resolve.OUTCOME, "year"))
+    assert "REBALANCE" not in plan_of(written) and largest_method(written) < 8000
+    # the write needs no sort of its own: rows of a folder lie together in each task
+    assert plan_of(written).count("Sort [outcome") == 1
+
+
 def test_no_shuffle_before_cleaning(w):
     assert "RoundRobin" not in plan_of(silver.clean_events(w.raw("events"), w.counties()))
 
