@@ -22,6 +22,8 @@ from ..sources import files
 from . import adapters
 
 WINDOW = YearWindow(adapters.FIRST_YEAR, adapters.LAST_YEAR)
+# Raw rows hold each number as text: about 25 times the bytes that they have in their Parquet file.
+RAW_SPLIT = "16MB"
 _OPEN: dict[tuple[str, str], Workspace] = {}
 
 
@@ -66,6 +68,11 @@ class Workspace:
 
         return self._frame(self.written(name, write))
 
+    def _clean(self, name: str, build: Callable[[], DataFrame], partition: str | None = None) -> DataFrame:
+        """A table made of raw rows, which are read in small splits."""
+        with files.split_size(self.spark, RAW_SPLIT):
+            return self._read(name, build, partition)
+
     def written(self, name: str, build: Callable[[str], None]) -> str:
         """Folder that ``build`` fills once."""
         if name not in self._written:
@@ -75,36 +82,37 @@ class Workspace:
         return self._written[name]
 
     def events(self, outcome: str = "valid") -> DataFrame:
-        path = self.written(
-            "events",
-            lambda p: pipeline.write_events(silver.matched_events(silver.keyed_events(self.raw("events")), self.counties()), p),
-        )
+        with files.split_size(self.spark, RAW_SPLIT):
+            path = self.written(
+                "events",
+                lambda p: pipeline.write_events(silver.matched_events(silver.keyed_events(self.raw("events")), self.counties()), p),
+            )
         return self._frame(pipeline.events_path(path, outcome))
 
     def counties(self) -> DataFrame:
-        return self._read("counties", lambda: silver.county_reference(self.raw("nri")))
+        return self._clean("counties", lambda: silver.county_reference(self.raw("nri")))
 
     def declarations(self) -> DataFrame:
-        return self._read("declarations", lambda: silver.clean_declarations(self.raw("declarations")))
+        return self._clean("declarations", lambda: silver.clean_declarations(self.raw("declarations")))
 
     def claims(self) -> DataFrame:
-        return self._read("claims", lambda: silver.clean_claims(self.raw("owners"), self.raw("renters")))
+        return self._clean("claims", lambda: silver.clean_claims(self.raw("owners"), self.raw("renters")))
 
     def scores(self) -> DataFrame:
-        return self._read("scores", lambda: silver.clean_scores(self.raw("nri"))[0])
+        return self._clean("scores", lambda: silver.clean_scores(self.raw("nri"))[0])
 
     def scores_unresolved(self) -> DataFrame:
-        return self._read("scores_unresolved", lambda: silver.clean_scores(self.raw("nri"))[1])
+        return self._clean("scores_unresolved", lambda: silver.clean_scores(self.raw("nri"))[1])
 
     def census(self) -> DataFrame:
-        return self._read("census", lambda: silver.clean_census(self.acs()))
+        return self._clean("census", lambda: silver.clean_census(self.acs()))
 
     def census_years(self) -> DataFrame:
         """Population rows of several census years per county."""
-        return self._read("census_years", lambda: census_by_year(self.raw("b01001")))
+        return self._clean("census_years", lambda: census_by_year(self.raw("b01001")))
 
     def crosswalk(self) -> DataFrame:
-        return self._read("crosswalk", lambda: silver.clean_crosswalk(self.raw("crosswalk")), "year")
+        return self._clean("crosswalk", lambda: silver.clean_crosswalk(self.raw("crosswalk")), "year")
 
     def type_map(self) -> DataFrame:
         return self._read("type_map", lambda: self.raw("type_map"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 from operator import or_
 
@@ -39,13 +40,18 @@ def read_csv_text(spark: SparkSession, path: str | list[str], repeated: Iterable
 UNITS = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
 
 
-def setting_bytes(spark: SparkSession, name: str) -> int:
-    """A size setting of the session, as in ``128MB`` or ``134217728b``."""
-    text = spark.conf.get(name).strip().lower()
+def in_bytes(size: str) -> int:
+    """A size as in ``128MB`` or ``134217728b``."""
+    text = size.strip().lower()
     number = text.rstrip("kmgb")
     return int(number) * UNITS[(text.removeprefix(number) or "b")[0]]
 
 
+def setting_bytes(spark: SparkSession, name: str) -> int:
+    """A size setting of the session."""
+    return in_bytes(spark.conf.get(name))
+
+
 def task_count(spark: SparkSession, total: int) -> int:
     """Tasks that Spark's own reader would deal a splittable input of ``total`` bytes to."""
     most, least = setting_bytes(spark, "spark.sql.files.maxPartitionBytes"), setting_bytes(spark, "spark.sql.files.openCostInBytes")
@@ -53,6 +59,20 @@ def task_count(spark: SparkSession, total: int) -> int:
     return max(1, -(-total // each))
 
 
+@contextmanager
+def split_size(spark: SparkSession, size: str) -> Iterator[None]:
+    """Files are read in splits of at most ``size`` by the jobs that run inside.
+
+    For rows that are much wider once read than they are in the file, so that a read task sorts them in memory."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(before, size, key=in_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def spread(df: DataFrame, path: str, glob: str = "*") -> DataFrame:
     """Rows of files that can't be split, in as many even tasks as a splittable input of their size.
 

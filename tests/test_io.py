@@ -6,10 +6,11 @@ import json
 import os
 
 import pytest
-from conftest import plan_of, values
+from conftest import SF, plan_of, values
 from pyspark.sql import functions as F
 
 from countyrisk import schemas
+from countyrisk.catalogue import workspace
 from countyrisk.config import Paths, YearWindow
 from countyrisk.operators import checks
 from countyrisk.operators.checks import Check, Suite
@@ -407,3 +408,30 @@ def test_parquet_is_dealt_anew_only_if_its_tasks_are_uneven(spark, tmp_path):
             assert found.exceptAll(rows).isEmpty() and found.count() == 100_000
     finally:
         spark.conf.set("spark.sql.files.openCostInBytes", before)
+
+
+def test_split_size_holds_for_the_jobs_inside(spark, tmp_path):
+    path, name = str(tmp_path / "rows"), "spark.sql.files.maxPartitionBytes"
+    spark.range(400_000).coalesce(1).write.option("parquet.block.size", 256 << 10).parquet(path)
+    rows, before = spark.read.parquet(path), spark.conf.get(name)
+    with files.split_size(spark, "512KB"):
+        inside = rows.groupBy(F.spark_partition_id()).count().collect()
+        with files.split_size(spark, "1GB"):
+            assert spark.conf.get(name) == "512KB"  # never larger
+    assert len(inside) >= 3 and sum(r[1] for r in inside) == 400_000
+    with pytest.raises(ZeroDivisionError), files.split_size(spark, "512KB"):
+        1 / 0
+    assert spark.conf.get(name) == before
+
+
+def test_cleaning_reads_raw_rows_in_small_splits(spark):
+    seen, w = [], workspace.Workspace(spark, SF)
+
+    def build():
+        seen.append(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+        return w.raw("nri")
+
+    w._clean("probe", build)
+    w.raw = lambda _, raw=w.raw: seen.append(spark.conf.get("spark.sql.files.maxPartitionBytes")) or raw(_)
+    w.events()
+    assert set(seen) == {workspace.RAW_SPLIT}
