@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .language_model import Model, Scorer, fit_model
 from .lengths import written
@@ -175,23 +176,27 @@ def keep_good(docs: DataFrame) -> DataFrame:
     facts = written(text_facts(docs, model), "quality-facts")
     bands = fit_bands(facts)
     names = docs.columns
+    # a text that stands in the row as it is doesn't go to Python a second time
+    inside = [k for k, f in enumerate(docs.schema) if f.name == "text" and isinstance(f.dataType, StringType)]
     inner = docs.select(
-        F.struct(*names).alias("row"), F.col("text").cast("string").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang")
+        F.struct(*names).alias("row"),
+        *([] if inside else [F.col("text").cast("string").alias("text")]),
+        F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
     )
     known = bands.select(
         F.col("lang").alias("band_lang"),
         (F.col("middle") - LOWER_WIDTH * F.col("deviation")).alias("low"),
         (F.col("middle") + UPPER_WIDTH * F.col("deviation")).alias("high"),
     )
-    ready = inner.join(known, F.col("lang") == F.col("band_lang"), "left").select("row", "text", "low", "high")
+    ready = inner.join(known, F.col("lang") == F.col("band_lang"), "left").select("row", "low", "high", *([] if inside else ["text"]))
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer, table, tables = Scorer(model), byte_table(), Powers()
         for batch in batches:
-            n_words, _, _, _, n_repeat, n_bytes, bits = batch_facts(batch.column(1), scorer, table, tables)
+            n_words, _, _, _, n_repeat, n_bytes, bits = batch_facts(batch.column(0).field(inside[0]) if inside else batch.column(3), scorer, table, tables)
             rate, slack = bits / np.maximum(n_bytes, 1), SHORT_TEXT / np.sqrt(np.maximum(n_bytes, 1))
-            low = batch.column(2).fill_null(-np.inf).to_numpy() - slack
-            high = batch.column(3).fill_null(np.inf).to_numpy() + slack
+            low = batch.column(1).fill_null(-np.inf).to_numpy() - slack
+            high = batch.column(2).fill_null(np.inf).to_numpy() + slack
             good = (n_words >= MIN_WORDS) & (100 * n_repeat <= MAX_REPEAT_PERCENT * n_words) & (rate >= low) & (rate <= high)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(good))], names=["row"])
 

@@ -9,6 +9,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from conftest import plan_of
+from pyspark.sql import functions as F
 
 from countyrisk.llm import (
     components,
@@ -217,6 +219,18 @@ def test_keep_one_keeps_clashing_columns(spark):
     assert [r[0] for r in found] == [0, 1, 2, 9] and set(found) <= set(given)
 
 
+def test_keep_one_deals_whole_rows_once(spark, docs):
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(jaccard_join.keep_one(docs))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    # the rows by their repeats, and the heads that they are joined to
+    assert len(dealt) == 2 and all("hashpartitioning(key" in line for line in dealt)
+
+
 def test_rows_without_ids_are_dealt_evenly(spark):
     many = spark.range(20_000).selectExpr("CAST(NULL AS bigint) AS doc_id", "concat('word ', id % 5000, ' of a text') AS text", "if(id % 3 = 0, 'hot', 'other') AS source")
     packed = packing.pack_documents(many, shard_rows=5_000)
@@ -463,6 +477,14 @@ def test_quality_rules(docs, rows, nothing):
     assert quality_rules.quality_report(nothing).count() == 0
 
 
+def test_texts_go_to_python_once(spark, docs):
+    sent = re.search(r"MapInArrow kept\(([^)]*)\)", plan_of(quality_rules.keep_good(docs)))[1]
+    assert re.sub(r"#\d+", "", sent) == "row, low, high"
+    binary = docs.select("doc_id", F.encode("text", "utf-8").alias("text"), "lang", "source", "n_chars")
+    ids = lambda kept: sorted((r.doc_id for r in kept.collect()), key=str)
+    assert ids(quality_rules.keep_good(binary)) == ids(quality_rules.keep_good(docs)) != []
+
+
 def test_noise_leaves_the_band_and_prose_stays(spark):
     rng = np.random.default_rng(2)
     clean = [(i, prose(i, 80), "en", "s", 0) for i in range(150)]
