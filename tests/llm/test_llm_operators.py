@@ -231,6 +231,23 @@ def test_keep_one_deals_whole_rows_once(spark, docs):
     assert len(dealt) == 2 and all("hashpartitioning(key" in line for line in dealt)
 
 
+def test_documents_meet_their_pivots_by_token(spark):
+    by_token = spark.createDataFrame([(i, n, i, t) for i in range(40) for t in (1, 2) for n in (20 + 7 * (i % 5),)], "node long, n long, rank long, token long")
+    both = by_token.select("*", F.explode(F.array(*jaccard_join.size_buckets(90))).alias("bucket"))
+    pivots = both.groupBy("token", "bucket").agg(F.max("node").alias("b"), F.count("*").alias("members")).where("members > 1 AND token = 1").drop("members")
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = jaccard_join.pivot_pairs(by_token, pivots, 90)
+        plan = plan_of(found)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    want = both.join(pivots, ["token", "bucket"]).where("node != b").select("node", "b").distinct()
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect())) != []
+    # the two buckets come after the exchange of the documents, not before
+    assert "Generate" in plan[: plan.index("SortMergeJoin")] and "Generate" not in plan[plan.index("SortMergeJoin") : plan.index("collect_list")]
+
+
 def test_rows_without_ids_are_dealt_evenly(spark):
     many = spark.range(20_000).selectExpr("CAST(NULL AS bigint) AS doc_id", "concat('word ', id % 5000, ' of a text') AS text", "if(id % 3 = 0, 'hot', 'other') AS source")
     packed = packing.pack_documents(many, shard_rows=5_000)
