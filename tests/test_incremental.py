@@ -9,9 +9,9 @@ import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
-from countyrisk.operators import resolve
+from countyrisk.operators import dedupe, resolve
 from countyrisk.plans import incremental, profiles, silver
-from countyrisk.sinks import commits, storage
+from countyrisk.sinks import commits, storage, tables
 from countyrisk.sources import files, landing
 
 HEADER = (
@@ -211,3 +211,48 @@ def test_a_run_reads_a_file_only_for_rows_it_holds(spark, tmp_path, counties, mo
     again = incremental.update_events(spark, str(landed), root, counties, "r3")
     assert again.years == (2010, 2013, 2014) and same_rows(commits.current(spark, root), full(spark, landed, counties))
     assert asked[1:] == [["2010", "2013", "2014"], ["2011"]]  # 2011 has a rival of a row of 2010 and no row of these years
+
+
+def test_only_keys_with_several_rows_are_dealt(spark, tmp_path, counties, monkeypatch):
+    landed, root = tmp_path / "landed", str(tmp_path / "table")
+    dealt, unique, balanced, hints = [], silver.unique_keyed, tables.balanced, []
+    monkeypatch.setattr(silver, "unique_keyed", lambda rows: (dealt.append(sorted(values(rows, "event_id"))), unique(rows))[1])
+    monkeypatch.setattr(tables, "balanced", lambda df, *columns: (hints.append(columns), balanced(df, *columns))[1])
+
+    def check(*asked):
+        assert dealt == list(asked) and hints == []
+        monkeypatch.setattr(silver, "unique_keyed", unique)
+        assert same_rows(commits.current(spark, root), full(spark, landed, counties))
+        monkeypatch.setattr(silver, "unique_keyed", lambda rows: (dealt.append(sorted(values(rows, "event_id"))), unique(rows))[1])
+        dealt.clear()
+
+    land(landed, 2010, "20240101", *(report(k, 2010) for k in range(1, 9)), report(3, 2010, injuries=4))
+    incremental.update_events(spark, str(landed), root, counties, "r1")
+    check(["3", "3"])
+    # 2 competes within the new year and with 2010, 8 with 2010 only
+    land(landed, 2011, "20240101", report(2, 2011), report(2, 2011, injuries=0), report(8, 2011, injuries=0), report(9, 2011))
+    incremental.update_events(spark, str(landed), root, counties, "r2")
+    check(["2", "2", "2", "3", "3", "8", "8"])
+    land(landed, 2012, "20240101", report(20, 2012), report(21, 2012, "Z"))
+    incremental.update_events(spark, str(landed), root, counties, "r3")
+    check([])
+    # more keys than a filter is made of: all rows of 2010 and 2011, and one of 2013
+    monkeypatch.setattr(dedupe, "MOST_KEYS", 1)
+    land(landed, 2013, "20240101", report(9, 2013, injuries=0))
+    fourth = incremental.update_events(spark, str(landed), root, counties, "r4")
+    assert fourth.years == (2011, 2013)
+    check(["2", "2", "2", "8", "8", "9", "9"])
+    assert not list((tmp_path / "table" / "repeats").glob("*"))
+
+
+def test_rows_are_told_apart_by_keys(spark):
+    rows = spark.range(20_000).selectExpr("cast(id % 15000 AS string) AS a", "if(id % 11 = 0, NULL, id % 3) AS b", "id")
+    found = rows.filter("id % 7 = 0").select("a", "b").distinct()
+    without, with_key = dedupe.split_by_keys(rows, found, ("a", "b"), found.count())
+    assert without.columns == with_key.columns == rows.columns and without.unionByName(with_key).exceptAll(rows).isEmpty()
+    known = {(r.a, r.b) for r in found.collect()}
+    have = [r for r in rows.collect() if (r.a, r.b) in known]
+    assert without.count() + with_key.count() == 20_000
+    assert not [r for r in without.collect() if (r.a, r.b) in known] and len(have) <= with_key.count() <= len(have) + 200
+    none, some = dedupe.split_by_keys(rows, found.limit(0), ("a", "b"), 0)
+    assert none.count() == 20_000 and some.isEmpty()
