@@ -310,19 +310,7 @@ def _(w: Workspace) -> DataFrame:
     "JOIN decl_years d ON c.disasternumber = d.disasternumber AND trim(c.state) = d.state JOIN crosswalk x ON c.zip5 = x.zip5 AND d.year = x.year GROUP BY ALL",
 )
 def _(w: Workspace) -> DataFrame:
-    per_zip = (
-        w.claims()
-        .withColumn("zip5", fips.zip_from_text("zipcode"))
-        .groupBy("disasternumber", F.trim("state").alias("state"), "zip5")
-        .agg(F.count("*").alias("claims"))
-    )
-    dated = per_zip.join(allocate.disaster_years(w.declarations(), WINDOW), ["disasternumber", "state"])
-    shares = allocate.crosswalk_window(w.crosswalk(), WINDOW)
-    return (
-        dated.join(shares, ["zip5", "year"])
-        .groupBy("disasternumber", "year", "zip5", "county_fips")
-        .agg(F.sum("claims").alias("claims"))
-    )
+    return allocate.claims_by_county_of_zip(w.claims(), w.declarations(), w.crosswalk(), WINDOW)
 
 
 @query("jn08_scaffold_joins", f"SELECT county_fips, year, noaa_event_count, fema_declaration_count, population_total, nri_risk_score FROM mart")

@@ -4,11 +4,14 @@ import gzip
 import os
 from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
+from countyrisk.catalogue import marts  # noqa: F401 (it registers)
+from countyrisk.catalogue.registry import QUERIES
 from countyrisk.operators import dedupe, resolve
 from countyrisk.plans import incremental, profiles, silver
 from countyrisk.sinks import commits, storage, tables
@@ -256,3 +259,19 @@ def test_rows_are_told_apart_by_keys(spark):
     assert not [r for r in without.collect() if (r.a, r.b) in known] and len(have) <= with_key.count() <= len(have) + 200
     none, some = dedupe.split_by_keys(rows, found.limit(0), ("a", "b"), 0)
     assert none.count() == 20_000 and some.isEmpty()
+
+
+def test_the_query_lands_reports_without_a_shuffle(spark, counties, monkeypatch):
+    lines = [report(k, year).strip().split(",") for k in range(1, 40) for year in ((1996, 1998, "n/a")[k % 3],) if year != "n/a"]
+    lines += [report(2, 1999, injuries=0).strip().split(","), [*report(50, 1999).split(",")[:9], "n/a", *report(50, 1999).strip().split(",")[10:]]]
+    header = [c for c in HEADER.strip().split(",")]
+    raw = spark.createDataFrame(lines, ", ".join(f"c{k} string" for k in range(len(header)))).toDF(*header[:10], "Year2", *header[11:]).drop("Year2")
+    made = SimpleNamespace(spark=spark, raw=lambda name: raw, counties=lambda: counties)
+
+    def no_shuffle(df, *columns):
+        raise AssertionError(columns)
+
+    monkeypatch.setattr(tables, "balanced", no_shuffle)
+    found = QUERIES["sv1_incremental_run"](made)
+    want = silver.clean_events(raw, counties).filter("county_fips_mapping_method NOT IN ('unresolved', 'non_county_zone')").select(*found.columns)
+    assert same_rows(found, want) and found.count() > 0

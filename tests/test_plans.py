@@ -1,12 +1,16 @@
 """The shape of the plans: what is shuffled, broadcast, pushed down and pruned."""
 
 import re
+from collections import Counter
+from types import SimpleNamespace
 
 import pytest
 from conftest import SF, plan_of
 from pyspark.sql import functions as F
 
 from countyrisk import schemas
+from countyrisk.catalogue import geography  # noqa: F401 (it registers)
+from countyrisk.catalogue.registry import QUERIES
 from countyrisk.catalogue.workspace import WINDOW, workspace
 from countyrisk.config import YearWindow
 from countyrisk.operators import allocate, checks, dedupe, ranking, resolve
@@ -197,3 +201,33 @@ def test_claims_meet_the_crosswalk_summed_by_zip(spark):
     assert "distinct disasternumber" not in plan
     pairs = plan[: plan.index("Generate explode(__counties")].splitlines()[-8:]  # they are told apart where they lie
     assert sum("HashAggregate" in line for line in pairs) >= 2 and "Exchange" not in "".join(pairs[-3:])
+
+
+def test_pairs_of_claims_and_counties_are_not_grouped(spark):
+    """Two states of a disaster, two fiscal years, repeated crosswalk rows and NULLs, against a plain loop."""
+    claims = [(d, s, z) for d in (1, 2, 3, None) for s in ("LA", " LA", "TX", None) for z in ("70001", "ZIP 70001-9", "70002", "70003", None) for _ in range(d or 1)]
+    declared = [(1, "LA", 1997), (1, " LA ", 1997), (1, "TX", 1997), (1, "LA", 1998), (2, "LA", 1998), (2, "TX", 2005), (3, "LA", None), (None, "LA", 1997)]
+    shares = [(z, c, y, 0.5) for z in ("70001", " 70002 ", None) for c in ("22001", "22003", "22003", "22000", None) for y in (1997, 1998, 2005)]
+    made = SimpleNamespace(
+        claims=lambda: spark.createDataFrame(claims, "disasternumber long, state string, zipcode string"),
+        declarations=lambda: spark.createDataFrame(declared, "disasternumber long, state string, fydeclared long"),
+        crosswalk=lambda: spark.createDataFrame(shares, "zip5 string, county_fips string, year int, tot_ratio double"),
+    )
+    want = Counter()
+    years = {(d, s.strip(), y) for d, s, y in declared if d and y and 1996 <= y <= 2000}
+    for d, s, z in claims:
+        zip5 = z and z.removeprefix("ZIP ")[:5]
+        for e, t, y in years:
+            if d == e and s and s.strip() == t:
+                want.update((d, y, zip5, c) for x, c, at, _ in shares if x and x.strip() == zip5 and at == y and c in ("22001", "22003"))
+    query = QUERIES["jn07_claims_declarations_crosswalk"]
+    found = query(made)
+    assert {(r.disasternumber, r.year, r.zip5, r.county_fips): r.claims for r in found.collect()} == dict(want) and found.count() == len(want) > 0
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(query(made))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert not re.search("Aggregate|Exchange", plan[: plan.index("SortMergeJoin")])
+    assert len(re.findall(r"Exchange hashpartitioning\(zip5#\d+, year#\d+, 8", plan)) == 2
